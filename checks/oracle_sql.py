@@ -557,8 +557,8 @@ FROM pp GROUP BY doc_id, label"""
     runs = [x for n, s in ((1, "laplace"), (2, "laplace"), (3, "kneser_ney"))
             for x in (*lm(n, s, tag=str(n)), pp(str(n)))]
     q["lm_evaluation"] = with_(*LM_SPLIT, *runs, "pred AS (" + " UNION ALL ".join(
-        f"SELECT {n}::BIGINT AS n, label, prediction FROM pred{n}" for n in (1, 2, 3)) + ")",
-        prf(by="n")) + weighted("n")
+        f'SELECT {n}::BIGINT AS "order", label, prediction FROM pred{n}' for n in (1, 2, 3)) + ")",
+        prf(by='"order"')) + weighted('"order"')
 
     q["nb_fit"] = with_(*NB) + "SELECT term, label AS class, round(ll, 6) AS ll FROM ll"
     q["nb_priors"] = with_(CORPUS, ids, split("ids")) + """SELECT label, round(ln(count(*) / (

@@ -52,7 +52,7 @@ def fold_case(col: Column) -> Column:
 
 
 def squeeze_space(col: Column) -> Column:
-    return F.trim(F.regexp_replace(col, P.SPACE + "+", " "))
+    return F.trim(F.regexp_replace(col, P.UNICODE + P.SPACE + "+", " "))
 
 
 def clean_text(col: Column, aggressive: bool = False, strict_emoji: bool = False) -> Column:

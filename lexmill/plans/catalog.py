@@ -560,8 +560,8 @@ def classify_by_perplexity(spark, base):
 @query
 def lm_evaluation(spark, base):
     runs = [L.classify_by_perplexity(lm_scores(spark, base, n, s)).select("label", "prediction")
-            .withColumn("n", F.lit(n)) for n, s in LM_RUNS]
-    return M.weighted_prf(D.union_sources(*runs), ["n"])
+            .withColumn("order", F.lit(n)) for n, s in LM_RUNS]
+    return M.weighted_prf(D.union_sources(*runs), ["order"])
 
 
 # --- Naive Bayes -------------------------------------------------------------
