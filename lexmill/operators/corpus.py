@@ -122,7 +122,7 @@ def sample_n(df: DataFrame, n: int, seed: int = SEED, key: str = "doc_id") -> Da
 
 
 def cap_per_group(df: DataFrame, groups: Sequence[str], caps: int | Mapping[tuple, int],
-                  seed: int = SEED, key: str = "doc_id", many_groups: bool = False) -> DataFrame:
+                  seed: int = SEED, key: str = "doc_id") -> DataFrame:
     """At most `cap` rows per group; a mapping gives caps for named groups
     and leaves all others whole."""
     groups = list(groups)
@@ -138,7 +138,7 @@ def cap_per_group(df: DataFrame, groups: Sequence[str], caps: int | Mapping[tupl
                 cap = F.when(same, F.lit(limit)).otherwise(cap)
         return sizes.withColumn("target", F.least("n", F.coalesce(cap, "n")))
 
-    return keep_smallest(df, key, groups, allot, seed, many_groups=many_groups)
+    return keep_smallest(df, key, groups, allot, seed)
 
 
 def dedup_exact(df: DataFrame, priority: str | None = None, text: str = "text",

@@ -12,8 +12,8 @@ from lexmill.operators import (bayes as NB, bow as B, cleaning as OC, corpus as
                                metrics as M, ngrams as L, retrieval as R, tfidf as TF,
                                tokenizing as T)
 from lexmill.plans.layout import spread
-from lexmill.plans.tables import (clean_documents, corpus, query_texts, table, tidy,
-                                  token_documents)
+from lexmill.plans.tables import (clean_documents, corpus, prepared_documents, query_texts, table,
+                                  tidy, token_documents)
 from lexmill.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -337,24 +337,24 @@ def term_counts(spark, base):
 
 @query
 def vocabulary(spark, base):
-    return B.vocabulary(B.term_counts(token_documents(spark, base)))
+    return B.vocabulary(B.term_counts(prepared_documents(spark, base)))
 
 
 @query
 def matrix_stats(spark, base):
-    docs = token_documents(spark, base)
+    docs = prepared_documents(spark, base)
     tf = B.term_counts(docs)
     return B.matrix_stats(tf, B.vocabulary(tf), B.document_count(docs))
 
 
 @query
 def export_vocabulary(spark, base):
-    return B.export_vocabulary(B.vocabulary(B.term_counts(token_documents(spark, base))))
+    return B.export_vocabulary(B.vocabulary(B.term_counts(prepared_documents(spark, base))))
 
 
 def weights(spark: SparkSession, base: str, variant: str = "sublinear",
             carry=(), max_features: int = MAX_TERMS) -> DataFrame:
-    docs = token_documents(spark, base)
+    docs = prepared_documents(spark, base)
     tf = B.term_counts(docs, carry=carry)
     return TF.tfidf(tf, B.document_count(docs), variant, max_features=max_features, carry=carry)
 
@@ -372,7 +372,7 @@ for _name in TF.VARIANTS:
 
 @query
 def discriminative_terms(spark, base):
-    docs = token_documents(spark, base)
+    docs = prepared_documents(spark, base)
     rows = weights(spark, base, carry=("label",))
     return TF.discriminative_terms(rows, docs, CLASSES)
 
@@ -380,7 +380,7 @@ def discriminative_terms(spark, base):
 @query
 def transform_tfidf(spark, base):
     """Benchmark texts weighted with the documents' fitted table."""
-    docs = token_documents(spark, base)
+    docs = prepared_documents(spark, base)
     fitted = TF.fit_tfidf(B.term_counts(docs), B.document_count(docs), max_features=MAX_TERMS)
     rows = TF.transform_tfidf(B.term_counts(query_texts(spark, base)), fitted, max_features=MAX_TERMS)
     return rows.select("doc_id", "term", "w")
@@ -388,8 +388,8 @@ def transform_tfidf(spark, base):
 
 def split_documents(spark: SparkSession, base: str) -> DataFrame:
     """Token documents with an exact stratified 20 % test flag.  The cut-offs
-    come from ids and labels alone, without reading a text."""
-    docs = token_documents(spark, base)
+    come from the id and label columns alone, without reading a text."""
+    docs = prepared_documents(spark, base)
     return D.stratified_split(docs, 0.2)
 
 
@@ -418,7 +418,7 @@ def similar_docs(spark, base):
 @query
 def retrieve_similar(spark, base):
     """Every benchmark text against all documents."""
-    docs = token_documents(spark, base)
+    docs = prepared_documents(spark, base)
     tf = B.term_counts(docs, carry=("label",))
     fitted = materialize(TF.fit_tfidf(tf, B.document_count(docs), max_features=MAX_TERMS), "fitted")
     queries = TF.transform_tfidf(B.term_counts(query_texts(spark, base)), fitted, max_features=MAX_TERMS)
@@ -442,7 +442,7 @@ def vectors(spark: SparkSession, base: str) -> DataFrame:
 
 @query
 def context_pairs(spark, base):
-    rows = E.context_pairs(token_documents(spark, base))
+    rows = E.context_pairs(prepared_documents(spark, base))
     return rows.select("doc_id", "pos", "center", F.array_join("context", " ").alias("context"))
 
 
@@ -464,7 +464,7 @@ def nearest_words(spark, base):
 @query
 def top_words(spark, base):
     """Vectors whose id is a vocabulary index, by frequency of that term."""
-    vocab = B.vocabulary(B.term_counts(token_documents(spark, base)))
+    vocab = B.vocabulary(B.term_counts(prepared_documents(spark, base)))
     top = E.top_words(vocab.select(F.col("idx").cast("long").alias("word"), "cf"), vectors(spark, base))
     return top.select("word", "cf", F.get("vector", 0).cast("double").alias("v0"))
 
@@ -475,46 +475,46 @@ LM_CLASSES = ("Real", "Fake")
 
 
 def lm_split(spark: SparkSession, base: str) -> DataFrame:
-    docs = D.keep_classes(token_documents(spark, base), LM_CLASSES)
+    docs = D.keep_classes(prepared_documents(spark, base), LM_CLASSES)
     return D.stratified_split(docs, 100)
 
 
 @query
 def ngrams(spark, base):
-    rows = L.ngrams(token_documents(spark, base), 3)
+    rows = L.ngrams(prepared_documents(spark, base), 3)
     return rows.groupBy("doc_id", "context", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def ngram_counts(spark, base):
-    return L.ngram_counts(token_documents(spark, base), 2)
+    return L.ngram_counts(prepared_documents(spark, base), 2)
 
 
 @query
 def ngram_context_counts(spark, base):
-    return L.context_counts(L.ngram_counts(token_documents(spark, base), 2))
+    return L.context_counts(L.ngram_counts(prepared_documents(spark, base), 2))
 
 
 @query
 def ngram_class_stats(spark, base):
-    return L.class_stats(token_documents(spark, base))
+    return L.class_stats(prepared_documents(spark, base))
 
 
 @query
 def unique_ngram_count(spark, base):
-    docs = token_documents(spark, base)
+    docs = prepared_documents(spark, base)
     return D.union_sources(*[L.unique_ngram_count(L.ngram_counts(docs, n)).withColumn("n", F.lit(n))
                              for n in (1, 2, 3)])
 
 
 @query
 def top_ngrams(spark, base):
-    return L.top_ngrams(L.ngram_counts(token_documents(spark, base), 2))
+    return L.top_ngrams(L.ngram_counts(prepared_documents(spark, base), 2))
 
 
 @query
 def continuation_stats(spark, base):
-    return L.continuation_stats(token_documents(spark, base))
+    return L.continuation_stats(prepared_documents(spark, base))
 
 
 def _lm_prob(name: str, n: int, smoothing: str, mode: str = "as_implemented") -> None:
@@ -699,7 +699,7 @@ def misclassified_share(spark, base):
 
 
 def nb_scores_with_text(spark: SparkSession, base: str) -> DataFrame:
-    texts = clean_documents(spark, base).select("doc_id", "text_clean")
+    texts = prepared_documents(spark, base).select("doc_id", "text_clean")
     return nb_scores(spark, base).select("doc_id", "label", "prediction").join(texts, "doc_id")
 
 

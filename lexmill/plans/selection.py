@@ -4,7 +4,8 @@ Picking exactly n rows of a class with `row_number() over (partition by class)`
 sends a whole class to one task.  Here each row gets a pseudo-random hash of its
 key, a histogram over hash prefixes locates the prefix that holds the n-th
 smallest hash, and only the rows of that one prefix are ranked.  The result is
-one cut-off hash per group; keeping a row is then a row-local comparison.
+one cut-off hash per group; keeping a row is then a row-local comparison that
+needs no join and no shuffle.
 """
 
 from __future__ import annotations
@@ -13,9 +14,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from lexmill.plans.layout import lookup_map
+from lexmill.session import materialize
 
 SEED = 42
+MAX_LITERAL_GROUPS = 1000
 _PREFIX = 4  # hex digits of the histogram bucket: 65,536 buckets per group
 
 
@@ -26,55 +28,59 @@ def seeded_hash(key: str | Column, seed: int = SEED) -> Column:
 
 
 def _group_key(groups: list[str]) -> Column:
-    if not groups:
-        return F.lit("")
-    return F.to_json(F.struct(*[F.col(g).cast("string").alias(g) for g in groups]))
+    parts = [F.coalesce(F.col(g).cast("string"), F.lit("\u0000")) for g in groups]
+    return F.concat_ws("\u0001", *parts) if parts else F.lit("")
 
 
-def group_sizes(df: DataFrame, groups: list[str]) -> DataFrame:
-    return df.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"))
+def _literal_map(rows, key: str, value: str) -> Column:
+    return F.create_map(*[F.lit(x) for r in rows for x in (r[key], r[value])])
 
 
 def keep_smallest(df: DataFrame, key: str, groups: list[str],
                   allot: Callable[[DataFrame], DataFrame],
-                  seed: int = SEED, flag: str | None = None,
-                  many_groups: bool = False) -> DataFrame:
+                  seed: int = SEED, flag: str | None = None) -> DataFrame:
     """Keep exactly `target` rows of every group, those with the smallest hash.
 
     `key` must be unique.  `allot` turns the table (groups…, n) of group sizes
     into (groups…, target).  With `flag`, all rows are kept and the choice
-    becomes a boolean column.  `many_groups` swaps the map lookups for joins
-    when the number of groups has no small bound.
+    becomes a boolean column.
+
+    Two small jobs over key and group columns find the cut-offs while the plan
+    is built.  Up to MAX_LITERAL_GROUPS groups, the cut-offs become literals of
+    the plan; beyond that they stay a table and are joined.
     """
     hashed = df.select(_group_key(groups).alias("__g"), *groups,
                        seeded_hash(key, seed).alias("__h"))
-    hist = (hashed.groupBy("__g", *groups, F.substring("__h", 1, _PREFIX).alias("__b"))
-            .agg(F.count(F.lit(1)).alias("n")))
+    bucket = F.substring("__h", 1, _PREFIX)
+    hist = hashed.groupBy("__g", *groups, bucket.alias("__b")).agg(F.count(F.lit(1)).alias("n"))
     sizes = hist.groupBy("__g", *groups).agg(F.sum("n").alias("n"))
-    targets = allot(sizes).select("__g", "target")
     upto = W.partitionBy("__g").orderBy("__b")
-    edge = (hist.join(targets, "__g")
+    edge = (hist.join(allot(sizes).select("__g", "target"), "__g")
             .withColumn("__cum", F.sum("n").over(upto))
             .filter((F.col("__cum") >= F.col("target"))
                     & (F.col("__cum") - F.col("n") < F.col("target")))
             .select("__g", "__b", (F.col("target") - F.col("__cum") + F.col("n")).alias("__need")))
-    if many_groups:
-        near = hashed.withColumn("__b", F.substring("__h", 1, _PREFIX)).join(edge, ["__g", "__b"])
+    edges = edge.limit(MAX_LITERAL_GROUPS + 1).collect()
+    few = len(edges) <= MAX_LITERAL_GROUPS
+    if not edges:
+        return df.withColumn(flag, F.lit(False)) if flag else df.filter(F.lit(False))
+
+    if few:
+        near = (hashed
+                .withColumn("__b", F.element_at(_literal_map(edges, "__g", "__b"), F.col("__g")))
+                .withColumn("__need", F.element_at(_literal_map(edges, "__g", "__need"), F.col("__g")))
+                .filter(bucket == F.col("__b")))
     else:
-        at = lookup_map(edge, F.col("__g"), F.struct("__b", "__need"))
-        near = (hashed.withColumn("__e", F.element_at(at, F.col("__g")))
-                .filter(F.col("__h").startswith(F.col("__e.__b")))
-                .select("__g", "__h", F.col("__e.__need").alias("__need")))
+        near = hashed.withColumn("__b", bucket).join(materialize(edge, "edges"), ["__g", "__b"])
     cut = (near.withColumn("__r", F.row_number().over(W.partitionBy("__g").orderBy("__h")))
            .filter(F.col("__r") == F.col("__need")).select("__g", F.col("__h").alias("__cut")))
 
-    mine = seeded_hash(key, seed)
-    if many_groups:
-        out = df.withColumn("__g", _group_key(groups)).join(cut, "__g", "left").drop("__g")
+    if few:
+        out = df
+        limit = F.element_at(_literal_map(cut.collect(), "__g", "__cut"), _group_key(groups))
     else:
-        cuts = lookup_map(cut, F.col("__g"), F.col("__cut"))
-        out = df.withColumn("__cut", F.element_at(cuts, _group_key(groups)))
-    chosen = F.coalesce(mine <= F.col("__cut"), F.lit(False))
-    if flag:
-        return out.withColumn(flag, chosen).drop("__cut")
-    return out.filter(chosen).drop("__cut")
+        out = df.withColumn("__g", _group_key(groups)).join(materialize(cut, "cuts"), "__g", "left")
+        limit = F.col("__cut")
+    chosen = F.coalesce(seeded_hash(key, seed) <= limit, F.lit(False))
+    out = out.withColumn(flag, chosen) if flag else out.filter(chosen)
+    return out.drop("__g", "__cut")

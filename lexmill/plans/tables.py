@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from lexmill.functions.tokenizers import TOKENIZERS, remove_stopwords
 from lexmill.functions.wordlists import stopwords
 from lexmill.operators.cleaning import clean_corpus
 from lexmill.operators.corpus import labelled
 from lexmill.plans.layout import by_document
+from lexmill.session import materialize
 
 
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -26,13 +27,33 @@ def clean_documents(spark: SparkSession, base: str) -> DataFrame:
     return clean_corpus(by_document(corpus(spark, base)))
 
 
+def _tokens(tokenizer: str, stop: str | None) -> Column:
+    tokens = TOKENIZERS[tokenizer](F.col("text_clean"))
+    return remove_stopwords(tokens, stopwords(stop)) if stop else tokens
+
+
 def token_documents(spark: SparkSession, base: str, tokenizer: str = "vectorizer",
                     stop: str | None = "custom") -> DataFrame:
-    """Labelled documents as token arrays: doc_id, label, tokens."""
-    tokens = TOKENIZERS[tokenizer](F.col("text_clean"))
-    if stop:
-        tokens = remove_stopwords(tokens, stopwords(stop))
-    return clean_documents(spark, base).select("doc_id", "label", tokens.alias("tokens"))
+    """Labelled documents as token arrays: doc_id, label, tokens (one pass)."""
+    return clean_documents(spark, base).select("doc_id", "label", _tokens(tokenizer, stop).alias("tokens"))
+
+
+_PREPARED: dict[tuple[str, str], DataFrame] = {}
+
+
+def prepared_documents(spark: SparkSession, base: str) -> DataFrame:
+    """The cleaned corpus as a written table: doc_id, label, text_clean, tokens.
+
+    Jobs that read the tokens more than once start here.  The table is written
+    once per application and input folder, bucketed by document, so later jobs
+    neither clean a text again nor shuffle by document.
+    """
+    at = (spark.sparkContext.applicationId, base)
+    if at not in _PREPARED:
+        rows = clean_documents(spark, base).select(
+            "doc_id", "label", "text_clean", _tokens("vectorizer", "custom").alias("tokens"))
+        _PREPARED[at] = materialize(rows, "prepared", "doc_id")
+    return _PREPARED[at]
 
 
 def query_texts(spark: SparkSession, base: str) -> DataFrame:

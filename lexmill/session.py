@@ -50,14 +50,23 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def materialize(df: DataFrame, name: str = "table", schema=None) -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", key: str | None = None,
+                schema=None) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     The copy survives lost executors, is computed once however often it is
     read, and carries its true size, so Catalyst decides from a measured size
-    whether a join may broadcast it.  `schema` overrides the schema on reading.
+    whether a join may broadcast it.  With `key` the table is bucketed by it,
+    with as many buckets as shuffle partitions: reading it back is already laid
+    out by key and needs no shuffle.  `schema` overrides the schema on reading.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    table = f"{name}_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{table}"
+    if key:
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        (df.write.format("parquet").option("path", path).bucketBy(buckets, key)
+         .saveAsTable(table))
+        return spark.table(table)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(schema or df.schema).parquet(path)
