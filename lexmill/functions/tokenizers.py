@@ -23,7 +23,10 @@ SPLIT_RULES = (
 # Fixed rules for words written together, applied after every space is doubled
 # so that neighbouring words do not share one.
 CLITIC_RULES = (
-    (r"([^' ])((?i:'s|'m|'d|'ll|'re|'ve|n't)|') ", "$1 $2 "),
+    # Each pattern starts with a character that is rare in text and looks back
+    # from there, so that ordinary letters are passed over quickly.
+    (r"'(?<=[^' ]')(?i:s|m|d|ll|re|ve)? ", " $0"),
+    (r"[nN](?<=[^' ].)'[tT] ", " $0"),
     (r" ((?i:can))((?i:not)) ", " $1 $2 "),
     (r" ((?i:d))((?i:'ye)) ", " $1 $2 "),
     (r" ((?i:gim|lem))((?i:me)) ", " $1 $2 "),

@@ -16,6 +16,8 @@ from lexmill.operators.embeddings import concat_features
 from lexmill.operators.metrics import per_class_prf, weighted_prf
 from lexmill.session import materialize
 
+_ROWS_PER_TASK = 20_000
+
 # Share of the L1 penalty per kind.
 L1_RATIO = {"l1": 1.0, "l2": 0.0, "elasticnet": 0.5}
 
@@ -49,8 +51,13 @@ def _with_index(df: DataFrame, classes: Sequence[str]) -> DataFrame:
 def lr_fit(train: DataFrame, kind: str = "l2", C: float = 1.0, classes: Sequence[str] = CLASSES,
            max_iter: int = 2000, tol: float = 1e-4, features: str = "features") -> LogisticRegressionModel:
     """Fit with penalty strength 1/C on the summed loss.  Spark averages the
-    loss, so its parameter is 1 / (C · n)."""
+    loss, so its parameter is 1 / (C · n).
+
+    Every iteration is a job over all partitions; a table with few rows per
+    partition is packed first, a large one keeps its partitions.
+    """
     n = train.count()
+    train = train.coalesce(1 + n // _ROWS_PER_TASK)
     lr = LogisticRegression(
         featuresCol=features, labelCol="label_idx", family="multinomial", standardization=False,
         elasticNetParam=L1_RATIO[kind], regParam=1.0 / (C * n), maxIter=max_iter, tol=tol)

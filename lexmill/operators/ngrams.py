@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from lexmill.plans.layout import by_document
+from lexmill.session import materialize
 
 # Sentence markers, probability floor, discount.
 START, END = "<s>", "</s>"
@@ -119,7 +120,8 @@ def fit_ngram_model(docs: DataFrame, n: int, smoothing: str = "laplace",
 
     `smoothing` is none, laplace or kneser_ney.  For kneser_ney with n = 3,
     mode "as_implemented" gives every seen context a follower count of 1 and
-    "formula" uses the real count.
+    "formula" uses the real count.  Counts are written once; all other tables
+    are folded from them.
     """
     if smoothing not in ("none", "laplace", "kneser_ney"):
         raise ValueError(f"unknown smoothing: {smoothing}")
@@ -129,7 +131,7 @@ def fit_ngram_model(docs: DataFrame, n: int, smoothing: str = "laplace",
         return (ngrams(docs, order, tokens, key, ("label",), pads)
                 .groupBy("context", "word").agg(*_per_class(classes)))
 
-    counts = table(n, n - 1)
+    counts = materialize(table(n, n - 1), "ngrams")
     contexts = counts.groupBy("context").agg(
         *[F.sum(f"c_{c}").alias(f"ctx_{c}") for c in classes],
         *[F.sum((F.col(f"c_{c}") > 0).cast("long")).alias(f"fol_{c}") for c in classes])

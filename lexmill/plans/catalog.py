@@ -540,8 +540,9 @@ _lm_prob("lm_prob_kneser_ney_formula", 3, "kneser_ney", "formula")
 LM_RUNS = ((1, "laplace"), (2, "laplace"), (3, "kneser_ney"))
 
 
-def lm_scores(spark: SparkSession, base: str, n: int, smoothing: str) -> DataFrame:
-    docs = lm_split(spark, base)
+def lm_scores(spark: SparkSession, base: str, n: int, smoothing: str,
+              docs: DataFrame | None = None) -> DataFrame:
+    docs = lm_split(spark, base) if docs is None else docs
     model = L.fit_ngram_model(docs.filter(~F.col("is_test")), n, smoothing)
     return L.perplexity(docs.filter("is_test"), model, carry=("label",))
 
@@ -559,7 +560,8 @@ def classify_by_perplexity(spark, base):
 
 @query
 def lm_evaluation(spark, base):
-    runs = [L.classify_by_perplexity(lm_scores(spark, base, n, s)).select("label", "prediction")
+    docs = lm_split(spark, base)
+    runs = [L.classify_by_perplexity(lm_scores(spark, base, n, s, docs)).select("label", "prediction")
             .withColumn("order", F.lit(n)) for n, s in LM_RUNS]
     return M.weighted_prf(D.union_sources(*runs), ["order"])
 

@@ -21,19 +21,36 @@ LOG_STATUS = r"Status: (\d+)"
 LOG_TIME = r"Time: ([0-9.]+)\s?ms"
 
 
+def _without_long_lines(df: DataFrame, n_columns: int, sep: str) -> DataFrame:
+    """Drop lines with more fields than columns.  Shorter lines stay, padded
+    with nulls, and so do fields of the wrong type, as null."""
+    outside_quotes = sep + r'(?=(?:[^"]*"[^"]*")*[^"]*$)'
+    fields = F.size(F.split("_corrupt_record", outside_quotes))
+    return (df.filter(F.col("_corrupt_record").isNull() | (fields <= n_columns))
+            .drop("_corrupt_record"))
+
+
 def read_statements_tsv(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Headerless tab-separated statements; malformed lines are skipped."""
-    return (spark.read.schema(STATEMENT_SCHEMA).option("sep", "\t").option("mode", "DROPMALFORMED")
-            .csv(list(paths) if not isinstance(paths, str) else paths))
+    """Headerless tab-separated statements; lines with extra fields are skipped.
+
+    Column pruning is off in the parser, or a line's field count would only be
+    checked when all columns are read.
+    """
+    rows = (spark.read.schema(STATEMENT_SCHEMA + ", _corrupt_record string").option("sep", "\t")
+            .option("columnPruning", False).csv(list(paths) if not isinstance(paths, str) else paths))
+    return _without_long_lines(rows, STATEMENT_SCHEMA.count(",") + 1, "\t")
 
 
 def read_titles_csv(spark: SparkSession, paths_with_label: Mapping[str, str] | Sequence[tuple[str, str]]) -> DataFrame:
     """CSV files with a header, each tagged with the class of its role."""
     pairs = paths_with_label.items() if isinstance(paths_with_label, Mapping) else paths_with_label
-    frames = [
-        spark.read.option("header", True).option("mode", "DROPMALFORMED").option("multiLine", True)
-        .option("escape", '"').csv(path).withColumn("label", F.lit(label))
-        for path, label in pairs]
+    frames = []
+    for path, label in pairs:
+        reader = spark.read.option("header", True).option("escape", '"')
+        names = reader.csv(path).columns
+        schema = ", ".join(f"`{n}` string" for n in [*names, "_corrupt_record"])
+        rows = (reader.schema(schema).option("columnPruning", False).option("multiLine", True).csv(path))
+        frames.append(_without_long_lines(rows, len(names), ",").withColumn("label", F.lit(label)))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 

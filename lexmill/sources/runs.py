@@ -34,7 +34,7 @@ def read_runs(spark: SparkSession, root: str) -> DataFrame:
 
 def read_scorecards(spark: SparkSession, path: str) -> DataFrame:
     """The scorecard document as one map column `cards`."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     return text.select(F.from_json("value", SCORECARDS).alias("cards"))
 
 
