@@ -18,7 +18,7 @@ SPLIT_RULES = (
     (r"(\.{2,}|--)", " $1 "),                          # ellipsis, double dash
     (r"([\]\[(){}<>;@#$%&?!*])", " $1 "),              # stand-alone marks
     (r"([:,])([^\p{Nd}])", " $1 $2"),                  # not inside numbers
-    (r"([\p{L}\p{N}_]{2}|[^\p{L}\p{N}_. ])\.([\])}>\"'»”’]*) ", "$1 . $2 "),
+    (r"\.(?<=(?:[\p{L}\p{N}_]{2}|[^\p{L}\p{N}_. ])\.)([\])}>\"'»”’]*) ", " . $1 "),
 )
 # Fixed rules for words written together, applied after every space is doubled
 # so that neighbouring words do not share one.
