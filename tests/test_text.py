@@ -13,11 +13,10 @@ def one(spark, text, f):
 
 
 @pytest.mark.parametrize("text, expected", [
-    ("BREAKING: <b>News</b> says 'no war' https://t.co/abc123 @handle #politics!!!",
-     "breaking: news says 'no war' !"),
-    ("Yeh kya ho raha hai??? \U0001F621\U0001F621 This is FAKE email me at fake@news.com",
-     "yeh kya ho raha hai? this is fake email me at"),
-    ("growth of $1.5B (15% increase)...", "growth of $1.5b (15% increase)."),
+    ("Update: <i>River</i> rises 'fast' http://x.org/1?a=b @gauge_7 #flood!!!",
+     "update: river rises 'fast' !"),
+    ("Really??? \U0001F621\U0001F621 WRITE to desk@paper.org now", "really? write to now"),
+    ("up $2.5M (20% more)...", "up $2.5m (20% more)."),
     ("a -- b --- c", "a — b — c"),
     ("two words here", "two words here"),
     ("", ""), (None, ""),
@@ -68,6 +67,7 @@ def test_contraction_accuracy(spark):
 
 
 def test_preservation(spark):
+    # Fixed value: a code-switched sentence.
     text = "yeh news bilkul fake hai aur log pagal ho rahe hain"
     rate = lambda c: T.preservation_rate(c, F.array(*[F.lit(w) for w in text.split()]))
     assert one(spark, text, rate) == 1.0
@@ -128,6 +128,7 @@ def test_stemmers(spark):
 
 
 def test_over_stemming_of_domain_terms(spark):
+    # Twenty domain terms.
     terms = ("misinformation disinformation verification fact-checking propaganda manipulation "
              "sensationalism exaggeration credibility authenticity misleading fabricated conspiracy "
              "allegations investigations politicians democratic governmental unprecedented "
@@ -151,11 +152,11 @@ def test_lemma_prefers_noun(spark):
 
 
 def test_preprocess(spark):
-    df = spark.createDataFrame([("Pakistan's government released BREAKING NEWS!!!",)], "text string")
+    df = spark.createDataFrame([("The town's council printed BUDGET NEWS!!!",)], "text string")
     full = N.preprocess(df).first()
     assert full.processing_steps == list(N.STEPS) and full.token_count == len(full.tokens) > 0
     assert "'s" in full.tokens and full.tokens[-1] == "!"
     some = N.preprocess(df, ["remove_stopwords"]).first()
-    assert some.tokens[-1] == "NEWS!!!" and some.removed_stopwords == []
+    assert some.tokens[-1] == "NEWS!!!" and some.removed_stopwords == ["the"]
     with pytest.raises(ValueError):
         N.preprocess(df, ["fly"])
