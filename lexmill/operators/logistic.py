@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from lexmill.functions.wordlists import CLASSES
 from lexmill.operators.bayes import best_class

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexmill.functions.tokenizers import plural_rule, tokenize_contractions
-from lexmill.functions.wordlists import CLASSES, stopwords
+from lexmill.functions.tokenizers import tokenize_contractions
+from lexmill.functions.wordlists import CLASSES
 from lexmill.operators import (bow as B, corpus as D, dimensions as X, embeddings as E,
                                experiments as R, logistic as LR, normalizing as N, scoring as G,
                                tfidf as TF)
-from lexmill.plans.catalog import (MAX_TERMS, nb_alpha_sweep, nb_scores, query, split_documents,
+from lexmill.plans.catalog import (MAX_TERMS, nb_alpha_sweep, query, split_documents,
                                    vectors as embedding_vectors)
 from lexmill.plans.layout import spread
-from lexmill.plans.tables import clean_documents, prepared_documents, table
+from lexmill.plans.tables import prepared_documents, table
 from lexmill.session import materialize
 
 PCA_TERMS = 500

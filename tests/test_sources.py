@@ -2,7 +2,6 @@ import hashlib
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from lexmill.operators import corpus as D, experiments as R, scoring as G
 from lexmill.sources import lake, readers, runs
