@@ -65,6 +65,9 @@ def materialize(df: DataFrame, name: str = "table", key: str | None = None,
     path = f"{shared_folder(spark)}/{table}"
     if key:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        if spark.sparkContext.master.startswith("local"):
+            # one machine gains nothing from many more files than cores
+            buckets = min(buckets, spark.sparkContext.defaultParallelism)
         (df.write.format("parquet").option("path", path).bucketBy(buckets, key)
          .saveAsTable(table))
         return spark.table(table)
