@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexmill.llm import simhash_dedup
+from lexmill.llm import ann, decontaminate, passages, simhash_dedup
 from lexmill.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,3 +23,19 @@ def op1_simhash_near_dedup(spark, base):
     groups = simhash_dedup.near_duplicates(table(spark, base, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                          "component_id")
+
+
+@query
+def op3_nearest_vectors(spark, base):
+    return ann.nearest(table(spark, base, "embeddings"))
+
+
+@query
+def op9_repeated_passages(spark, base):
+    spans = passages.repeated_passages(table(spark, base, "documents"))
+    return spans.drop("row").distinct()
+
+
+@query
+def op10_benchmark_decontamination(spark, base):
+    return decontaminate.contaminated(table(spark, base, "documents"), table(spark, base, "benchmark"))
