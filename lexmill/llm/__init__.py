@@ -1 +1,11 @@
-"""Operators of a training-data pipeline: one module per operator."""
+"""Operators of a training-data pipeline: one module per operator.
+
+Functions that run in Python workers are shipped by value, so executors need no
+copy of this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

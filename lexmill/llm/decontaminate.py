@@ -106,8 +106,8 @@ def _windows(docs: DataFrame, lookup: DataFrame, size: int) -> DataFrame:
     hits = materialize(_hits(docs, lookup, size), "windows")
     hit_rows = hits.select("row").distinct()
     texts = (docs.join(hit_rows, "row", "left_semi")
-             .dropDuplicates(["row"])
-             .select("row", "doc_id", shingle_hashes(words("text"), size).alias("all")))
+             .dropDuplicates(["row"]).select("row", "doc_id", words("text").alias("w"))
+             .select("row", "doc_id", shingle_hashes(F.col("w"), size).alias("all")))
     return texts.join(hits, "row").select(
         "row", "doc_id", "n", "start",
         F.slice("all", F.col("start") + 1, F.greatest(F.col("n") - (size - 1), F.lit(1))).alias("shingles"))
