@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexmill.llm import ann, decontaminate, passages, simhash_dedup
+from lexmill.llm import ann, decontaminate, html_mincut, passages, quality, simhash_dedup
 from lexmill.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,17 @@ def op3_nearest_vectors(spark, base):
     return ann.nearest(table(spark, base, "embeddings"))
 
 
+@query
+def op4_quality_rules(spark, base):
+    docs = table(spark, base, "documents")
+    return quality.scored(docs, quality.fit(docs, table(spark, base, "labels")))
+
+
+@query
+def op8_html_main_text(spark, base):
+    return html_mincut.extract(table(spark, base, "pages"))
+
+
 @query
 def op9_repeated_passages(spark, base):
     spans = passages.repeated_passages(table(spark, base, "documents"))
