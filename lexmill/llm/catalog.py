@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexmill.llm import ann, decontaminate, html_mincut, passages, quality, simhash_dedup
+from lexmill.llm import (ann, decontaminate, html_mincut, licenses, packing, passages, quality,
+                         simhash_dedup, token_rollup, toxicity)
 from lexmill.llm.shared import table
+from lexmill.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -25,6 +28,12 @@ def op1_simhash_near_dedup(spark, base):
                          "component_id")
 
 
+@query
+def op2_toxicity_chain(spark, base):
+    docs = table(spark, base, "documents")
+    return toxicity.scored(docs, toxicity.fit(docs, table(spark, base, "labels")))
+
+
 @query
 def op3_nearest_vectors(spark, base):
     return ann.nearest(table(spark, base, "embeddings"))
@@ -36,6 +45,56 @@ def op4_quality_rules(spark, base):
     return quality.scored(docs, quality.fit(docs, table(spark, base, "labels")))
 
 
+@query
+def op5_license_scan(spark, base):
+    return licenses.scan(table(spark, base, "documents"))
+
+
+@query
+def op6_packing(spark, base):
+    return packing.pack(table(spark, base, "documents"))
+
+
+@query
+def op7_token_rollup(spark, base):
+    """All documents come in, those labelled low quality go, those labelled
+    toxic lose their first line; the first batch is sent twice."""
+    docs, labels = table(spark, base, "documents"), table(spark, base, "labels")
+    low = labels.filter(F.col("quality") == 0).select("doc_id").distinct()
+    toxic = labels.filter((F.col("toxic") == 1) & (F.col("quality") != 0)).select("doc_id").distinct()
+    rest = docs.withColumn("rest", F.expr("substring(text, locate('\n', text) + 1)"))
+    rollup = token_rollup.Rollup(spark, f"{shared_folder(spark)}/rollup_{uuid.uuid4().hex}")
+    rollup.commit("load", token_rollup.inserts(docs))
+    rollup.commit("low-quality", token_rollup.deletes(docs.join(low, "doc_id", "left_semi")))
+    rollup.commit("load", token_rollup.inserts(docs))
+    rollup.commit("first-lines", token_rollup.revisions(rest.join(toxic, "doc_id", "left_semi"), "rest"))
+    return rollup.totals()
+
+
+SQL["op7_token_rollup"] = r"""
+WITH changes AS (
+  SELECT source, lang, text, CAST(1 AS BIGINT) AS sign, CAST(1 AS BIGINT) AS docs FROM documents
+  UNION ALL
+  SELECT source, lang, text, -1, -1 FROM documents
+  WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 0)
+  UNION ALL
+  SELECT source, lang, text, -1, 0 FROM documents
+  WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND quality <> 0)
+  UNION ALL
+  SELECT source, lang, substr(text, instr(text, chr(10)) + 1), 1, 0 FROM documents
+  WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND quality <> 0)
+), counted AS (
+  SELECT source, lang, docs, sign, 'words-1' AS tokenizer,
+         len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+')) AS tokens FROM changes
+  UNION ALL
+  SELECT source, lang, docs, sign, 'pieces-1',
+         len(regexp_extract_all(coalesce(text, ''), '\p{L}+|\p{N}|[^\p{L}\p{N} \t\n\x0B\f\r]')) FROM changes
+)
+SELECT source, lang, tokenizer, CAST(sum(docs) AS BIGINT) AS docs, CAST(sum(sign * tokens) AS BIGINT) AS tokens
+FROM counted GROUP BY source, lang, tokenizer
+"""
+
+
 @query
 def op8_html_main_text(spark, base):
     return html_mincut.extract(table(spark, base, "pages"))
