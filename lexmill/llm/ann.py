@@ -37,8 +37,8 @@ SHARDS = 12
 SHARD_ROWS = 250_000
 QUERY_BLOCK = 20_000
 LINKS = 16                  # neighbours of a node; twice as many on the bottom layer
-BUILD_WIDTH = 64            # candidates held while a node is placed
-SEARCH_WIDTH = 112          # candidates held while a query is answered
+BUILD_WIDTH = 80            # candidates held while a node is placed
+SEARCH_WIDTH = 160          # candidates held while a query is answered
 STEP = 4                    # candidates opened at a time
 _BATCH = 256
 
