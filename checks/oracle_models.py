@@ -45,10 +45,10 @@ PARTS_PRIORS = """priors AS (SELECT label, ln(count(*) / (SELECT count(*) FROM p
 def nb_test(t, texts, w):
     """Scores of `texts` (doc_id, label) with weights `w`."""
     return [
-        f"""lp{t} AS (SELECT d.doc_id, d.label, p.label AS class, round(p.lp + coalesce(sum(x.w * y.ll), 0), 6) AS lp
+        f"""lp{t} AS (SELECT d.doc_id, d.label, p.label AS class, p.lp + coalesce(list_sum(list_sort(list(x.w * y.ll))), 0) AS lp
   FROM {texts} d CROSS JOIN priors p LEFT JOIN {w} x ON x.doc_id = d.doc_id
   LEFT JOIN ll{t} y ON y.term = x.term AND y.label = p.label GROUP BY d.doc_id, d.label, p.label, p.lp)""",
-        f"""scored{t} AS (SELECT doc_id, label, class, lp, e / sum(e) OVER (PARTITION BY doc_id) AS p
+        f"""scored{t} AS (SELECT doc_id, label, class, lp, e / list_sum(list_sort(list(e) OVER (PARTITION BY doc_id))) AS p
   FROM (SELECT *, exp(lp - max(lp) OVER (PARTITION BY doc_id)) AS e FROM lp{t}))""",
         f"""pred{t} AS (SELECT doc_id, label, class AS prediction FROM (
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY lp DESC, class) AS rn FROM lp{t}) WHERE rn = 1)"""]
@@ -88,7 +88,7 @@ FROM pre LEFT JOIN gone ON gone.doc_id = pre.doc_id"""
     m["doc_vectors"] = with_(*WORDS, vocab(10000), """known AS (SELECT v.term, e.embedding FROM vocab v
   JOIN embeddings e ON e.vec_id = v.idx)""") + "SELECT d.doc_id, " + ", ".join(
         f"round(coalesce(sum(tf.tf * k.embedding[{i + 1}]::DOUBLE) / sum(tf.tf) FILTER (WHERE k.term IS NOT NULL), 0), 6) + 0.0 AS v{i}"
-        for i in range(4)) + """ FROM docs d LEFT JOIN tf ON tf.doc_id = d.doc_id
+        for i in range(64)) + """ FROM docs d LEFT JOIN tf ON tf.doc_id = d.doc_id
 LEFT JOIN known k ON k.term = tf.term GROUP BY d.doc_id"""
     ab = "ab AS (SELECT vec_id, embedding[1]::DOUBLE AS a, embedding[2]::DOUBLE AS b FROM embeddings)"
     names = ["a", "b", "a_a", "a_b", "b_b", "a_a_a", "a_a_b", "a_b_b", "b_b_b"]
@@ -118,7 +118,7 @@ round((b - min(b) OVER ()) / (max(b) OVER () - min(b) OVER ()), 6) AS b FROM ab"
                     for c in CLASSES for x, y in (('"precision"', "precision"), ("recall", "recall"), ("f1", "f1")))
     m["ablation_naive_bayes"] = with_(*parts, *runs, f"pred AS ({union('pred')})", f"scored AS ({union('scored')})",
         prf("pred", "config_name"), f"params AS ({params})",
-        """groups AS (SELECT config_name, class, round(p, 6) AS score, count(*) FILTER (WHERE label = class) AS pos,
+        """groups AS (SELECT config_name, class, p AS score, count(*) FILTER (WHERE label = class) AS pos,
     count(*) FILTER (WHERE label <> class) AS neg FROM scored GROUP BY ALL)""",
         """aucs AS (SELECT config_name, class, sum(pos * (under + neg / 2)) / (sum(pos) * sum(neg)) AS auc, sum(pos) AS support
   FROM (SELECT *, coalesce(sum(neg) OVER (PARTITION BY config_name, class ORDER BY score
@@ -160,13 +160,13 @@ max(f1) FILTER (WHERE stage = 'Production') AS f1, count(*) AS n_versions{} FROM
 
     turns = "turns AS (SELECT conv_id || '-' || turn AS doc_id, conv_id, text FROM conversations)"
     why = """coef AS (SELECT term, label, ll - avg(ll) OVER (PARTITION BY term) AS coef FROM ll),
-contrib AS (SELECT nw.doc_id, nw.term, round(nw.w * c.coef, 6) AS contribution FROM nw
+contrib AS (SELECT nw.doc_id, nw.term, nw.w * c.coef AS contribution FROM nw
   JOIN pred p ON p.doc_id = nw.doc_id JOIN coef c ON c.term = nw.term AND c.label = p.prediction),
-why AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY abs(contribution) DESC, term) AS rank
+why AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(abs(contribution), 12) DESC, term) AS rank
   FROM contrib WHERE contribution <> 0)"""
     base = (turns, *scoring("turns"), why)
     m["explain_scores"] = with_(*base) + \
-        "SELECT doc_id, rank, term, contribution + 0.0 AS contribution FROM why WHERE rank <= 10"
+        "SELECT doc_id, rank, term, round(contribution, 6) + 0.0 AS contribution FROM why WHERE rank <= 10"
     m["score_texts"] = with_(*base, """tops AS (SELECT doc_id, string_agg(term, ' ' ORDER BY rank) AS t
 FROM why WHERE rank <= 10 GROUP BY doc_id)""") + """
 SELECT pred.doc_id, pred.prediction, round(max(p), 6) AS confidence,

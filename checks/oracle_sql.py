@@ -14,7 +14,7 @@ SP = (r"\t-\r\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
       r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
 EMOJI = (r"[\x{1F600}-\x{1F64F}\x{24C2}-\x{1F251}\x{10000}-\x{10FFFF}\x{2640}-\x{2642}"
          r"\x{2600}-\x{2B55}\x{200D}\x{23CF}\x{23E9}\x{231A}\x{FE0F}\x{3030}]+")
-MAX_TERMS = 2000
+MAX_TERMS = 10_000
 
 
 def lit(s: str) -> str:
@@ -180,11 +180,11 @@ NB = (*BASE, docs(), TF, vocab(), split(),
       """ll AS (SELECT term, label, ln((s + CAST(1.0 AS DOUBLE)) / (sum(s) OVER (PARTITION BY label)
     + CAST(1.0 AS DOUBLE) * count(*) OVER (PARTITION BY label))) AS ll FROM sums)""",
       """lp AS (SELECT d.doc_id, d.label, p.label AS class,
-    round(p.lp + coalesce(sum(tf.tf * ll.ll), 0), 6) AS lp
+    p.lp + coalesce(list_sum(list_sort(list(tf.tf * ll.ll))), 0) AS lp
   FROM split d CROSS JOIN priors p LEFT JOIN tf ON tf.doc_id = d.doc_id
   LEFT JOIN ll ON ll.term = tf.term AND ll.label = p.label
   WHERE d.is_test GROUP BY d.doc_id, d.label, p.label, p.lp)""",
-      """scored AS (SELECT doc_id, label, class, lp, e / sum(e) OVER (PARTITION BY doc_id) AS p
+      """scored AS (SELECT doc_id, label, class, lp, e / list_sum(list_sort(list(e) OVER (PARTITION BY doc_id))) AS p
   FROM (SELECT *, exp(lp - max(lp) OVER (PARTITION BY doc_id)) AS e FROM lp))""",
       """pred AS (SELECT doc_id, label, class AS prediction FROM (
     SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY lp DESC, class) AS rn FROM lp) WHERE rn = 1)""")
@@ -213,9 +213,9 @@ def weighted(by=""):
     return f"SELECT {b}round(sum(tp) / sum(support), 6) AS accuracy, {cols} FROM prf{group}"
 
 
-SCORE_GROUPS = """groups AS (SELECT class, round(p, 6) AS score,
+SCORE_GROUPS = """groups AS (SELECT class, p AS score,
     count(*) FILTER (WHERE label = class) AS pos, count(*) FILTER (WHERE label <> class) AS neg
-  FROM scored GROUP BY class, round(p, 6))"""
+  FROM scored GROUP BY class, p)"""
 
 
 # --- n-gram models -------------------------------------------------------------
@@ -279,7 +279,7 @@ def lm(n, smoothing, mode="as_implemented", tag=""):
 
 
 def pp(tag=""):
-    return f"""pp{tag} AS (SELECT doc_id, label, class, round(exp(-sum(m * ln(p)) / sum(m)), 6) AS pp
+    return f"""pp{tag} AS (SELECT doc_id, label, class, exp(-sum(m * ln(p)) / sum(m)) AS pp
   FROM scored{tag} GROUP BY doc_id, label, class),
 pred{tag} AS (SELECT doc_id, label, class AS prediction FROM (
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pp, class = 'Fake') AS rn FROM pp{tag})
@@ -472,11 +472,11 @@ SELECT (SELECT count(*) FROM docs) AS n_docs, count(*) AS n_features, CAST(sum(d
 c AS (SELECT label, count(*) AS n FROM docs GROUP BY label),
 tot AS (SELECT term, sum(w) AS total FROM w GROUP BY term),
 ins AS (SELECT label, term, sum(w) AS s FROM w GROUP BY label, term),
-sc AS (SELECT c.label, t.term, round(coalesce(i.s, 0) / c.n
-   - (t.total - coalesce(i.s, 0)) / ((SELECT sum(n) FROM c) - c.n), 6) AS score
+sc AS (SELECT c.label, t.term, coalesce(i.s, 0) / c.n
+   - (t.total - coalesce(i.s, 0)) / ((SELECT sum(n) FROM c) - c.n) AS score
   FROM tot t CROSS JOIN c LEFT JOIN ins i ON i.term = t.term AND i.label = c.label)""") + """
-SELECT label, rank, term, score + 0.0 AS score FROM (SELECT *, row_number() OVER (
-PARTITION BY label ORDER BY score DESC, term) AS rank FROM sc) WHERE rank <= 15"""
+SELECT label, rank, term, round(score, 6) + 0.0 AS score FROM (SELECT *, row_number() OVER (
+PARTITION BY label ORDER BY round(score, 12) DESC, term) AS rank FROM sc) WHERE rank <= 15"""
     bench_tf = f"""qtf AS (SELECT doc_id, NULL AS label, term, count(*) AS tf FROM (
 SELECT item_id AS doc_id, unnest({unlisted(vec_tokens(clean('text')), stopwords('custom'))}) AS term
 FROM benchmark) GROUP BY ALL)"""
@@ -487,9 +487,9 @@ FROM benchmark) GROUP BY ALL)"""
         vocab(source="ttf"), idf(n="(SELECT count(*) FROM split WHERE NOT is_test)")) + \
         "SELECT term, idx, df, round(idf, 6) AS idf FROM fitted"
 
-    top = """SELECT query_id, rank, doc_id, label, similarity FROM (SELECT *, row_number() OVER (
-PARTITION BY query_id ORDER BY similarity DESC, doc_id) AS rank FROM (
-SELECT {q} AS query_id, b.doc_id, b.label, round(sum(a.w * b.w), {d}) AS similarity
+    top = """SELECT query_id, rank, doc_id, label, round(similarity, {d}) AS similarity FROM (SELECT *, row_number() OVER (
+PARTITION BY query_id ORDER BY round(similarity, 12) DESC, doc_id) AS rank FROM (
+SELECT {q} AS query_id, b.doc_id, b.label, sum(a.w * b.w) AS similarity
 FROM {a} a JOIN w b ON a.term = b.term {where} GROUP BY ALL) WHERE similarity > 0) WHERE rank <= {k}"""
     picks = "picks AS (SELECT doc_id FROM corpus ORDER BY md5('42:' || doc_id) LIMIT 10)"
     near = with_(*WORDS, vocab(), idf(), weights(), picks,
@@ -501,7 +501,8 @@ round(avg(CASE WHEN h.label = c.label THEN 1.0 ELSE 0.0 END), 6) AS agreement
 FROM hits h JOIN corpus c ON c.doc_id = h.query_id GROUP BY c.label"""
     q["retrieve_similar"] = with_(*WORDS, vocab(), idf(), weights(), bench_tf,
                                   weights(source="qtf", name="qw")) + \
-        top.format(q="a.doc_id", d=4, a="qw", k=5, where="")
+        "SELECT t.*, left(c.text_clean, 500) AS text FROM (" + top.format(
+            q="a.doc_id", d=4, a="qw", k=5, where="") + ") t JOIN cleaned c ON c.doc_id = t.doc_id"
 
     q["context_pairs"] = with_(*BASE, docs(),
         """words AS (SELECT doc_id, term, row_number() OVER () AS o FROM (SELECT doc_id, unnest(tokens) AS term FROM docs)),
@@ -517,12 +518,12 @@ EXCLUDE CURRENT ROW), '') AS context FROM kept"""
 CASE WHEN b.vec_id IS NULL THEN NULL ELSE round({cos.format(a='a.embedding', b='b.embedding')}, 6) + 0.0 END AS similarity
 FROM embeddings a LEFT JOIN embeddings b ON b.vec_id = a.vec_id + 1"""
     q["nearest_words"] = f"""WITH t AS (SELECT vec_id, embedding FROM embeddings ORDER BY md5('42:' || vec_id) LIMIT 8)
-SELECT term, rank, neighbor, similarity + 0.0 AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY term
-ORDER BY similarity DESC, neighbor) AS rank FROM (SELECT t.vec_id AS term, e.vec_id AS neighbor,
-round({cos.format(a='t.embedding', b='e.embedding')}, 6) AS similarity
+SELECT term, rank, neighbor, round(similarity, 6) + 0.0 AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY term
+ORDER BY round(similarity, 12) DESC, neighbor) AS rank FROM (SELECT t.vec_id AS term, e.vec_id AS neighbor,
+{cos.format(a='t.embedding', b='e.embedding')} AS similarity
 FROM t JOIN embeddings e ON e.vec_id <> t.vec_id)) WHERE rank <= 5"""
-    q["top_words"] = with_(*WORDS, vocab(10000)) + """SELECT word, cf, v0 FROM (
-SELECT e.vec_id AS word, v.cf, round(e.embedding[1]::DOUBLE, 6) + 0.0 AS v0, v.idx
+    q["top_words"] = with_(*WORDS, vocab(10000)) + """SELECT word, cf, array_to_string(list_transform(embedding, lambda x: printf('%.6f', x)), ' ') AS vector FROM (
+SELECT e.vec_id AS word, v.cf, e.embedding, v.idx
 FROM vocab v JOIN embeddings e ON e.vec_id = v.idx) ORDER BY cf DESC, word LIMIT 200"""
 
     q["ngrams"] = with_(*BASE, docs(), grams(3)) + \
@@ -551,7 +552,7 @@ UNION ALL SELECT label, 'types', '', count(*) FROM cnt GROUP BY ALL"""
     q["lm_prob_kneser_ney_trigram"] = lm_query(3, "kneser_ney")
     q["lm_prob_kneser_ney_formula"] = lm_query(3, "kneser_ney", "formula")
     q["perplexity"] = with_(*LM_SPLIT, *lm(2, "laplace"), pp()) + """SELECT doc_id, label,
-max(pp) FILTER (WHERE class = 'Real') AS "pp_Real", max(pp) FILTER (WHERE class = 'Fake') AS "pp_Fake"
+round(max(pp) FILTER (WHERE class = 'Real'), 6) AS "pp_Real", round(max(pp) FILTER (WHERE class = 'Fake'), 6) AS "pp_Fake"
 FROM pp GROUP BY doc_id, label"""
     q["classify_by_perplexity"] = with_(*LM_SPLIT, *lm(3, "kneser_ney"), pp()) + "SELECT * FROM pred"
     runs = [x for n, s in ((1, "laplace"), (2, "laplace"), (3, "kneser_ney"))
@@ -563,7 +564,7 @@ FROM pp GROUP BY doc_id, label"""
     q["nb_fit"] = with_(*NB) + "SELECT term, label AS class, round(ll, 6) AS ll FROM ll"
     q["nb_priors"] = with_(CORPUS, ids, split("ids")) + """SELECT label, round(ln(count(*) / (
 SELECT count(*) FROM split WHERE NOT is_test)), 6) AS lp FROM split WHERE NOT is_test GROUP BY label"""
-    q["nb_log_proba"] = with_(*NB) + "SELECT doc_id, class, lp FROM lp"
+    q["nb_log_proba"] = with_(*NB) + "SELECT doc_id, class, round(lp, 6) AS lp FROM lp"
     q["nb_proba"] = with_(*NB) + "SELECT doc_id, class, round(p, 6) AS p FROM scored"
     q["nb_predict"] = with_(*NB) + "SELECT doc_id, label, prediction FROM pred"
     acc = "SELECT round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM pred"
@@ -575,7 +576,7 @@ SELECT count(*) FROM split WHERE NOT is_test)), 6) AS lp FROM split WHERE NOT is
              GROUP BY w.term, w.label) s ON s.term = v.term AND s.label = c.label)""",
         """wll AS (SELECT term, label, ln((s + 1) / (sum(s) OVER (PARTITION BY label)
     + count(*) OVER (PARTITION BY label))) AS ll FROM wsums)""",
-        """wlp AS (SELECT d.doc_id, d.label, p.label AS class, round(p.lp + coalesce(sum(w.w * wll.ll), 0), 6) AS lp
+        """wlp AS (SELECT d.doc_id, d.label, p.label AS class, p.lp + coalesce(sum(w.w * wll.ll), 0) AS lp
   FROM split d CROSS JOIN priors p LEFT JOIN w ON w.doc_id = d.doc_id
   LEFT JOIN wll ON wll.term = w.term AND wll.label = p.label
   WHERE d.is_test GROUP BY d.doc_id, d.label, p.label, p.lp)""",
@@ -590,7 +591,7 @@ row_number() OVER (ORDER BY f1 DESC, input DESC) = 1 AS best FROM f"""
     q["nb_alpha_sweep"] = with_(*NB, f"alphas AS ({alphas})",
         """all_ AS (SELECT alpha, term, label, ln((s + alpha) / (sum(s) OVER (PARTITION BY alpha, label)
    + alpha * count(*) OVER (PARTITION BY alpha, label))) AS ll FROM sums CROSS JOIN alphas)""",
-        """alp AS (SELECT a.alpha, d.doc_id, d.label, p.label AS class, round(p.lp + coalesce(sum(tf.tf * x.ll), 0), 6) AS lp
+        """alp AS (SELECT a.alpha, d.doc_id, d.label, p.label AS class, p.lp + coalesce(sum(tf.tf * x.ll), 0) AS lp
   FROM split d CROSS JOIN priors p CROSS JOIN alphas a LEFT JOIN tf ON tf.doc_id = d.doc_id
   LEFT JOIN all_ x ON x.term = tf.term AND x.label = p.label AND x.alpha = a.alpha
   WHERE d.is_test GROUP BY a.alpha, d.doc_id, d.label, p.label, p.lp)""",
@@ -614,7 +615,7 @@ UNION ALL SELECT 'macro avg', round(avg("precision"), 6), round(avg(recall), 6),
 UNION ALL SELECT 'weighted avg', round(sum("precision" * support) / sum(support), 6),
   round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6),
   CAST(sum(support) AS BIGINT) FROM prf"""
-    q["roc_points"] = with_(*NB, SCORE_GROUPS) + """SELECT class, score AS threshold,
+    q["roc_points"] = with_(*NB, SCORE_GROUPS) + """SELECT class, round(score, 6) AS threshold,
 round(sum(neg) OVER d / sum(neg) OVER (PARTITION BY class), 6) AS fpr,
 round(sum(pos) OVER d / sum(pos) OVER (PARTITION BY class), 6) AS tpr
 FROM groups WINDOW d AS (PARTITION BY class ORDER BY score DESC ROWS UNBOUNDED PRECEDING)"""

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from lexmill.functions.wordlists import ALPHAS, CLASSES
 from lexmill.operators.bow import MAX_FEATURES, restrict
 from lexmill.operators.metrics import weighted_prf
+from lexmill.plans.layout import settled
 
 
 def class_sums(rows: DataFrame, weight: str = "tf", classes: Sequence[str] = CLASSES,
@@ -50,7 +51,7 @@ def nb_priors(docs: DataFrame, classes: Sequence[str] = CLASSES) -> Column:
 
 def nb_log_proba(rows: DataFrame, loglik: DataFrame, priors: Column, weight: str = "tf",
                  key: str = "doc_id", carry: Sequence[str] = (), classes: Sequence[str] = CLASSES,
-                 max_features: int = MAX_FEATURES, digits: int = 6) -> DataFrame:
+                 max_features: int = MAX_FEATURES) -> DataFrame:
     """(key, carry…, lp_<class>…): log prior + Σ weight · log likelihood.
 
     Unknown terms add nothing; a document of unknown terms keeps the prior.
@@ -61,7 +62,7 @@ def nb_log_proba(rows: DataFrame, loglik: DataFrame, priors: Column, weight: str
         for c in classes])
     scored = sums.withColumn("prior", priors)
     return scored.select(key, *carry, *[
-        F.round(F.col(f"lp_{c}") + F.col(f"prior.{c}"), digits).alias(f"lp_{c}") for c in classes])
+        (F.col(f"lp_{c}") + F.col(f"prior.{c}")).alias(f"lp_{c}") for c in classes])
 
 
 def best_class(scores: dict[str, Column]) -> Column:
@@ -95,8 +96,7 @@ def unpivot_classes(df: DataFrame, prefix: str, out: str, keep: Sequence[str],
 
 
 def nb_alpha_sweep(rows: DataFrame, docs: DataFrame, alphas: Sequence[float] = ALPHAS,
-                   classes: Sequence[str] = CLASSES, max_features: int = MAX_FEATURES,
-                   digits: int = 6) -> DataFrame:
+                   classes: Sequence[str] = CLASSES, max_features: int = MAX_FEATURES) -> DataFrame:
     """Test accuracy and weighted P/R/F1 per α, and the best α by F1.
 
     `rows` is (doc_id, label, is_test, term, tf), `docs` (label, is_test).  All
@@ -115,9 +115,9 @@ def nb_alpha_sweep(rows: DataFrame, docs: DataFrame, alphas: Sequence[float] = A
         for i in range(len(alphas)) for c in classes]).withColumn("prior", priors)
     runs = F.explode(F.array(*[
         F.struct(F.lit(float(a)).alias("alpha"), best_class({
-            c: F.round(F.col(f"lp_{i}_{c}") + F.col(f"prior.{c}"), digits) for c in classes
+            c: F.col(f"lp_{i}_{c}") + F.col(f"prior.{c}") for c in classes
         }).alias("prediction")) for i, a in enumerate(alphas)]))
     predictions = scored.select("label", runs.alias("r")).select("label", "r.alpha", "r.prediction")
     table = weighted_prf(predictions, ["alpha"])
-    best = F.row_number().over(W.partitionBy().orderBy(F.round("f1", digits).desc(), "alpha")) == 1
+    best = F.row_number().over(W.partitionBy().orderBy(settled(F.col("f1")).desc(), "alpha")) == 1
     return table.withColumn("best", best)

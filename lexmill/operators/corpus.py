@@ -8,11 +8,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from lexmill.functions.wordlists import FAKE_RATINGS, REAL_RATINGS
-from lexmill.plans.layout import lookup_map, scalar
-from lexmill.plans.selection import SEED, keep_smallest, seeded_hash
+from lexmill.plans.layout import scalar
+from lexmill.plans.selection import SEED, keep_smallest
+from lexmill.session import materialize
 
-# Above this many rows a sample is no longer gathered in one task.
-_TOP_N_LIMIT = 10_000
+# A column with more distinct values than this is no class label.
+MAX_CLASSES = 10_000
 
 
 # --- projections and predicates -------------------------------------------
@@ -54,9 +55,12 @@ def keep_classes(df: DataFrame, labels: Sequence[str]) -> DataFrame:
 
 
 def class_array(df: DataFrame, col: str = "label") -> Column:
-    """The sorted distinct classes of a table, as a scalar subquery."""
-    distinct = df.filter(F.col(col).isNotNull()).select(col).distinct()
-    return scalar(distinct.agg(F.array_sort(F.collect_list(col)).alias("c")), F.col("c"))
+    """The sorted distinct classes of a table, as a scalar subquery.  The plan
+    fails where there are more than MAX_CLASSES: such a column is no class."""
+    distinct = df.filter(F.col(col).isNotNull()).select(col).distinct().limit(MAX_CLASSES + 1)
+    checked = F.when(F.size("c") <= MAX_CLASSES, F.col("c")).otherwise(
+        F.raise_error(F.lit(f"more than {MAX_CLASSES} classes")))
+    return scalar(distinct.agg(F.array_sort(F.collect_list(col)).alias("c")), checked)
 
 
 def encode_labels(df: DataFrame, col: str = "label", out: str = "label_idx") -> DataFrame:
@@ -115,8 +119,6 @@ def union_sources(*dfs: DataFrame) -> DataFrame:
 
 def sample_n(df: DataFrame, n: int, seed: int = SEED, key: str = "doc_id") -> DataFrame:
     """Exactly min(n, count) rows, chosen by seeded hash of the key."""
-    if n <= _TOP_N_LIMIT:
-        return df.orderBy(seeded_hash(key, seed)).limit(n)
     whole = lambda sizes: sizes.withColumn("target", F.least("n", F.lit(n)))
     return keep_smallest(df, key, [], whole, seed)
 
@@ -167,9 +169,10 @@ def duplicate_rate(df: DataFrame, text: str = "text", approximate: bool = False)
 # --- balance and splits -----------------------------------------------------
 
 def class_distribution(df: DataFrame, col: str = "label") -> DataFrame:
-    """Rows and percentage per value; the window runs over the counts only."""
+    """Rows and percentage per value, for any number of values."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("pct", F.col("n") * 100.0 / F.sum("n").over(W.partitionBy()))
+    total = scalar(df.agg(F.count(F.lit(1)).alias("n")), F.col("n"))
+    return counts.withColumn("pct", F.col("n") * 100.0 / total)
 
 
 def balance(df: DataFrame, method: str = "class_weighted", threshold: float = 0.40,
@@ -191,10 +194,13 @@ def balance(df: DataFrame, method: str = "class_weighted", threshold: float = 0.
         return keep_smallest(df, key, ["label"], allot, seed).withColumn("sample_weight", F.lit(1.0))
     if method == "class_weighted":
         counts = df.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-        weight = F.when(imbalanced(), F.sum("n").over(everything)
-                        / (F.count(F.lit(1)).over(everything) * F.col("n"))).otherwise(F.lit(1.0))
-        weights = lookup_map(counts.withColumn("w", weight), F.col("label"), F.col("w"))
-        return df.withColumn("sample_weight", F.element_at(weights, F.col("label")))
+        counts = materialize(counts, "counts")
+        whole = scalar(counts.agg(F.struct(
+            F.sum("n").alias("n"), F.count("n").alias("k"), F.max("n").alias("most")).alias("s")), F.col("s"))
+        weight = F.when(whole["most"] / whole["n"] > threshold, whole["n"] / (whole["k"] * F.col("n"))).otherwise(
+            F.lit(1.0))
+        weights = counts.select("label", weight.alias("sample_weight"))
+        return df.join(weights, "label", "left").select(*df.columns, "sample_weight")
     raise ValueError(f"unknown balancing method: {method}")
 
 

@@ -14,10 +14,9 @@ from lexmill.functions.wordlists import CLASSES
 from lexmill.operators.bayes import best_class
 from lexmill.operators.embeddings import concat_features
 from lexmill.operators.metrics import per_class_prf, weighted_prf
+from lexmill.plans.layout import settled
 from lexmill.session import materialize
 
-_ROWS_PER_TASK = 20_000
-
 # Share of the L1 penalty per kind.
 L1_RATIO = {"l1": 1.0, "l2": 0.0, "elasticnet": 0.5}
 
@@ -53,11 +52,9 @@ def lr_fit(train: DataFrame, kind: str = "l2", C: float = 1.0, classes: Sequence
     """Fit with penalty strength 1/C on the summed loss.  Spark averages the
     loss, so its parameter is 1 / (C · n).
 
-    Every iteration is a job over all partitions; a table with few rows per
-    partition is packed first, a large one keeps its partitions.
+    Every iteration is a job over the partitions of `train`.
     """
     n = train.count()
-    train = train.coalesce(1 + n // _ROWS_PER_TASK)
     lr = LogisticRegression(
         featuresCol=features, labelCol="label_idx", family="multinomial", standardization=False,
         elasticNetParam=L1_RATIO[kind], regParam=1.0 / (C * n), maxIter=max_iter, tol=tol)
@@ -83,7 +80,7 @@ def lr_variants(vectors: DataFrame, kinds: Sequence[str] = ("l1", "l2", "elastic
     runs = [lr_score(lr_fit(train, k, C, classes, max_iter), test, classes)
             .select(F.lit(k).alias("variant"), "label", "prediction") for k in kinds]
     table = weighted_prf(reduce(DataFrame.unionByName, runs), ["variant"])
-    order = W.partitionBy().orderBy(F.round("f1", 6).desc(), "variant")
+    order = W.partitionBy().orderBy(settled(F.col("f1")).desc(), "variant")
     return table.withColumn("best", F.row_number().over(order) == 1)
 
 
@@ -135,7 +132,7 @@ def materialize_vectors(df: DataFrame) -> DataFrame:
 
 
 def explain_scores(weights: DataFrame, coefs: DataFrame, predictions: DataFrame, k: int = 10,
-                   key: str = "doc_id", digits: int = 6,
+                   key: str = "doc_id",
                    classes: Sequence[str] = CLASSES) -> DataFrame:
     """Top-k contributions weight · coefficient of the predicted class.
 
@@ -146,7 +143,7 @@ def explain_scores(weights: DataFrame, coefs: DataFrame, predictions: DataFrame,
         coef = F.when(F.col("prediction") == c, F.col(f"coef_{c}")).otherwise(coef)
     rows = (weights.select(key, "term", "w").join(predictions.select(key, "prediction"), key)
             .join(coefs, "term")
-            .select(key, "term", F.round(F.col("w") * coef, digits).alias("contribution"))
+            .select(key, "term", (F.col("w") * coef).alias("contribution"))
             .filter(F.col("contribution") != 0))
-    order = W.partitionBy(key).orderBy(F.abs("contribution").desc(), "term")
+    order = W.partitionBy(key).orderBy(settled(F.abs("contribution")).desc(), "term")
     return rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

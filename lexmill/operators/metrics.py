@@ -11,9 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-# Scores are rounded to this many digits for ROC points and AUC.  It bounds the
-# distinct thresholds of a class at 10**6 + 1, however many rows are scored.
-SCORE_DIGITS = 6
+from lexmill.session import materialize
 
 
 def pair_counts(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -86,34 +84,58 @@ def classification_report(df: DataFrame) -> DataFrame:
 
 
 def _score_groups(df: DataFrame, classes: Sequence[str], by: Sequence[str], prefix: str) -> DataFrame:
-    """Positives and negatives per (class, rounded score)."""
+    """Positives and negatives per (class, score), scores as they are."""
     one = F.explode(F.array(*[F.struct(
-        F.lit(c).alias("class"), F.round(f"{prefix}{c}", SCORE_DIGITS).alias("score"),
+        F.lit(c).alias("class"), (F.col(f"{prefix}{c}") + F.lit(0.0)).alias("score"),
         (F.col("label") == c).cast("long").alias("hit")) for c in classes]))
     return (df.select(*by, one.alias("o")).select(*by, "o.*").groupBy(*by, "class", "score")
             .agg(F.sum("hit").alias("pos"), F.sum(1 - F.col("hit")).alias("neg")))
 
 
+def _ranked_groups(df: DataFrame, classes: Sequence[str], by: Sequence[str], prefix: str) -> DataFrame:
+    """Score groups with the positives and negatives of smaller scores
+    (pos_under, neg_under) and of the whole class (pos_all, neg_all).
+
+    The groups are ranged by (run, class, score).  Each range keeps its own sum,
+    the few range sums give the offsets, and running sums stay inside a range,
+    so a class with any number of distinct scores never meets in one task.
+    """
+    keys = [*by, "class"]
+    ranged = _score_groups(df, classes, by, prefix).repartitionByRange(*keys, "score")
+    groups = materialize(ranged.withColumn("__range", F.spark_partition_id()), "scores")
+    sums = groups.groupBy(*keys, "__range").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    whole = W.partitionBy(*keys)
+    before = whole.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sums.select(
+        *keys, "__range",
+        *[F.coalesce(F.sum(x).over(before), F.lit(0)).alias(f"{x}_before") for x in "pn"],
+        F.sum("p").over(whole).alias("pos_all"), F.sum("n").over(whole).alias("neg_all"))
+    inside = W.partitionBy(*keys, "__range").orderBy("score").rowsBetween(W.unboundedPreceding, -1)
+    running = groups.withColumns({
+        "pos_in": F.coalesce(F.sum("pos").over(inside), F.lit(0)),
+        "neg_in": F.coalesce(F.sum("neg").over(inside), F.lit(0))})
+    return running.join(offsets, [*keys, "__range"]).select(
+        *keys, "score", "pos", "neg", "pos_all", "neg_all",
+        (F.col("pos_in") + F.col("p_before")).alias("pos_under"),
+        (F.col("neg_in") + F.col("n_before")).alias("neg_under"))
+
+
 def roc_points(df: DataFrame, classes: Sequence[str], by: Sequence[str] = (),
                prefix: str = "p_") -> DataFrame:
     """One-vs-rest (class, threshold, fpr, tpr) at each distinct score."""
-    groups = _score_groups(df, classes, by, prefix)
-    whole = W.partitionBy(*by, "class")
-    down = whole.orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, 0)
-    return groups.select(
+    ranked = _ranked_groups(df, classes, by, prefix)
+    return ranked.select(
         *by, "class", F.col("score").alias("threshold"),
-        (F.sum("neg").over(down) / F.sum("neg").over(whole)).alias("fpr"),
-        (F.sum("pos").over(down) / F.sum("pos").over(whole)).alias("tpr"))
+        ((F.col("neg_all") - F.col("neg_under")) / F.col("neg_all")).alias("fpr"),
+        ((F.col("pos_all") - F.col("pos_under")) / F.col("pos_all")).alias("tpr"))
 
 
 def auc_ovr(df: DataFrame, classes: Sequence[str], by: Sequence[str] = (),
             prefix: str = "p_") -> DataFrame:
     """One-vs-rest AUC and positives per class; exact rank statistic, ties
     counted half.  Null where a class has no positives or no negatives."""
-    groups = _score_groups(df, classes, by, prefix)
-    below = W.partitionBy(*by, "class").orderBy("score").rowsBetween(W.unboundedPreceding, -1)
-    ranked = groups.withColumn("under", F.coalesce(F.sum("neg").over(below), F.lit(0)))
-    wins = F.sum(F.col("pos") * (F.col("under") + F.col("neg") / 2))
+    ranked = _ranked_groups(df, classes, by, prefix)
+    wins = F.sum(F.col("pos") * (F.col("neg_under") + F.col("neg") / 2))
     pos, neg = F.sum("pos"), F.sum("neg")
     return ranked.groupBy(*by, "class").agg(
         F.when((pos > 0) & (neg > 0), wins / (pos * neg)).alias("auc"), pos.alias("support"))

@@ -196,7 +196,7 @@ def lm_prob(grams: DataFrame, model: NgramModel) -> DataFrame:
 
 
 def perplexity(docs: DataFrame, model: NgramModel, tokens: str = "tokens", key: str = "doc_id",
-               carry: Sequence[str] = (), digits: int = 6) -> DataFrame:
+               carry: Sequence[str] = ()) -> DataFrame:
     """(key, carry…, pp_<class>…): exp of the mean negative log probability.
 
     Repeated n-grams of a document are counted once with their multiplicity.
@@ -205,7 +205,7 @@ def perplexity(docs: DataFrame, model: NgramModel, tokens: str = "tokens", key:
              .groupBy(key, *carry, "context", "word").agg(F.count(F.lit(1)).alias("m")))
     scored = lm_prob(grams, model)
     return scored.groupBy(key, *carry).agg(*[
-        F.round(F.exp(-F.sum(F.col("m") * F.ln(f"p_{c}")) / F.sum("m")), digits).alias(f"pp_{c}")
+        F.exp(-F.sum(F.col("m") * F.ln(f"p_{c}")) / F.sum("m")).alias(f"pp_{c}")
         for c in model.classes])
 
 

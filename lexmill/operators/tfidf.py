@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from lexmill.operators.bow import MAX_FEATURES, restrict, vocabulary
+from lexmill.plans.layout import settled
 
 VARIANTS = ("standard", "smooth", "sublinear")
 
@@ -71,8 +72,8 @@ def discriminative_terms(weights: DataFrame, docs: DataFrame, classes: Sequence[
         return inside / n - (F.col("total") - inside) / (F.col("s.__all") - n)
 
     rows = sums.select("term", F.explode(F.array(*[
-        F.struct(F.lit(c).alias("label"), F.round(score(c), 6).alias("score"))
+        F.struct(F.lit(c).alias("label"), score(c).alias("score"))
         for c in classes])).alias("x")).select("term", "x.label", "x.score")
-    order = W.partitionBy("label").orderBy(F.desc("score"), "term")
+    order = W.partitionBy("label").orderBy(settled(F.col("score")).desc(), "term")
     return (rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("label", "rank", "term", "score"))

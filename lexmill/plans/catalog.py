@@ -11,7 +11,7 @@ from lexmill.functions.wordlists import CLASSES, CODE_SWITCH_WORDS, stopwords
 from lexmill.operators import (bayes as NB, bow as B, cleaning as OC, corpus as D, embeddings as E,
                                metrics as M, ngrams as L, retrieval as R, tfidf as TF,
                                tokenizing as T)
-from lexmill.plans.layout import spread
+from lexmill.plans.layout import settled, spread
 from lexmill.plans.tables import (clean_documents, corpus, prepared_documents, query_texts, table,
                                   tidy, token_documents)
 from lexmill.session import materialize
@@ -321,7 +321,7 @@ def min_token_length(spark, base):
 
 # --- bag of words and TF-IDF -------------------------------------------------
 
-MAX_TERMS = 2000
+MAX_TERMS = 10_000
 
 
 @query
@@ -424,7 +424,9 @@ def retrieve_similar(spark, base):
     queries = TF.transform_tfidf(B.term_counts(query_texts(spark, base)), fitted, max_features=MAX_TERMS)
     queries = materialize(queries.select(F.col("doc_id").alias("query_id"), "term", "w"), "queries")
     rows = TF.transform_tfidf(tf, fitted, carry=("label",), max_features=MAX_TERMS)
-    return R.similar_docs(queries, rows, 5, exclude_self=False, digits=4)
+    top = R.similar_docs(queries, rows, 5, exclude_self=False)
+    hits = top.join(docs.select("doc_id", F.left("text_clean", F.lit(500)).alias("text")), "doc_id")
+    return hits.select("query_id", "rank", "doc_id", "label", F.round("similarity", 4).alias("similarity"), "text")
 
 
 @query
@@ -466,7 +468,8 @@ def top_words(spark, base):
     """Vectors whose id is a vocabulary index, by frequency of that term."""
     vocab = B.vocabulary(B.term_counts(prepared_documents(spark, base)))
     top = E.top_words(vocab.select(F.col("idx").cast("long").alias("word"), "cf"), vectors(spark, base))
-    return top.select("word", "cf", F.get("vector", 0).cast("double").alias("v0"))
+    shown = F.transform("vector", lambda x: F.format_string("%.6f", x.cast("double")))
+    return top.select("word", "cf", F.array_join(shown, " ").alias("vector"))
 
 
 # --- n-gram language models --------------------------------------------------
@@ -638,7 +641,7 @@ def nb_compare_inputs(spark, base):
         loglik, priors, "w", carry=("label",), max_features=MAX_TERMS)
     tfidf = NB.nb_predict(scored).select("label", "prediction").withColumn("input", F.lit("tfidf"))
     table_ = M.weighted_prf(D.union_sources(bow, tfidf), ["input"]).select("input", F.col("f1"))
-    order = W.partitionBy().orderBy(F.round("f1", 6).desc(), F.desc("input"))
+    order = W.partitionBy().orderBy(settled(F.col("f1")).desc(), F.desc("input"))
     return table_.withColumn("best", F.row_number().over(order) == 1)
 
 

@@ -16,6 +16,8 @@ from lexmill.plans.tables import prepared_documents, table
 from lexmill.session import materialize
 
 PCA_TERMS = 500
+# Word vectors are averaged over this many parts, on any cluster.
+WORD_VECTOR_PARTITIONS = 8
 
 
 # --- normal forms --------------------------------------------------------------
@@ -118,14 +120,13 @@ def split_vectors(spark: SparkSession, base: str, size: int = MAX_TERMS):
 
 def word_vectors(spark: SparkSession, base: str) -> DataFrame:
     docs = prepared_documents(spark, base).select("doc_id", "tokens")
-    partitions = spark.sparkContext.defaultParallelism
-    model = E.train_skipgram(docs, partitions=partitions)
+    model = E.train_skipgram(docs, partitions=WORD_VECTOR_PARTITIONS)
     return model.getVectors().select("word", E.vector_to_array("vector").alias("vector"))
 
 
 @query
 def train_skipgram(spark, base):
-    return word_vectors(spark, base).select("word", F.size("vector").alias("dim"))
+    return word_vectors(spark, base).select("word", F.array_join(F.transform("vector", lambda x: F.format_string("%.6f", x)), " ").alias("vector"))
 
 
 @query
@@ -137,7 +138,7 @@ def doc_vectors(spark, base):
     known = vocab.join(embedding_vectors(spark, base).withColumnRenamed("word", "vec_id"),
                        F.col("idx") == F.col("vec_id")).select(F.col("term").alias("word"), "vector")
     rows = E.doc_vectors(docs, known, 64)
-    return rows.select("doc_id", *[F.get("doc_vector", i).alias(f"v{i}") for i in range(4)])
+    return rows.select("doc_id", *[F.get("doc_vector", i).alias(f"v{i}") for i in range(64)])
 
 
 @query

@@ -45,16 +45,10 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if 0 < max_rows * _ROW_BYTES <= threshold else df
 
 
-def lookup_map(df: DataFrame, key: Column, value: Column, max_keys: int = 1000) -> Column:
-    """A small table as one map value, read as a scalar subquery.
-
-    For per-class figures: the big side is neither shuffled nor joined.  The
-    plan itself checks the size and fails beyond `max_keys`.
-    """
-    folded = df.agg(F.collect_list(F.struct(key.alias("k"), value.alias("v"))).alias("kv"))
-    guarded = F.when(F.size("kv") <= max_keys, F.map_from_entries("kv")).otherwise(
-        F.raise_error(F.lit(f"lookup table has more than {max_keys} keys")))
-    return folded.select(guarded.alias("m")).scalar()
+def settled(value: Column) -> Column:
+    """A score as ranking sees it: 12 digits, so that the last bits, which depend
+    on the order in which a sum was taken, do not break ties between equals."""
+    return F.round(value, 12)
 
 
 def scalar(df: DataFrame, value: Column) -> Column:

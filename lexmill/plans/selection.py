@@ -4,8 +4,8 @@ Picking exactly n rows of a class with `row_number() over (partition by class)`
 sends a whole class to one task.  Here each row gets a pseudo-random hash of its
 key, a histogram over hash prefixes locates the prefix that holds the n-th
 smallest hash, and only the rows of that one prefix are ranked.  The result is
-one cut-off hash per group; keeping a row is then a row-local comparison that
-needs no join and no shuffle.
+one cut-off hash per group; keeping a row is then one comparison with its group's
+cut-off.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from lexmill.session import materialize
 
 SEED = 42
-MAX_LITERAL_GROUPS = 1000
 _PREFIX = 4  # hex digits of the histogram bucket: 65,536 buckets per group
 
 
@@ -32,10 +31,6 @@ def _group_key(groups: list[str]) -> Column:
     return F.concat_ws("\u0001", *parts) if parts else F.lit("")
 
 
-def _literal_map(rows, key: str, value: str) -> Column:
-    return F.create_map(*[F.lit(x) for r in rows for x in (r[key], r[value])])
-
-
 def keep_smallest(df: DataFrame, key: str, groups: list[str],
                   allot: Callable[[DataFrame], DataFrame],
                   seed: int = SEED, flag: str | None = None) -> DataFrame:
@@ -46,8 +41,8 @@ def keep_smallest(df: DataFrame, key: str, groups: list[str],
     becomes a boolean column.
 
     Two small jobs over key and group columns find the cut-offs while the plan
-    is built.  Up to MAX_LITERAL_GROUPS groups, the cut-offs become literals of
-    the plan; beyond that they stay a table and are joined.
+    is built; they come back as a written table whose measured size decides how
+    it is joined.
     """
     hashed = df.select(_group_key(groups).alias("__g"), *groups,
                        seeded_hash(key, seed).alias("__h"))
@@ -60,27 +55,11 @@ def keep_smallest(df: DataFrame, key: str, groups: list[str],
             .filter((F.col("__cum") >= F.col("target"))
                     & (F.col("__cum") - F.col("n") < F.col("target")))
             .select("__g", "__b", (F.col("target") - F.col("__cum") + F.col("n")).alias("__need")))
-    edges = edge.limit(MAX_LITERAL_GROUPS + 1).collect()
-    few = len(edges) <= MAX_LITERAL_GROUPS
-    if not edges:
-        return df.withColumn(flag, F.lit(False)) if flag else df.filter(F.lit(False))
-
-    if few:
-        near = (hashed
-                .withColumn("__b", F.element_at(_literal_map(edges, "__g", "__b"), F.col("__g")))
-                .withColumn("__need", F.element_at(_literal_map(edges, "__g", "__need"), F.col("__g")))
-                .filter(bucket == F.col("__b")))
-    else:
-        near = hashed.withColumn("__b", bucket).join(materialize(edge, "edges"), ["__g", "__b"])
+    near = hashed.withColumn("__b", bucket).join(materialize(edge, "edges"), ["__g", "__b"])
     cut = (near.withColumn("__r", F.row_number().over(W.partitionBy("__g").orderBy("__h")))
            .filter(F.col("__r") == F.col("__need")).select("__g", F.col("__h").alias("__cut")))
-
-    if few:
-        out = df
-        limit = F.element_at(_literal_map(cut.collect(), "__g", "__cut"), _group_key(groups))
-    else:
-        out = df.withColumn("__g", _group_key(groups)).join(materialize(cut, "cuts"), "__g", "left")
-        limit = F.col("__cut")
+    out = df.withColumn("__g", _group_key(groups)).join(materialize(cut, "cuts"), "__g", "left")
+    limit = F.col("__cut")
     chosen = F.coalesce(seeded_hash(key, seed) <= limit, F.lit(False))
     out = out.withColumn(flag, chosen) if flag else out.filter(chosen)
     return out.drop("__g", "__cut")
