@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from checks.oracle_sql import (BASE, MAX_TERMS, WORDS, clean, docs, in_list, lit, prf, split,
                                split_tokens, unlisted, vec_tokens, vocab, with_)
+from checks.oracle_stems import snowball
 from lexmill.functions.wordlists import CLASSES, stopwords
 
 
@@ -21,10 +22,23 @@ def model_tokens(stop="custom", min_len=1, source="text_clean"):
     return vec_tokens(f"array_to_string(list_transform({kept}, lambda t: {plural('t')}), ' ')")
 
 
+def stemmed_docs(t, stop):
+    """CTEs ending in `docs{t}`: tokens of `parts` in their Snowball form."""
+    joined = vec_tokens("string_agg(norm, ' ' ORDER BY pos)")
+    return [
+        f"""kept{t} AS (SELECT doc_id, label, is_test, {unlisted(split_tokens('text_clean'), stopwords(stop))} AS k FROM parts)""",
+        f"""at{t} AS (SELECT doc_id, label, is_test, unnest(k) AS word, unnest(range(1, len(k) + 1)) AS pos FROM kept{t})""",
+        f"words AS (SELECT DISTINCT word FROM at{t})", *snowball(),
+        f"""docs{t} AS (SELECT a.doc_id, a.label, a.is_test, {joined} AS tokens
+  FROM at{t} a JOIN snowball s ON s.word = a.word GROUP BY a.doc_id, a.label, a.is_test)"""]
+
+
 def nb_tfidf(t, stop, min_len, size):
     """CTEs ending in `ll{t}`: NB on TF-IDF of one preprocessing of `parts`."""
+    docs_ = stemmed_docs(t, stop) if t == STEMMED else [
+        f"docs{t} AS (SELECT doc_id, label, is_test, {model_tokens(stop, min_len)} AS tokens FROM parts)"]
     return [
-        f"docs{t} AS (SELECT doc_id, label, is_test, {model_tokens(stop, min_len)} AS tokens FROM parts)",
+        *docs_,
         f"""tf{t} AS (SELECT doc_id, label, is_test, term, count(*) AS tf FROM (
   SELECT doc_id, label, is_test, unnest(tokens) AS term FROM docs{t}) GROUP BY ALL)""",
         f"""voc{t} AS (SELECT term, ln((1 + CAST((SELECT count(*) FROM parts) AS DOUBLE)) / (1 + df)) + 1 AS idf
@@ -38,6 +52,7 @@ def nb_tfidf(t, stop, min_len, size):
   + count(*) OVER (PARTITION BY label))) AS ll FROM sm{t})"""]
 
 
+STEMMED = "3"       # the configuration that stems
 PARTS_PRIORS = """priors AS (SELECT label, ln(count(*) / (SELECT count(*) FROM parts WHERE NOT is_test)) AS lp
   FROM parts WHERE NOT is_test GROUP BY label)"""
 
@@ -55,7 +70,7 @@ def nb_test(t, texts, w):
 
 
 ABLATION = (("config_1", "standard", 1, 5000), ("config_2", "custom", 1, 5000),
-            ("config_4", "custom", 3, 5000), ("config_5", "custom", 1, 10000),
+            ("config_3", "custom", 1, 5000), ("config_4", "custom", 3, 5000), ("config_5", "custom", 1, 10000),
             ("config_6", "custom", 1, 15000))
 
 
@@ -112,7 +127,7 @@ round((b - min(b) OVER ()) / (max(b) OVER () - min(b) OVER ()), 6) AS b FROM ab"
         return " UNION ALL ".join(f"SELECT {lit(c[0])} AS config_name, * FROM {x}{c[0][-1]}" for c in ABLATION)
 
     params = " UNION ALL ".join(
-        f"SELECT {lit(n)} AS config_name, {lit(s)} AS stopwords, 'lemma' AS normalization, "
+        f"SELECT {lit(n)} AS config_name, {lit(s)} AS stopwords, {lit('stem' if n[-1] == STEMMED else 'lemma')} AS normalization, "
         f"{k}::BIGINT AS min_token_len, {z}::BIGINT AS max_features" for n, s, k, z in ABLATION)
     per = ", ".join(f'round(max(CASE WHEN class = {lit(c)} THEN {x} END), 6) AS "{y}_{c}"'
                     for c in CLASSES for x, y in (('"precision"', "precision"), ("recall", "recall"), ("f1", "f1")))
@@ -142,9 +157,9 @@ staged AS (SELECT v.model, v.version, v.f1, CASE WHEN NOT won THEN 'Staging'
 """
     m["promote"] = ver + "SELECT model, version, f1, stage FROM staged"
     live = """SELECT model, max(version) FILTER (WHERE stage = 'Production') AS version,
-max(f1) FILTER (WHERE stage = 'Production') AS f1, count(*) AS n_versions{} FROM staged GROUP BY model"""
-    m["production_version"] = ver + live.format("")
-    m["performance_table"] = ver + live.format(", count(*) AS n_metrics")
+max(f1) FILTER (WHERE stage = 'Production') AS f1, count(*) AS n_versions, {} FROM staged GROUP BY model"""
+    m["production_version"] = ver + live.format("string_agg(version || ':' || stage, ' ' ORDER BY version) AS history")
+    m["performance_table"] = ver + live.format("string_agg(printf('f1_v%d=%.6f', version, f1), ' ' ORDER BY 'f1_v' || version) AS metrics")
 
     all_parts = (*BASE, "parts AS (SELECT doc_id, label, false AS is_test, text_clean FROM cleaned)", PARTS_PRIORS)
     accepted = "length(text) >= 10 AND length(text) <= 10000"

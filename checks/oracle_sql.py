@@ -327,18 +327,19 @@ def count_matches(pattern): return f"len(regexp_extract_all(text, {lit(pattern)}
 
 def oracle() -> dict[str, str]:
     q: dict[str, str] = {}
-    q["map_labels"] = with_(RATED) + "SELECT rating, mapped_label, count(*) AS n FROM mapped GROUP BY ALL"
+    q["map_labels"] = with_(RATED) + "SELECT doc_id, rating, mapped_label FROM mapped"
     q["drop_missing"] = with_(RATED) + """SELECT doc_id, mapped_label FROM mapped
 WHERE mapped_label IS NOT NULL AND text IS NOT NULL"""
     q["keep_flagged"] = "SELECT doc_id, 'Satire' AS label FROM labels WHERE toxic = 1"
     q["conform"] = with_(RATED) + """SELECT md5(text) AS text_md5, mapped_label AS label,
 'statements' AS source, rating AS original_label FROM mapped"""
-    q["drop_short_clean"] = with_(ALLCLEAN) + """SELECT count(*) AS n, min(length(text_clean)) AS shortest
+    q["drop_short_clean"] = with_(ALLCLEAN) + """SELECT doc_id, length(text_clean) AS n_clean
 FROM rows WHERE length(text_clean) > 10"""
     q["keep_classes"] = with_(CORPUS) + "SELECT doc_id, label FROM corpus WHERE label IN ('Real', 'Fake')"
     q["encode_labels"] = with_(CORPUS) + """SELECT doc_id, label,
 dense_rank() OVER (ORDER BY label) - 1 AS label_idx FROM corpus"""
-    q["decode_labels"] = with_(CORPUS) + "SELECT doc_id, label FROM corpus"
+    q["decode_labels"] = with_(CORPUS) + """SELECT doc_id, label,
+dense_rank() OVER (ORDER BY label) - 1 AS label_idx FROM corpus"""
     reason = """CASE WHEN text IS NULL OR length(text) < 10 THEN 'too_short'
       WHEN length(text) > 10000 THEN 'too_long' END"""
     q["validate_texts"] = f"SELECT doc_id, {reason} AS reason, {reason} IS NULL AS accepted FROM documents"
@@ -350,9 +351,9 @@ SELECT conv_id, size, first_bad, CASE WHEN size > 100 THEN 'batch_too_large' ELS
     q["preview"] = "SELECT doc_id, " + ", ".join(
         f"substring(text, 1, {n}) AS first_{n}" for n in (60, 80, 100, 500)) + " FROM documents"
 
-    q["union_sources"] = """SELECT source, count(*) AS n, CAST(sum(length(text)) AS BIGINT) AS chars FROM (
+    q["union_sources"] = """SELECT source, md5(text) AS text_md5 FROM (
 SELECT text, source FROM documents UNION ALL SELECT text, 'benchmark' FROM benchmark
-UNION ALL SELECT text, role FROM conversations) GROUP BY source"""
+UNION ALL SELECT text, role FROM conversations)"""
     q["sample_n"] = "SELECT doc_id, source FROM documents ORDER BY md5('42:' || doc_id) LIMIT 200"
     q["cap_per_group"] = """SELECT doc_id, source, lang FROM (SELECT *, row_number() OVER (
 PARTITION BY source, lang ORDER BY md5('42:' || doc_id)) AS rn FROM documents) WHERE rn <= 20"""
@@ -429,8 +430,8 @@ round(avg(CASE WHEN len({regex_tokens('word')}) >= 2 THEN 1.0 ELSE 0.0 END), 6)
     q["preservation_rate"] = with_(ALLCLEAN, f"""tk AS (SELECT doc_id, list_distinct({white_tokens('text_clean')}) AS e,
 list_transform({split_tokens('text_clean')}, lambda t: lower(t)) AS f FROM rows)""") + """
 SELECT doc_id, round(CASE WHEN len(e) > 0 THEN len(list_intersect(e, f)) / len(e) ELSE 0.0 END, 6) AS preserved FROM tk"""
-    q["tokenize_corpus"] = with_(*BASE) + f"""SELECT label, count(*) AS n_docs,
-CAST(sum(len({split_tokens('text_clean')})) AS BIGINT) AS n_tokens FROM cleaned GROUP BY label"""
+    q["tokenize_corpus"] = with_(*BASE) + f"""SELECT doc_id, label,
+array_to_string({split_tokens('text_clean')}, ' ') AS tokens FROM cleaned"""
     words = " UNION ALL ".join(f"SELECT {lit(k)} AS list, unnest([{', '.join(lit(w) for w in stopwords(k))}]) AS term"
                                for k in ("standard", "custom"))
     q["stopword_list"] = f"""WITH l AS ({words}), n AS (SELECT term, count(*) AS n FROM (

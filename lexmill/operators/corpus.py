@@ -37,13 +37,13 @@ def keep_flagged(df: DataFrame, flag: str = "is_sarcastic", label: str = "Satire
 
 
 def conform(df: DataFrame, source: str, text: str, label: str,
-            original: str | None = None) -> DataFrame:
-    """Project any input to (text, label, source, original_label)."""
+            original: str | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Project any input to (text, label, source, original_label, keep…)."""
     return df.select(
         F.col(text).cast("string").alias("text"),
         F.col(label).alias("label"),
         F.lit(source).alias("source"),
-        F.col(original or label).cast("string").alias("original_label"))
+        F.col(original or label).cast("string").alias("original_label"), *keep)
 
 
 def drop_short_clean(df: DataFrame, min_len: int = 10, col: str = "text_clean") -> DataFrame:
@@ -157,6 +157,22 @@ def dedup_exact(df: DataFrame, priority: str | None = None, text: str = "text",
     return df.join(winners, key, "left_semi")
 
 
+def assemble_corpus(parts: Mapping[str, DataFrame], caps: Mapping[str, int], method: str = "class_weighted",
+                    threshold: float = 0.40, seed: int = SEED, key: str = "key") -> DataFrame:
+    """One corpus of several conformed sources: rows without label or text go,
+    each source is cut to its cap, sources are put together, equal texts are kept
+    once, and the classes are balanced.
+
+    `parts` names the sources; each has the columns of `conform` and a unique
+    `key`, from which a doc_id unique in the corpus is made.  Of equal texts the
+    smallest doc_id stays.
+    """
+    rows = [df.withColumn("doc_id", F.col(key) * len(parts) + i).drop(key) for i, df in enumerate(parts.values())]
+    whole = drop_missing(union_sources(*rows), ["label", "text"])
+    capped = cap_per_group(whole, ["source"], {(name,): cap for name, cap in caps.items()}, seed)
+    return balance(dedup_exact(capped), method, threshold, seed)
+
+
 def duplicate_rate(df: DataFrame, text: str = "text", approximate: bool = False) -> DataFrame:
     """Rows, distinct texts and (rows − distinct) / rows."""
     distinct = (F.approx_count_distinct(text, 0.01) if approximate

@@ -42,6 +42,19 @@ def sparse_vectors(weights: DataFrame, size: int, carry: Sequence[str] = ("label
     return materialize(rows, name, schema=schema)
 
 
+def vector_cells(vectors: DataFrame, key: str = "doc_id", features: str = "features") -> DataFrame:
+    """(key, i, value): the entries of sparse or dense ML vectors that are not
+    zero, read from the vectors' storage layout, so nothing is made dense."""
+    layout = T.StructType([
+        T.StructField("type", T.ByteType()), T.StructField("size", T.IntegerType()),
+        T.StructField("indices", T.ArrayType(T.IntegerType())), T.StructField("values", T.ArrayType(T.DoubleType()))])
+    raw = materialize(vectors.select(key, features), "cells", schema=T.StructType(
+        [vectors.schema[key], T.StructField(features, layout)]))
+    at = F.coalesce(F.col(f"{features}.indices"), F.sequence(F.lit(0), F.size(f"{features}.values") - 1))
+    cells = raw.select(key, F.explode(F.arrays_zip(at.alias("i"), F.col(f"{features}.values").alias("value"))).alias("c"))
+    return cells.select(key, "c.i", "c.value").filter(F.col("value") != 0)
+
+
 def _with_index(df: DataFrame, classes: Sequence[str]) -> DataFrame:
     names = F.array(*[F.lit(c) for c in classes])
     return df.withColumn("label_idx", (F.array_position(names, F.col("label")) - 1).cast("double"))

@@ -44,8 +44,7 @@ def rated(spark: SparkSession, base: str) -> DataFrame:
 
 @query
 def map_labels(spark, base):
-    return D.map_labels(rated(spark, base), "rating").groupBy("rating", "mapped_label").agg(
-        F.count(F.lit(1)).alias("n"))
+    return D.map_labels(rated(spark, base), "rating").select("doc_id", "rating", "mapped_label")
 
 
 @query
@@ -70,8 +69,7 @@ def conform(spark, base):
 @query
 def drop_short_clean(spark, base):
     docs = documents(spark, base).withColumn("text_clean", C.clean_text(F.col("text")))
-    return D.drop_short_clean(docs).agg(F.count(F.lit(1)).alias("n"),
-                                        F.min(F.length("text_clean")).alias("shortest"))
+    return D.drop_short_clean(docs).select("doc_id", F.length("text_clean").alias("n_clean"))
 
 
 @query
@@ -89,7 +87,7 @@ def encode_labels(spark, base):
 def decode_labels(spark, base):
     rows = corpus(spark, base).select("doc_id", "label")
     coded = D.encode_labels(rows).select("doc_id", "label_idx")
-    return D.decode_labels(coded, D.class_array(rows)).select("doc_id", "label")
+    return D.decode_labels(coded, D.class_array(rows)).select("doc_id", "label_idx", "label")
 
 
 @query
@@ -115,8 +113,7 @@ def union_sources(spark, base):
     docs = table(spark, base, "documents").select("text", F.col("source"))
     bench = table(spark, base, "benchmark").select("text", F.lit("benchmark").alias("source"))
     turns = table(spark, base, "conversations").select("text", F.col("role").alias("source"))
-    return (D.union_sources(docs, bench, turns).groupBy("source")
-            .agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars")))
+    return D.union_sources(docs, bench, turns).select("source", F.md5("text").alias("text_md5"))
 
 
 @query
@@ -275,8 +272,7 @@ def preservation_rate(spark, base):
 @query
 def tokenize_corpus(spark, base):
     docs = T.tokenize_corpus(clean_documents(spark, base), "contractions")
-    return docs.groupBy("label").agg(F.count(F.lit(1)).alias("n_docs"),
-                                     F.sum(F.size("tokens")).alias("n_tokens"))
+    return docs.select("doc_id", "label", F.array_join("tokens", " ").alias("tokens"))
 
 
 @query

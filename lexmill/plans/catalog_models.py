@@ -16,6 +16,7 @@ from lexmill.plans.tables import prepared_documents, table
 from lexmill.session import materialize
 
 PCA_TERMS = 500
+EVERY_TERM = 1 << 20          # a vocabulary limit no table here reaches
 # Word vectors are averaged over this many parts, on any cluster.
 WORD_VECTOR_PARTITIONS = 8
 
@@ -99,9 +100,12 @@ def preprocess_clean_tokenize(spark, base):
 
 @query
 def count_vectors(spark, base):
-    _, rows = B.count_vectors(prepared_documents(spark, base).select("doc_id", "tokens"), max_features=MAX_TERMS)
-    sizes = F.regexp_count(F.col("features").cast("string"), F.lit(","))
-    return rows.select("doc_id", sizes.alias("commas"))
+    """Vectors spread out to (doc_id, term, tf); the vocabulary holds every term."""
+    docs = prepared_documents(spark, base).select("doc_id", "tokens")
+    model, rows = B.count_vectors(docs, max_features=EVERY_TERM)
+    names = spark.createDataFrame(list(enumerate(model.vocabulary)), "i int, term string")
+    cells = LR.vector_cells(rows.select("doc_id", "features"))
+    return cells.join(names, "i").select("doc_id", "term", F.col("value").cast("long").alias("tf"))
 
 
 def split_weights(spark: SparkSession, base: str, size: int = MAX_TERMS):
@@ -129,26 +133,30 @@ def train_skipgram(spark, base):
     return word_vectors(spark, base).select("word", F.array_join(F.transform("vector", lambda x: F.format_string("%.6f", x)), " ").alias("vector"))
 
 
-@query
-def doc_vectors(spark, base):
+def embedding_doc_vectors(spark: SparkSession, base: str) -> DataFrame:
     """Mean vector of a document's words, with embedding i as the vector of
     vocabulary word i."""
     docs = prepared_documents(spark, base)
     vocab = B.vocabulary(B.term_counts(docs))
     known = vocab.join(embedding_vectors(spark, base).withColumnRenamed("word", "vec_id"),
                        F.col("idx") == F.col("vec_id")).select(F.col("term").alias("word"), "vector")
-    rows = E.doc_vectors(docs, known, 64)
+    return E.doc_vectors(docs, known, 64)
+
+
+@query
+def doc_vectors(spark, base):
+    rows = embedding_doc_vectors(spark, base)
     return rows.select("doc_id", *[F.get("doc_vector", i).alias(f"v{i}") for i in range(64)])
 
 
 @query
 def concat_features(spark, base):
-    fitted, vectors = split_vectors(spark, base)
-    docs = prepared_documents(spark, base)
-    dense = E.doc_vectors(docs, word_vectors(spark, base), 200)
+    """TF-IDF weights and mean vectors side by side, as (doc_id, i, value)."""
+    _, vectors = split_vectors(spark, base)
+    dense = embedding_doc_vectors(spark, base)
     rows = vectors.join(dense.select("doc_id", E.array_to_vector("doc_vector").alias("words")), "doc_id")
     both = E.concat_features(rows.withColumnRenamed("features", "terms"), ["terms", "words"])
-    return both.select("doc_id", F.size(E.vector_to_array("features")).alias("dim"))
+    return LR.vector_cells(both.select("doc_id", "features"))
 
 
 # --- logistic regression -------------------------------------------------------
@@ -255,9 +263,8 @@ def ablation(spark, base):
 
 @query
 def ablation_naive_bayes(spark, base):
-    """Naive Bayes on the configurations with dictionary-free lemmas."""
-    configs = [c for c in R.CONFIGS if c.normalization == "lemma"]
-    return R.ablation(split_texts(spark, base), configs, "bayes")
+    """Naive Bayes on all six configurations."""
+    return R.ablation(split_texts(spark, base), model="bayes")
 
 
 def versions(spark: SparkSession, base: str) -> DataFrame:
@@ -278,7 +285,8 @@ def promote(spark, base):
 @query
 def production_version(spark, base):
     live = R.production_version(R.promote(versions(spark, base)))
-    return live.select("model", "version", "f1", "n_versions")
+    history = F.array_join(F.transform("history", lambda h: F.concat(h["version"].cast("string"), F.lit(":"), h["stage"])), " ")
+    return live.select("model", "version", "f1", "n_versions", history.alias("history"))
 
 
 @query
@@ -286,7 +294,9 @@ def performance_table(spark, base):
     staged = materialize(R.promote(versions(spark, base)), "staged")
     metrics = staged.select("model", F.concat(F.lit("f1_v"), "version").alias("metric"), F.col("f1").alias("value"))
     rows = R.performance_table(staged, metrics)
-    return rows.select("model", "version", "f1", "n_versions", F.size("metrics").alias("n_metrics"))
+    named = F.transform(F.array_sort(F.map_entries("metrics")), lambda m: F.concat(
+        m["key"], F.lit("="), F.format_string("%.6f", m["value"])))
+    return rows.select("model", "version", "f1", "n_versions", F.array_join(named, " ").alias("metrics"))
 
 
 # --- scoring and request accounting --------------------------------------------
@@ -336,5 +346,5 @@ _quota("quota_audit_batch", G.BATCH_QUOTA)
 
 @query
 def quota_audit_type(spark, base):
-    """The batch quota per event type, where it is exceeded."""
+    """The batch quota per event type."""
     return G.quota_audit(table(spark, base, "events"), G.BATCH_QUOTA, "event_type")

@@ -38,22 +38,35 @@ def token_documents(spark: SparkSession, base: str, tokenizer: str = "vectorizer
     return clean_documents(spark, base).select("doc_id", "label", _tokens(tokenizer, stop).alias("tokens"))
 
 
-_PREPARED: dict[tuple[str, str], DataFrame] = {}
+# Per application and folder: what the input looked like, and its prepared table.
+_PREPARED: dict[tuple[str, str], tuple[str, DataFrame]] = {}
+
+
+def _state(spark: SparkSession, path: str) -> str:
+    """Names, sizes and times of the files of a table, as one text."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(where, True)
+    seen = []
+    while files.hasNext():
+        f = files.next()
+        seen.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return "\n".join(sorted(seen))
 
 
 def prepared_documents(spark: SparkSession, base: str) -> DataFrame:
     """The cleaned corpus as a written table: doc_id, label, text_clean, tokens.
 
     Jobs that read the tokens more than once start here.  The table is written
-    once per application and input folder, bucketed by document, so later jobs
-    neither clean a text again nor shuffle by document.
+    once per application and state of the input files, bucketed by document, so
+    later jobs neither clean a text again nor shuffle by document.
     """
     at = (spark.sparkContext.applicationId, base)
-    if at not in _PREPARED:
+    now = "\n".join(_state(spark, f"{base}/{n}.parquet") for n in ("documents", "labels"))
+    if at not in _PREPARED or _PREPARED[at][0] != now:
         rows = clean_documents(spark, base).select(
             "doc_id", "label", "text_clean", _tokens("vectorizer", "custom").alias("tokens"))
-        _PREPARED[at] = materialize(rows, "prepared", "doc_id")
-    return _PREPARED[at]
+        _PREPARED[at] = now, materialize(rows, "prepared", "doc_id")
+    return _PREPARED[at][1]
 
 
 def query_texts(spark: SparkSession, base: str) -> DataFrame:

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+# Tables written by `materialize`, by application: (catalog name or None, path).
+_WRITTEN: dict[str, list[tuple[str | None, str]]] = {}
+
 
 def get_session(app: str = "lexmill", master: str | None = None,
                 shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
@@ -63,6 +66,7 @@ def materialize(df: DataFrame, name: str = "table", key: str | None = None,
     spark = df.sparkSession
     table = f"{name}_{uuid.uuid4().hex}"
     path = f"{shared_folder(spark)}/{table}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append((table if key else None, path))
     if key:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         if spark.sparkContext.master.startswith("local"):
@@ -73,3 +77,26 @@ def materialize(df: DataFrame, name: str = "table", key: str | None = None,
         return spark.table(table)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(schema or df.schema).parquet(path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder through Spark's own file system layer."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def drop_materialized(spark: SparkSession, keep: tuple[str, ...] = ()) -> int:
+    """Drop every table this application has written by `materialize`, but those
+    whose name starts with one of `keep`; returns how many went.
+
+    For the end of a job: results that still read such a table must be written
+    or collected before.
+    """
+    written = _WRITTEN.get(spark.sparkContext.applicationId, [])
+    gone = [x for x in written if not x[1].rsplit("/", 1)[1].startswith(tuple(keep))]
+    for table, path in gone:
+        if table:
+            spark.sql(f"DROP TABLE IF EXISTS `{table}`")
+        delete_folder(spark, path)
+    written[:] = [x for x in written if x not in gone]
+    return len(gone)

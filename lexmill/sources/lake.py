@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.errors import AnalysisException
-from pyspark.ml.util import MLWritable
+from pyspark.ml.util import MLReadable, MLWritable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 LAYERS = ("raw", "processed", "embeddings")
@@ -47,16 +47,14 @@ def write_word_vectors(vectors: DataFrame, base: str, version: str, name: str =
 def list_versions(spark: SparkSession, base: str, layer: str = "processed") -> list[str]:
     """Sorted version names of a layer; names with a leading `_` are hidden.
 
-    Only paths are listed; no file content is read.
+    One folder level is listed, however many files the versions hold.
     """
-    try:
-        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-                 .load(f"{base}/{layer}").select("path"))
-    except AnalysisException:
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{layer}")
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
         return []
-    version = F.regexp_extract("path", f"/{re.escape(layer)}/([^/]+)/", 1)
-    rows = files.select(version.alias("v")).filter("v <> ''").distinct().collect()
-    return sorted(r.v for r in rows if not r.v.startswith("_"))
+    names = [s.getPath().getName() for s in files.listStatus(root) if s.isDirectory()]
+    return sorted(n for n in names if not n.startswith("_"))
 
 
 def _natural(version: str) -> list:
@@ -67,14 +65,15 @@ def read_version(spark: SparkSession, base: str, layer: str, name: str, version:
                  natural: bool = False) -> DataFrame:
     """A pinned or the latest version.  Latest is the last name in text order,
     or, with `natural`, with numbers compared as numbers."""
-    versions = list_versions(spark, base, layer)
     if version == "latest":
+        versions = list_versions(spark, base, layer)
         if not versions:
             raise FileNotFoundError(f"no versions in layer {layer}")
         version = max(versions, key=_natural) if natural else versions[-1]
-    if version not in versions:
-        raise FileNotFoundError(f"no version {version} in layer {layer}")
-    return spark.read.parquet(f"{base}/{layer}/{version}/{name}")
+    try:
+        return spark.read.parquet(f"{base}/{layer}/{version}/{name}")
+    except AnalysisException as e:
+        raise FileNotFoundError(f"no version {version} of {name} in layer {layer}") from e
 
 
 def save_model_tables(base: str, version: str, tables: dict[str, DataFrame],
@@ -86,5 +85,10 @@ def save_model_tables(base: str, version: str, tables: dict[str, DataFrame],
         model.write().overwrite().save(f"{base}/processed/{version}/{name}")
 
 
+def load_model(base: str, version: str, name: str, kind: type[MLReadable]):
+    """A Spark ML model saved by `save_model_tables`; `kind` is its class."""
+    return kind.load(f"{base}/processed/{version}/{name}")
+
+
 def load_model_tables(spark: SparkSession, base: str, version: str, names: list[str]) -> dict[str, DataFrame]:
     return {n: read_version(spark, base, "processed", n, version) for n in names}

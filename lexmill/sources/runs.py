@@ -12,17 +12,20 @@ def read_runs(spark: SparkSession, root: str) -> DataFrame:
     """(run_id, params, metrics, ts) from one file per key, laid out as
     experiment/run/params/key and experiment/run/metrics/key.
 
-    A metric line is `epoch_ms value step`; the last step counts.
+    A parameter is its whole file, in any number of lines; a metric line is
+    `epoch_ms value step`, of which the last step counts.
     """
-    lines = spark.read.text([f"{root}/*/*/params/*", f"{root}/*/*/metrics/*"])
-    place = r"/([^/]+)/(params|metrics)/([^/]+)$"
-    rows = lines.select(
-        *[F.regexp_extract(F.col("_metadata.file_path"), place, i).alias(n)
-          for i, n in ((1, "run_id"), (2, "kind"), (3, "key"))], F.trim("value").alias("value"))
+    def entries(kind: str, whole: bool) -> DataFrame:
+        lines = spark.read.text(f"{root}/*/*/{kind}/*", wholetext=whole)
+        place = rf"/([^/]+)/{kind}/([^/]+)$"
+        return lines.select(
+            *[F.regexp_extract(F.col("_metadata.file_path"), place, i).alias(n)
+              for i, n in ((1, "run_id"), (2, "key"))], F.trim("value").alias("value"))
+
     parts = F.split("value", " ")
-    params = (rows.filter("kind = 'params'").groupBy("run_id")
+    params = (entries("params", True).groupBy("run_id")
               .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("key", "value")))).alias("params")))
-    last = (rows.filter("kind = 'metrics'").groupBy("run_id", "key")
+    last = (entries("metrics", False).groupBy("run_id", "key")
             .agg(F.max(F.struct(F.get(parts, 2).cast("long").alias("step"),
                                 F.get(parts, 0).cast("long").alias("at"),
                                 F.get(parts, 1).cast("double").alias("value"))).alias("m")))
