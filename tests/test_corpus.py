@@ -59,10 +59,10 @@ def test_cap_mapping_leaves_other_groups_whole(skewed):
     assert {r.label: r["count"] for r in rows} == {"Real": 5, "Fake": 200, "Satire": 100}
 
 
-def test_sample_paths_agree(skewed, monkeypatch):
-    small = {r.doc_id for r in D.sample_n(skewed, 50).collect()}
-    monkeypatch.setattr(D, "_TOP_N_LIMIT", 10)
-    assert small == {r.doc_id for r in D.sample_n(skewed, 50).collect()}
+def test_sample_holds_the_smallest_hashes(skewed):
+    ids = order(r.doc_id for r in skewed.collect())
+    for n in (1, 50, 1000):
+        assert {r.doc_id for r in D.sample_n(skewed, n).collect()} == set(ids[:n])
     assert D.sample_n(skewed, 10**6).count() == 1003
 
 
