@@ -112,26 +112,57 @@ def _per_class(classes: Sequence[str]) -> list[Column]:
     return [F.sum((F.col("label") == c).cast("long")).alias(f"c_{c}") for c in classes]
 
 
+def trigram_table(docs: DataFrame, classes: Sequence[str] = ("Real", "Fake"), tokens: str = "tokens",
+                  key: str = "doc_id") -> DataFrame:
+    """Trigram counts per class, (context, word, c_<class>…), written once.  The
+    counts of all lower orders are folds of this table, so models of several
+    orders read the texts once."""
+    docs = docs.filter(F.col("label").isin(*classes))
+    return materialize(ngrams(docs, 3, tokens, key, ("label",))
+                       .groupBy("context", "word").agg(*_per_class(classes)), "ngrams")
+
+
+def _folded(trigrams: DataFrame, order: int, classes: Sequence[str], second_start: bool = False) -> DataFrame:
+    """Counts of a lower order.  With `second_start`, bigrams as two start
+    markers give them: one more for each document, between the markers."""
+    if order == 3:
+        return trigrams
+    sums = [F.sum(f"c_{c}").alias(f"c_{c}") for c in classes]
+    context = F.substring_index("context", " ", -1) if order == 2 else F.lit("")
+    counts = trigrams.groupBy(context.alias("context"), "word").agg(*sums)
+    if second_start:
+        ends = trigrams.filter(F.col("word") == END).agg(*sums)
+        starts = ends.select(F.lit(START).alias("context"), F.lit(START).alias("word"), *[f"c_{c}" for c in classes])
+        counts = counts.union(starts.filter(F.greatest(*[F.coalesce(f"c_{c}", F.lit(0)) for c in classes]) > 0)
+                              if len(classes) > 1 else starts.filter(F.col(f"c_{classes[0]}") > 0))
+    return counts
+
+
 def fit_ngram_model(docs: DataFrame, n: int, smoothing: str = "laplace",
                     classes: Sequence[str] = ("Real", "Fake"), tokens: str = "tokens",
                     key: str = "doc_id", discount: float = DISCOUNT,
-                    mode: str = "as_implemented") -> NgramModel:
+                    mode: str = "as_implemented", trigrams: DataFrame | None = None) -> NgramModel:
     """Fit per-class models of order n.
 
     `smoothing` is none, laplace or kneser_ney.  For kneser_ney with n = 3,
     mode "as_implemented" gives every seen context a follower count of 1 and
-    "formula" uses the real count.  Counts are written once; all other tables
-    are folded from them.
+    "formula" uses the real count.  All tables are folds of the trigram counts,
+    which may be given (`trigram_table`); orders above three count anew.
     """
     if smoothing not in ("none", "laplace", "kneser_ney"):
         raise ValueError(f"unknown smoothing: {smoothing}")
     docs = docs.filter(F.col("label").isin(*classes))
+    if n <= 3:
+        trigrams = trigram_table(docs, classes, tokens, key) if trigrams is None else trigrams
 
     def table(order: int, pads: int) -> DataFrame:
+        if n <= 3:
+            return _folded(trigrams, order, classes, order == 2 and pads == 2)
         return (ngrams(docs, order, tokens, key, ("label",), pads)
                 .groupBy("context", "word").agg(*_per_class(classes)))
 
-    counts = materialize(table(n, n - 1), "ngrams")
+    counts = table(n, n - 1)
+    counts = materialize(counts, "ngrams") if n != 3 else counts
     contexts = counts.groupBy("context").agg(
         *[F.sum(f"c_{c}").alias(f"ctx_{c}") for c in classes],
         *[F.sum((F.col(f"c_{c}") > 0).cast("long")).alias(f"fol_{c}") for c in classes])
@@ -195,15 +226,33 @@ def lm_prob(grams: DataFrame, model: NgramModel) -> DataFrame:
                        *[_probability(model, c).alias(f"p_{c}") for c in model.classes])
 
 
+def document_trigrams(docs: DataFrame, tokens: str = "tokens", key: str = "doc_id",
+                      carry: Sequence[str] = ()) -> DataFrame:
+    """(key, carry…, context, word, m): the trigrams of each document with their
+    multiplicity, written by document; lower orders are folds of them."""
+    return materialize(ngrams(docs, 3, tokens, key, carry).groupBy(key, *carry, "context", "word").agg(
+        F.count(F.lit(1)).alias("m")), "grams", key)
+
+
 def perplexity(docs: DataFrame, model: NgramModel, tokens: str = "tokens", key: str = "doc_id",
-               carry: Sequence[str] = ()) -> DataFrame:
+               carry: Sequence[str] = (), grams: DataFrame | None = None) -> DataFrame:
     """(key, carry…, pp_<class>…): exp of the mean negative log probability.
 
-    Repeated n-grams of a document are counted once with their multiplicity.
+    Every distinct n-gram of all documents is looked up once, however many
+    documents hold it, so the sentence markers are no hot keys; its probabilities
+    then come back to the documents in one join.  `grams` may hold the trigrams
+    of the documents (`document_trigrams`).
     """
-    grams = (ngrams(docs, model.n, tokens, key, carry)
-             .groupBy(key, *carry, "context", "word").agg(F.count(F.lit(1)).alias("m")))
-    scored = lm_prob(grams, model)
+    if model.n <= 3:
+        grams = document_trigrams(docs, tokens, key, carry) if grams is None else grams
+        if model.n < 3:
+            context = F.substring_index("context", " ", -1) if model.n == 2 else F.lit("")
+            grams = grams.groupBy(key, *carry, context.alias("context"), "word").agg(F.sum("m").alias("m"))
+    else:
+        grams = (ngrams(docs, model.n, tokens, key, carry)
+                 .groupBy(key, *carry, "context", "word").agg(F.count(F.lit(1)).alias("m")))
+    known = materialize(lm_prob(grams.select("context", "word").distinct(), model), "probabilities")
+    scored = grams.join(known, ["context", "word"])
     return scored.groupBy(key, *carry).agg(*[
         F.exp(-F.sum(F.col("m") * F.ln(f"p_{c}")) / F.sum("m")).alias(f"pp_{c}")
         for c in model.classes])

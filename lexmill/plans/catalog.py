@@ -539,29 +539,31 @@ _lm_prob("lm_prob_kneser_ney_formula", 3, "kneser_ney", "formula")
 LM_RUNS = ((1, "laplace"), (2, "laplace"), (3, "kneser_ney"))
 
 
-def lm_scores(spark: SparkSession, base: str, n: int, smoothing: str,
-              docs: DataFrame | None = None) -> DataFrame:
-    docs = lm_split(spark, base) if docs is None else docs
-    model = L.fit_ngram_model(docs.filter(~F.col("is_test")), n, smoothing)
-    return L.perplexity(docs.filter("is_test"), model, carry=("label",))
+def lm_scores(spark: SparkSession, base: str, runs) -> list[DataFrame]:
+    """Perplexities of the held-out documents for each (order, smoothing), from
+    one pass over the training and one over the held-out texts."""
+    docs = lm_split(spark, base)
+    train, test = docs.filter(~F.col("is_test")), docs.filter("is_test")
+    trigrams, grams = L.trigram_table(train), L.document_trigrams(test, carry=("label",))
+    return [L.perplexity(test, L.fit_ngram_model(train, n, s, trigrams=trigrams), carry=("label",), grams=grams)
+            for n, s in runs]
 
 
 @query
 def perplexity(spark, base):
-    return lm_scores(spark, base, 2, "laplace")
+    return lm_scores(spark, base, [(2, "laplace")])[0]
 
 
 @query
 def classify_by_perplexity(spark, base):
-    scored = L.classify_by_perplexity(lm_scores(spark, base, 3, "kneser_ney"))
+    scored = L.classify_by_perplexity(lm_scores(spark, base, [(3, "kneser_ney")])[0])
     return scored.select("doc_id", "label", "prediction")
 
 
 @query
 def lm_evaluation(spark, base):
-    docs = lm_split(spark, base)
-    runs = [L.classify_by_perplexity(lm_scores(spark, base, n, s, docs)).select("label", "prediction")
-            .withColumn("order", F.lit(n)) for n, s in LM_RUNS]
+    runs = [L.classify_by_perplexity(scores).select("label", "prediction").withColumn("order", F.lit(n))
+            for (n, _), scores in zip(LM_RUNS, lm_scores(spark, base, LM_RUNS))]
     return M.weighted_prf(D.union_sources(*runs), ["order"])
 
 
