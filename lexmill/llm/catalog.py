@@ -58,16 +58,18 @@ def op6_packing(spark, base):
 @query
 def op7_token_rollup(spark, base):
     """All documents come in, those labelled low quality go, those labelled
-    toxic lose their first line; the first batch is sent twice."""
+    toxic lose their first line; the first batch is sent twice.  Joins meet the
+    narrow changes, so no text is shuffled (an inner join with distinct ids is
+    not pushed below the counting, as a semi-join would be)."""
     docs, labels = table(spark, base, "documents"), table(spark, base, "labels")
     low = labels.filter(F.col("quality") == 0).select("doc_id").distinct()
     toxic = labels.filter((F.col("toxic") == 1) & (F.col("quality") != 0)).select("doc_id").distinct()
     rest = docs.withColumn("rest", F.expr("substring(text, locate('\n', text) + 1)"))
     rollup = token_rollup.Rollup(spark, f"{shared_folder(spark)}/rollup_{uuid.uuid4().hex}")
     rollup.commit("load", token_rollup.inserts(docs))
-    rollup.commit("low-quality", token_rollup.deletes(docs.join(low, "doc_id", "left_semi")))
+    rollup.commit("low-quality", token_rollup.deletes(docs, ["doc_id"]).join(low, "doc_id"))
     rollup.commit("load", token_rollup.inserts(docs))
-    rollup.commit("first-lines", token_rollup.revisions(rest.join(toxic, "doc_id", "left_semi"), "rest"))
+    rollup.commit("first-lines", token_rollup.revisions(rest, "rest", ["doc_id"]).join(toxic, "doc_id"))
     return rollup.totals()
 
 

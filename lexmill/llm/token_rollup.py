@@ -20,6 +20,7 @@ changes; extra columns are ignored.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -38,25 +39,27 @@ def count_tokens(text: Column, version: str) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(TOKENIZERS[version])), F.lit(0)).cast("long")
 
 
-def _long(docs: DataFrame, signs: Column, counts: dict[str, Column]) -> DataFrame:
-    """One change for each row and tokenizer version."""
+def _long(docs: DataFrame, signs: Column, counts: dict[str, Column], carry: Sequence[str]) -> DataFrame:
+    """One change for each row and tokenizer version, with the columns `carry`."""
     each = F.array(*[F.struct(F.lit(v).alias("tokenizer"), c.alias("tokens")) for v, c in counts.items()])
     return docs.select(F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"),
-                       signs.cast("long").alias("docs"), F.inline(each)).select(*KEYS, "docs", "tokens")
+                       signs.cast("long").alias("docs"), F.inline(each), *carry).select(
+        *KEYS, "docs", "tokens", *carry)
 
 
-def inserts(docs: DataFrame) -> DataFrame:
-    return _long(docs, F.lit(1), {v: count_tokens(F.col("text"), v) for v in TOKENIZERS})
+def inserts(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Changes are narrow: join or filter them rather than the texts, by `carry`."""
+    return _long(docs, F.lit(1), {v: count_tokens(F.col("text"), v) for v in TOKENIZERS}, carry)
 
 
-def deletes(docs: DataFrame) -> DataFrame:
-    return _long(docs, F.lit(-1), {v: -count_tokens(F.col("text"), v) for v in TOKENIZERS})
+def deletes(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    return _long(docs, F.lit(-1), {v: -count_tokens(F.col("text"), v) for v in TOKENIZERS}, carry)
 
 
-def revisions(docs: DataFrame, new_text: str) -> DataFrame:
+def revisions(docs: DataFrame, new_text: str, carry: Sequence[str] = ()) -> DataFrame:
     """Changes of documents whose `text` is replaced by the column `new_text`."""
     return _long(docs, F.lit(0), {v: count_tokens(F.col(new_text), v) - count_tokens(F.col("text"), v)
-                                  for v in TOKENIZERS})
+                                  for v in TOKENIZERS}, carry)
 
 
 class Rollup:
