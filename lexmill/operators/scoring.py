@@ -5,15 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from lexmill.functions.cleaning import clean_text
 from lexmill.functions.tokenizers import TOKENIZERS
 from lexmill.functions.wordlists import CLASSES
-from lexmill.operators import bayes as NB, bow as B, tfidf as TF
+from lexmill.operators import bayes as NB, bow as B, logistic as LR, tfidf as TF
 from lexmill.operators.corpus import length_reason, validate_batches
 from lexmill.operators.experiments import model_tokens
-from lexmill.operators.logistic import explain_scores
+from lexmill.plans.layout import settled
 from lexmill.session import materialize
 
 # Requests allowed per client and clock minute.
@@ -22,12 +23,16 @@ SINGLE_QUOTA, BATCH_QUOTA = 100, 10
 
 @dataclass(frozen=True)
 class ScoringModel:
-    """Fitted tables: (term, idx, idf), (term, ll_…), (term, coef_…), priors."""
+    """One fitted table, (term, idx, idf, ll_<class>…, coef_<class>…), and one
+    row with the struct column p, the start value of each class.
 
-    fitted: DataFrame
-    loglik: DataFrame
-    coefs: DataFrame
-    priors: DataFrame                  # one row, column p
+    A text's score under a class is the start value plus the sum of weight · ll;
+    its explanation is weight · coef.  Naive Bayes has log likelihoods and log
+    priors there, logistic regression coefficients and intercepts.
+    """
+
+    params: DataFrame
+    priors: DataFrame
     max_features: int
     classes: tuple[str, ...] = CLASSES
 
@@ -37,21 +42,44 @@ def text_tokens(text_clean: Column) -> Column:
 
 
 def fit_scoring_model(docs: DataFrame, max_features: int = B.MAX_FEATURES,
-                      classes: Sequence[str] = CLASSES) -> ScoringModel:
-    """Naive Bayes on TF-IDF of (doc_id, label, text_clean), written as tables.
+                      classes: Sequence[str] = CLASSES, kind: str = "bayes") -> ScoringModel:
+    """Naive Bayes, or `kind` "logistic", on TF-IDF of (doc_id, label,
+    text_clean), written as tables.
 
-    Coefficients for explanations are log likelihoods centred over classes.
+    The explaining coefficients of Naive Bayes are its log likelihoods, centred
+    over the classes.
     """
     tokens = materialize(docs.select("doc_id", "label", text_tokens(F.col("text_clean")).alias("tokens")),
                          "model_tokens", "doc_id")
-    tf = B.term_counts(tokens, carry=("label",))
-    fitted = materialize(TF.fit_tfidf(tf, B.document_count(tokens), max_features=max_features), "fitted")
-    w = TF.transform_tfidf(tf, fitted, carry=("label",), max_features=max_features)
-    loglik = materialize(NB.nb_fit(NB.class_sums(w, "w", classes, max_features), 1.0, classes), "loglik")
+    keep_empty = kind == "logistic"
+    tf = B.term_counts(tokens, carry=("label",), keep_empty=keep_empty)
+    known = tf.filter(F.col("term").isNotNull())
+    fitted = materialize(TF.fit_tfidf(known, B.document_count(tokens), max_features=max_features), "fitted")
+    w = TF.transform_tfidf(tf, fitted, carry=("label",), max_features=max_features, keep_unknown=keep_empty)
+    if kind == "logistic":
+        model = LR.lr_fit(LR.sparse_vectors(w, max_features, ("label",)), classes=classes)
+        return logistic_scoring_model(model, fitted, max_features, classes)
+    if kind != "bayes":
+        raise ValueError(f"unknown scoring model: {kind}")
+    loglik = NB.nb_fit(NB.class_sums(w, "w", classes, max_features), 1.0, classes)
     mean = sum((F.col(f"ll_{c}") for c in classes), F.lit(0.0)) / len(classes)
-    coefs = loglik.select("term", *[(F.col(f"ll_{c}") - mean).alias(f"coef_{c}") for c in classes])
+    coefs = [(F.col(f"ll_{c}") - mean).alias(f"coef_{c}") for c in classes]
+    params = fitted.select("term", "idx", "idf").join(loglik, "term").select(
+        "term", "idx", "idf", *[f"ll_{c}" for c in classes], *coefs)
     one = tokens.agg(F.lit(1).alias("one")).select(NB.nb_priors(tokens, classes).alias("p"))
-    return ScoringModel(fitted, loglik, coefs, materialize(one, "priors"), max_features, tuple(classes))
+    return ScoringModel(materialize(params, "params"), materialize(one, "priors"), max_features, tuple(classes))
+
+
+def logistic_scoring_model(model: LogisticRegressionModel, fitted: DataFrame, max_features: int,
+                           classes: Sequence[str] = CLASSES) -> ScoringModel:
+    """A fitted or loaded logistic regression over the terms of `fitted`."""
+    coefs = LR.coefficients(model, fitted, classes)
+    params = fitted.select("term", "idx", "idf").join(coefs, "term").select(
+        "term", "idx", "idf", *[F.col(f"coef_{c}").alias(f"ll_{c}") for c in classes],
+        *[f"coef_{c}" for c in classes])
+    starts = F.struct(*[F.lit(float(b)).alias(c) for b, c in zip(model.interceptVector.toArray(), classes)])
+    one = fitted.sparkSession.range(1).select(starts.alias("p"))
+    return ScoringModel(materialize(params, "params"), materialize(one, "priors"), max_features, tuple(classes))
 
 
 def accepted_texts(df: DataFrame, text: str = "text") -> DataFrame:
@@ -62,26 +90,39 @@ def score_texts(df: DataFrame, model: ScoringModel, key: str = "doc_id", k: int
     """Accepted texts → prediction, confidence, class_probabilities and
     top_features (a list of term → contribution maps).
 
-    Model tables are bounded by the vocabulary limit and meet the texts where
-    they lie; texts move once, to be laid out by key.
+    Texts move once, to be laid out by key.  One join brings idf, weights and
+    coefficients of the bounded vocabulary to the terms; one aggregate a text
+    sums the scores and holds its terms, from which the contributions to the
+    predicted class are ranked.
     """
     rows = accepted_texts(df).select(key, text_tokens(clean_text(F.col("text"))).alias("tokens"))
     tf = B.term_counts(rows, key=key, keep_empty=True)
-    w = TF.transform_tfidf(tf, model.fitted, key=key, max_features=model.max_features, keep_unknown=True)
-    priors = model.priors.select("p").scalar()
-    scored = NB.nb_predict(NB.nb_proba(NB.nb_log_proba(
-        w, model.loglik, priors, "w", key, classes=model.classes, max_features=model.max_features),
-        model.classes), model.classes)
-    why = explain_scores(w, model.coefs, scored, k, key, classes=model.classes)
-    listed = why.groupBy(key).agg(F.transform(
-        F.sort_array(F.collect_list(F.struct("rank", "term", "contribution"))),
-        lambda x: F.create_map(x["term"], x["contribution"])).alias("top_features"))
+    known = B.restrict(tf, model.params, model.max_features, "left")
+    raw = known.withColumn("raw", (1 + F.ln(F.greatest("tf", F.lit(1)))) * F.col("idf"))
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy(key)))
+    weighted = raw.withColumn("w", F.col("raw") / norm).withColumn("p", model.priors.select("p").scalar())
+    term = F.struct("term", *[(F.col("w") * F.col(f"coef_{c}")).alias(c) for c in model.classes])
+    scored = weighted.groupBy(key).agg(
+        *[(F.coalesce(F.sum(F.col("w") * F.col(f"ll_{c}")), F.lit(0.0)) + F.first(F.col(f"p.{c}"))).alias(f"lp_{c}")
+          for c in model.classes],
+        F.collect_list(F.when(F.col("idx").isNotNull(), term)).alias("terms"))
+    scored = NB.nb_predict(NB.nb_proba(scored, model.classes), model.classes)
+
+    def share(t: Column) -> Column:
+        value = F.lit(None).cast("double")
+        for c in model.classes:
+            value = F.when(F.col("prediction") == c, t.getField(c)).otherwise(value)
+        return value
+
+    shares = F.transform("terms", lambda t: F.struct(
+        (-settled(F.abs(share(t)))).alias("order"), t["term"].alias("term"), share(t).alias("share")))
+    top = F.slice(F.array_sort(F.filter(shares, lambda x: x["share"] != 0)), 1, k)
     p = {c: F.col(f"p_{c}") for c in model.classes}
     pairs = [x for c in model.classes for x in (F.lit(c), p[c])]
-    return scored.join(listed, key, "left").select(
+    return scored.select(
         key, "prediction", F.greatest(*p.values()).alias("confidence"),
         F.create_map(*pairs).alias("class_probabilities"),
-        F.coalesce("top_features", F.array().cast("array<map<string,double>>")).alias("top_features"))
+        F.transform(top, lambda x: F.create_map(x["term"], x["share"])).alias("top_features"))
 
 
 def score_batches(df: DataFrame, model: ScoringModel, batch: str = "batch_id", idx: str = "idx",

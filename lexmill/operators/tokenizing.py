@@ -10,6 +10,7 @@ from lexmill.functions import patterns as P
 from lexmill.functions.tokenizers import TOKENIZERS, removal_rate, remove_stopwords
 from lexmill.functions.wordlists import NEGATION_WORDS, stopwords
 from lexmill.plans.layout import by_document
+from lexmill.session import materialize
 
 
 def tokenize_corpus(df: DataFrame, tokenizer: str = "contractions",
@@ -22,13 +23,14 @@ def oov_rate(df: DataFrame, lexicon: DataFrame, key: str = "doc_id",
     """Per document, the share of ASCII words missing from `lexicon`.
 
     Words are counted per document before the join, so a frequent word is
-    looked up once per document.  Spark broadcasts the lexicon if it is small.
+    looked up once per document.  The lexicon is written first, so its measured
+    size decides whether it is broadcast and the words stay where they are.
     """
     docs = by_document(df.select(key, tokens), key)
     words = (docs.select(key, F.explode_outer(tokens).alias("t"))
              .select(key, F.when(F.col("t").rlike(P.ASCII_WORD), F.lower("t")).alias("w"))
              .groupBy(key, "w").agg(F.count("w").alias("n")))
-    known = lexicon.select(F.lower(word).alias("w")).distinct().withColumn("known", F.lit(True))
+    known = materialize(lexicon.select(F.lower(word).alias("w")).distinct().withColumn("known", F.lit(True)), "lexicon")
     missed = F.sum(F.when(F.col("known").isNull(), F.col("n")).otherwise(F.lit(0)))
     total = F.sum("n")
     return (words.join(known, "w", "left").groupBy(key)
@@ -47,7 +49,7 @@ def token_stats(df: DataFrame, lexicon: DataFrame, tokenizers: Sequence[str] = (
              .select(key, "tokenizer", "len",
                      F.when(F.col("t").rlike(P.ASCII_WORD), F.lower("t")).alias("w"))
              .groupBy(key, "tokenizer", "len", "w").agg(F.count("w").alias("n")))
-    known = lexicon.select(F.lower("word").alias("w")).distinct().withColumn("known", F.lit(True))
+    known = materialize(lexicon.select(F.lower("word").alias("w")).distinct().withColumn("known", F.lit(True)), "lexicon")
     missed = F.sum(F.when(F.col("known").isNull(), F.col("n")).otherwise(F.lit(0)))
     total = F.sum("n")
     per_doc = (words.join(known, "w", "left").groupBy(key, "tokenizer", "len")

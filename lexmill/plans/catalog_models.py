@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexmill.functions.tokenizers import tokenize_contractions
@@ -13,7 +16,8 @@ from lexmill.plans.catalog import (MAX_TERMS, nb_alpha_sweep, query, split_docum
                                    vectors as embedding_vectors)
 from lexmill.plans.layout import spread
 from lexmill.plans.tables import prepared_documents, table
-from lexmill.session import materialize
+from lexmill.session import materialize, shared_folder
+from lexmill.sources import lake
 
 EVERY_TERM = 1 << 20          # a vocabulary limit no table here reaches
 # Word vectors are averaged over this many parts, on any cluster.
@@ -331,6 +335,19 @@ def score_texts(spark, base):
         F.array_join(names, " ").alias("top_features"))
 
 
+@query
+def score_texts_logistic(spark, base):
+    """Scores by a logistic model that was saved and loaded."""
+    path = f"{shared_folder(spark)}/logistic_{uuid.uuid4().hex}"
+    _, model, _ = scored_by_lr(spark, base)
+    lake.save_model_tables(path, "v1", {}, {"lr": model})
+    loaded = lake.load_model(path, "v1", "lr", LogisticRegressionModel)
+    fitted = split_weights(spark, base)[0]
+    scored = G.score_texts(conversations(spark, base), G.logistic_scoring_model(loaded, fitted, MAX_TERMS))
+    return scored.select("doc_id", "prediction", "confidence",
+                         *[F.element_at("class_probabilities", c).alias(f"p_{c}") for c in CLASSES])
+
+
 @query
 def explain_scores(spark, base):
     scored = G.score_texts(conversations(spark, base), scoring_model(spark, base))
