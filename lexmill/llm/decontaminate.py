@@ -129,7 +129,8 @@ def _candidates(contents: DataFrame, items: DataFrame, radius: int) -> DataFrame
         F.concat(*[filed(i) for i in range(len(BLOCKS))])))
     looked = contents.select("n", "content", "fp", F.inline(F.array(*[
         F.struct(F.lit(i).alias("block"), block(i).alias("value")) for i in range(len(BLOCKS))])))
-    met = looked.join(index, ["n", "block", "value"])
+    # the index is many times its items: its size before the expansion must not make it a broadcast
+    met = looked.join(index.hint("merge"), ["n", "block", "value"])
     return met.filter(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius).select(
         "n", "content", "item_id").distinct()
 
