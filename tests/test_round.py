@@ -2,11 +2,13 @@
 
 import random
 
+import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from lexmill.operators import (bayes as NB, corpus as D, embeddings as E, metrics as M, ngrams as L,
-                               retrieval as R, scoring as G)
+from lexmill.operators import (bayes as NB, corpus as D, dimensions as X, embeddings as E, metrics as M,
+                               ngrams as L, retrieval as R, scoring as G)
 from lexmill.plans import tables
 from lexmill.session import drop_materialized, materialize
 from lexmill.sources import lake, runs
@@ -136,3 +138,18 @@ def test_assembly(spark):
     assert sorted(r.text for r in out) == sorted([f"text {i}" for i in range(10)] + ["new"])
     assert {r.doc_id for r in out if r.text in ("text 0", "text 3")} == {0, 1}
     assert len({r.doc_id for r in out}) == 11 and all(r.sample_weight > 0 for r in out)
+
+
+def test_principal_components_equal_the_dense_ones(spark):
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(80, 30)) * (rng.random((80, 30)) < 0.3)
+    rows = [(i, Vectors.sparse(30, {int(j): float(v) for j, v in enumerate(r) if v})) for i, r in enumerate(x)]
+    got, ratios = X.pca2(spark.createDataFrame(rows, ["doc_id", "features"]))
+    points = {r.doc_id: (r.pc1, r.pc2) for r in got.collect()}
+    centred = x - x.mean(axis=0)
+    values, axes = np.linalg.eigh(centred.T @ centred)
+    want = centred @ axes[:, ::-1][:, :2]
+    for j in range(2):
+        mine = np.array([points[i][j] for i in range(80)])
+        assert min(abs(mine - want[:, j]).max(), abs(mine + want[:, j]).max()) < 1e-5
+        assert ratios[j] == pytest.approx(values[::-1][j] / values.sum())
