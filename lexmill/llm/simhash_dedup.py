@@ -273,11 +273,28 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS)
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def _row_ids(docs: DataFrame) -> DataFrame:
+    """`docs` with `__row`, the hash of id and text, and `__id`, which orders the
+    rows: those with a doc_id first, by it, then by the hash."""
+    docs = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
+    return docs.withColumn("__id", F.struct(F.col("doc_id").isNull().alias("none"),
+                                            "doc_id", F.col("__row").alias("row")))
+
+
+def _least_rows(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """`docs` of `_row_ids` with the least row of each group of (doc_id,
+    component_id), and all rows without a doc_id."""
+    kept = groups.filter((F.col("doc_id") == F.col("component_id")) & ~F.col("doc_id.none"))
+    kept = kept.select(F.col("doc_id.row").alias("__row")).distinct()
+    one = docs.join(kept, "__row").filter(F.col("doc_id").isNotNull()).dropDuplicates(["__row"])
+    names = [c for c in docs.columns if c not in ("__row", "__id")]
+    return one.select(*names).union(docs.filter(F.col("doc_id").isNull()).select(*names))
+
+
 def keep_one(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """`docs` with one row of each near-duplicate group: that of its smallest
-    doc_id, and one of several rows with that id.  Rows without a doc_id have no
-    order and all stay."""
-    groups = near_duplicates(docs.select("doc_id", "text"), size, radius)
-    kept = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    one = docs.join(kept, "doc_id").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return one.union(docs.filter(F.col("doc_id").isNull()))
+    doc_id.  Rows of one doc_id with different texts are rows of their own; equal
+    ones fold.  Rows without a doc_id have no order and all stay."""
+    docs = _row_ids(docs)
+    groups = near_duplicates(docs.select(F.col("__id").alias("doc_id"), "text"), size, radius)
+    return _least_rows(docs, groups)
