@@ -135,12 +135,14 @@ def _candidates(contents: DataFrame, items: DataFrame, radius: int) -> DataFrame
         "n", "content", "item_id").distinct()
 
 
-def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY,
-                 radius: int = RADIUS) -> DataFrame:
-    """(doc_id, item_id, similarity, start, n): the best window of every
-    document and benchmark item that match; `start` counts words from 0."""
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    docs = docs.withColumn("row", F.xxhash64("doc_id", "text"))
+def _row(docs: DataFrame) -> Column:
+    """Names a row by its id and text, also where the id is null or repeated."""
+    return F.xxhash64(docs["doc_id"], F.coalesce(docs["text"], F.lit("")))
+
+
+def _matches(docs: DataFrame, items: DataFrame, similarity: float, radius: int) -> DataFrame:
+    """(row, doc_id, item_id, similarity, start, n): all windows that match."""
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), _row(docs).alias("row"))
     table = materialize(_item_table(items), "items")
     sizes = [r[0] for r in table.select("size").distinct().collect()]    # at most SHINGLE values
     spread = table.select("size", "item_id", "n", F.posexplode("shingles").alias("offset", "hash"))
@@ -152,7 +154,7 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
     if windows is None:
         kinds = dict(docs.dtypes) | dict(items.dtypes)
         return docs.sparkSession.createDataFrame(
-            [], f"doc_id {kinds['doc_id']}, item_id {kinds['item_id']}, similarity double, start int, n int")
+            [], f"row long, doc_id {kinds['doc_id']}, item_id {kinds['item_id']}, similarity double, start int, n int")
     windows = materialize(windows.withColumn("content", F.xxhash64("shingles")), "windows")
 
     contents = windows.groupBy("n", "content").agg(F.first("shingles").alias("shingles"))
@@ -174,14 +176,21 @@ def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARI
                       (F.col("common") / (F.col("total") + F.col("item_total") - F.col("common")))
                       .alias("similarity"))
               .filter(F.col("similarity") >= similarity))
+    return windows.join(scored, ["n", "content"]).select("row", "doc_id", "item_id", "similarity", "start", "n")
+
+
+def contaminated(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY,
+                 radius: int = RADIUS) -> DataFrame:
+    """(doc_id, item_id, similarity, start, n): the best window of every
+    document and benchmark item that match; `start` counts words from 0."""
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), "n")).alias("best")
-    return (windows.join(scored, ["n", "content"]).groupBy("doc_id", "item_id").agg(best)
+    return (_matches(docs, items, similarity, radius).groupBy("doc_id", "item_id").agg(best)
             .select("doc_id", "item_id", F.col("best.similarity").alias("similarity"),
                     (-F.col("best.back")).cast("int").alias("start"), F.col("best.n").alias("n")))
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """`docs` without the documents that hold a benchmark item; every row of
-    such a doc_id goes."""
-    found = contaminated(docs, items).select("doc_id").distinct()
-    return docs.join(found, docs.doc_id.eqNullSafe(found.doc_id), "left_anti")
+    """`docs` without the rows that hold a benchmark item; other rows of their
+    doc_id, or without one, stay."""
+    found = _matches(docs, items, SIMILARITY, RADIUS).select(F.col("row").alias("__row")).distinct()
+    return docs.join(found, _row(docs) == found["__row"], "left_anti")

@@ -305,6 +305,15 @@ def test_decontamination_equals_brute_force(spark):
     assert got == pytest.approx(brute_contaminated(rows, items)) and len(got) > 25
 
 
+def test_only_rows_that_hold_an_item_go(spark):
+    leak = "alpha beta gamma delta epsilon zeta eta theta"
+    rows = [(None, leak), (None, "clean words only here"), (None, None), (7, f"so {leak}"), (7, "clean row of seven"), (8, "eight")]
+    docs = frame(spark, rows)
+    kept = decontaminate.without_contaminated(docs, spark.createDataFrame([(1, leak)], "item_id long, text string"))
+    assert kept.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(rows[1:3] + rows[4:])
+
+
 def test_lookup_in_blocks_gives_the_same(spark, monkeypatch):
     rng = random.Random(8)
     items = [(i, invented(rng, 30)) for i in range(6)]
