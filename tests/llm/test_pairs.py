@@ -221,6 +221,21 @@ def test_repeated_passages(spark, passage_rows):
             assert here == there and len(here) >= 79
 
 
+@pytest.mark.parametrize("every, share", [(10, 1), (8, 1), (6, 0.9)])
+def test_fuzzy_passages_by_edit_rate(spark, every, share):
+    rng = random.Random(every)
+    rows = []
+    for i in range(60):
+        words = invented(rng, 80, 10**6).split()
+        rows.append((i, " ".join([invented(rng, 30, 10**6), *words, invented(rng, 30, 10**6)])))
+        for at in range(rng.randrange(every), 80, every):
+            words[at] = f"edit{rng.randrange(10**6)}"
+        rows.append((100 + i, " ".join([invented(rng, 45, 10**6), *words, invented(rng, 20, 10**6)])))
+    got = {(r.doc_id, r.source_id) for r in passages.repeated_passages(frame(spark, rows)).collect()}
+    print("found", every, len(got))
+    assert got <= {(100 + i, i) for i in range(60)} and len(got) >= share * 60
+
+
 def test_cutting_keeps_the_rest(spark, passage_rows):
     shared, rows = passage_rows
     docs = frame(spark, rows)
