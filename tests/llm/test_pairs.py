@@ -221,6 +221,18 @@ def test_repeated_passages(spark, passage_rows):
             assert here == there and len(here) >= 79
 
 
+def test_passages_made_of_earlier_lines(spark):
+    rng = random.Random(21)
+    lines = [invented(rng, 30, 10**6) for _ in range(3)]
+    more = lambda: invented(rng, 40, 10**6)
+    both = " ".join(lines[:2])
+    rows = [(i, f"{more()} {x} {more()}") for i, x in enumerate(lines)]
+    rows += [(4, f"{more()} {both} {more()}"), (5, f"{more()} {lines[0]} {more()}"), (6, f"{more()} {lines[1]} {more()}"),
+             (7, f"{more()} {both}")]
+    got = passages.repeated_passages(frame(spark, rows)).collect()
+    assert {(r.doc_id, r.source_id, r.start, r.end) for r in got} == {(7, 4, 40, 100)}
+
+
 @pytest.mark.parametrize("every, share", [(10, 1), (8, 1), (6, 0.9)])
 def test_fuzzy_passages_by_edit_rate(spark, every, share):
     rng = random.Random(every)
