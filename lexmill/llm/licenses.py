@@ -9,20 +9,29 @@ bigram counts choose the templates; a part that no template's bounds admit is
 dropped before its words are looked at further.  Common bigrams are counted
 through an inverted index of the templates.
 
+Notices inside longer parts are found by windows: where a text holds enough of a
+template's bigrams, windows from one of them to another are compared, from every
+start to the end that is best, and of overlapping windows the one with the most
+common bigrams stays, then the most similar.  A window starts and ends with a
+common bigram, as any other only adds words of its own.
+
 Documents are independent: one pass, no shuffle.  The templates are a fixed,
 small list that travels with the function; callers may pass their own.
 
 Cases: null and empty texts and parts of fewer than two words match nothing; of
 several templates that match a part the most similar is given, ties to the first
 name; a part that is also the whole paragraph or text is reported once, as a
-line; repeated rows each give their rows; extra columns are ignored.
+line; a window inside a part that is reported is not reported again; repeated rows each give their rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -126,13 +135,57 @@ class Templates:
         dice, i = min(scored, key=lambda x: (-x[0], self.names[x[1]], x[1]))
         return self.names[i], dice
 
+    def windows(self, words: list[str]) -> list[tuple[int, int, str, float]]:
+        """(first word, end, licence, dice) of the windows that reach a limit;
+        they share no bigram."""
+        get = self.by_bigram.get
+        pairs = list(zip(words, words[1:]))
+        hits: dict[int, list[int]] = {}
+        for at, pair in enumerate(pairs):
+            for i in get(pair, ()):
+                hits.setdefault(i, []).append(at)
+        found = []
+        for i, places in hits.items():
+            size, (low, high) = self.sizes[i], self.bounds[i]
+            need = max(1, math.ceil(low - 1e-9))        # common bigrams are at least the lower bound
+            if len(places) < need or len({pairs[at] for at in places}) < need:
+                continue
+            known = set(places)
+            for start in places[:len(places) - need + 1]:
+                inside, common, best = {pairs[start]}, 1, (0.0, 0, 0)
+                for at in range(start, len(pairs)):
+                    if at > start:
+                        if pairs[at] == pairs[start]:
+                            break           # the later start has all that this one has
+                        if pairs[at] in inside:
+                            continue
+                        inside.add(pairs[at])
+                        common += at in known
+                    if len(inside) > high:
+                        break
+                    if at in known:
+                        best = max(best, (2 * common / (len(inside) + size), common, -at))
+                        if common == size:
+                            break
+                if best[0] >= self.limit:
+                    found.append((-best[1], -best[0], self.names[i], start, 1 - best[2]))
+        out, taken = [], set()
+        for _, dice, name, start, end in sorted(found):
+            if taken.isdisjoint(range(start, end)):
+                taken.update(range(start, end))
+                out.append((start, end + 1, name, -dice))
+        return sorted(out)
+
     def scan(self, text: str) -> list[tuple[str, float, str, int]]:
         """(licence, dice, part, number of its first line from 0)."""
         out = []
         lines = [normal_words(line) for line in text.split("\n")]
+        firsts = list(accumulate(map(len, lines), initial=0))
+        parts = []      # reported: first word and end
         for number, words in enumerate(lines):
             if found := self.best(words):
                 out.append((*found, "line", number))
+                parts.append((firsts[number], firsts[number + 1]))
         whole: list[str] = []
         paragraph: list[str] = []
         first = held = paragraphs = filled = 0
@@ -146,11 +199,16 @@ class Templates:
             elif paragraph:
                 if held > 1 and (found := self.best(paragraph)):
                     out.append((*found, "paragraph", first))
+                    parts.append((firsts[first], firsts[first] + len(paragraph)))
                 whole += paragraph
                 paragraphs += 1
                 paragraph = []
         if paragraphs > 1 and (found := self.best(whole)):
             out.append((*found, "text", 0))
+            parts.append((0, len(whole)))
+        for start, end, name, dice in self.windows(whole):
+            if not any(a <= start and end <= b for a, b in parts):
+                out.append((name, dice, "window", bisect_right(firsts, start) - 1))
         return out
 
 

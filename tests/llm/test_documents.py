@@ -147,6 +147,35 @@ def test_a_licence_over_several_lines(spark):
     assert licenses.scan(frame(spark, [])).count() == 0
 
 
+def test_notices_inside_longer_parts(spark):
+    long = {n: t for n, t in licenses.TEMPLATES if len(t) > 200}
+    prose = "these are words of plain prose beside the notice"
+    rows = [(1, "Copyright 2020 Jane Doe. Licensed under the MIT License."),
+            (2, "Copyright (c) 2020 Jane Doe. All rights reserved."),
+            (3, f"{prose}\nand more {prose}. Licensed under CC BY-NC 4.0. {prose}"),
+            (4, f"{long['Apache-2.0']}\nimport os\n" + "\n".join(f"x{i} = os.path.join(a{i}, b{i})" for i in range(40))),
+            (5, f"MIT terms {prose} {long['MIT']} The software is provided as is, " + " ".join(f"word{i}" for i in range(80))),
+            (6, f"{prose} licensed under the terms of all rights of some license {prose}")]
+    got = {(r.doc_id, r.licence, r.part, r.line) for r in licenses.scan(frame(spark, rows)).collect()}
+    assert {x for x in got if x[0] != 4} == {
+        (1, "MIT", "window", 0), (2, "LicenseRef-all-rights-reserved", "window", 0),
+        (3, "CC-BY-NC-4.0", "window", 1), (5, "MIT", "window", 0)}
+    assert {x[1:3] for x in got if x[0] == 4} >= {("Apache-2.0", "line")}
+
+
+def test_windows_are_the_best(spark):
+    rng = random.Random(7)
+    known = licenses.Templates([("A", "a b c d e f"), ("B", "a b x y")])
+    for _ in range(300):
+        words = [rng.choice("abcdefxyz") if rng.random() < 0.3 else "abcdef"[i % 6] for i in range(rng.randrange(2, 14))]
+        best = max(brute_dice(" ".join(words[i:j]), t) for t in ("a b c d e f", "a b x y")
+                   for i in range(len(words)) for j in range(i + 2, len(words) + 1)) if len(words) > 1 else 0
+        got = known.windows(words)
+        assert bool(got) == (best >= 0.8)
+        for start, end, name, dice in got:
+            assert dice == brute_dice(" ".join(words[start:end]), {"A": "a b c d e f", "B": "a b x y"}[name]) >= 0.8
+
+
 # --- packing ---------------------------------------------------------------------------
 
 def padding(bins, cuts):
