@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexmill.llm import (ann, decontaminate, html_mincut, licenses, packing, passages, quality,
-                         simhash_dedup, token_rollup, toxicity)
+from lexmill.llm import (ann, chunk_dedup, decontaminate, divergence, html_mincut, licenses, packing, passages,
+                         quality, simhash_dedup, token_alignment, token_rollup, toxicity)
 from lexmill.llm.shared import table
 from lexmill.session import shared_folder
 
@@ -111,3 +111,73 @@ def op9_repeated_passages(spark, base):
 @query
 def op10_benchmark_decontamination(spark, base):
     return decontaminate.contaminated(table(spark, base, "documents"), table(spark, base, "benchmark"))
+
+
+@query
+def op11_exact_dedup(spark, base):
+    return chunk_dedup.exact_groups(table(spark, base, "documents"))
+
+
+SQL["op11_exact_dedup"] = r"""
+WITH texts AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
+  FROM documents
+), groups AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size FROM texts GROUP BY norm)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256
+FROM texts JOIN groups USING (norm)
+"""
+
+
+@query
+def op12_token_alignment(spark, base):
+    found = token_alignment.aligned(table(spark, base, "documents"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query
+def op13_source_divergence(spark, base):
+    return divergence.audit(table(spark, base, "documents"))
+
+
+SQL["op13_source_divergence"] = r"""
+WITH texts AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents
+), kept AS (
+  SELECT lang, term FROM (SELECT lang, unnest(list_distinct(words)) AS term FROM texts)
+  GROUP BY lang, term HAVING count(*) >= 10
+), sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), sources AS (SELECT DISTINCT lang, source FROM texts
+), counted AS (
+  SELECT lang, source, term, count(*) AS n
+  FROM (SELECT lang, source, unnest(words) AS term FROM texts) JOIN kept USING (lang, term) GROUP BY ALL
+), cells AS (
+  SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n
+  FROM sources s JOIN kept k USING (lang) LEFT JOIN counted c USING (lang, source, term)
+), shares AS (
+  SELECT lang, source, term, n, 1 + CAST(1000000000 AS HUGEINT) * (n + 2)
+         // (sum(n) OVER (PARTITION BY lang, source) + 2 * v) AS p FROM cells JOIN sizes USING (lang)
+), whole AS (
+  SELECT lang, term, 1 + CAST(1000000000 AS HUGEINT) * (n + 2) // (sum(n) OVER (PARTITION BY lang) + 2 * v) AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM cells GROUP BY lang, term) JOIN sizes USING (lang)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(any_value(f), 0) AS value
+  FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS f
+             FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term GROUP BY ALL) d
+    ON d.lang = a.lang AND d.source = a.source AND d.item = b.source
+  GROUP BY ALL
+), best AS (
+  SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value
+  FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value,
+         row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) AS rank FROM pairs
+  UNION ALL
+  SELECT * FROM (SELECT lang, source, 'term', item, value,
+         row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) AS rank FROM best)
+  WHERE rank <= 10
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked
+"""
