@@ -45,7 +45,7 @@ SHARD_TERMS = 65_536          # terms of one transducer
 ROUND_BYTES = 64 << 20        # transducers that a task holds at once
 BLOCK_TERMS = 512             # ordinals of a block, fewer where many sources share one
 BLOCK_CELLS = 1 << 22
-_HELD = 400_000               # distinct terms that a task holds before it hands them on
+_HELD = 800_000               # distinct terms that a task holds before it hands them on
 
 # ASCII that is no letter ends a term; bytes from 0x80 on are parts of letters.
 _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -208,24 +208,29 @@ class _Round:
 
     def __init__(self, rows: list[tuple]):
         self.of: dict[str, tuple[list, list, list]] = {}
+        self.seen: dict[str, dict[bytes, int]] = {}
         for lang, first, base, blob in sorted(rows):
             starts, bases, loaded = self.of.setdefault(lang, ([], [], []))
             starts.append(first)
             bases.append(base)
             loaded.append(Transducer.load(blob))
 
-    def ordinals(self, lang: str, counted: Counter) -> tuple[list[int], list[int]]:
-        """Ordinals and counts of those terms that this round knows."""
+    def ordinals(self, lang: str, counted: Counter) -> tuple[np.ndarray, np.ndarray]:
+        """Ordinals and counts of those terms that this round knows.  A term that
+        several sources have is walked once and remembered."""
         starts, bases, loaded = self.of.get(lang, ([], [], []))
-        places, counts = [], []
-        if starts:
-            for term, n in counted.items():
-                at = bisect_right(starts, term) - 1
-                place = loaded[at].ordinal(term) if at >= 0 else -1
-                if place >= 0:
-                    places.append(bases[at] + place)
-                    counts.append(n)
-        return places, counts
+        if not starts:
+            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        seen = self.seen.setdefault(lang, {})
+        if len(seen) > _HELD:
+            seen.clear()
+        for term in counted.keys() - seen.keys():
+            at = bisect_right(starts, term) - 1
+            place = loaded[at].ordinal(term) if at >= 0 else -1
+            seen[term] = bases[at] + place if place >= 0 else -1
+        places = np.fromiter(map(seen.__getitem__, counted), dtype=np.int64, count=len(counted))
+        counts = np.fromiter(counted.values(), dtype=np.int64, count=len(counted))
+        return places[places >= 0], counts[places >= 0]
 
     def term(self, lang: str, ordinal: int) -> bytes:
         _, bases, loaded = self.of[lang]
@@ -265,8 +270,7 @@ def _recount(held_round):
             for (lang, source), counted in held.items():
                 places, counts = known.ordinals(lang, counted)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(places), pa.string()), pa.array([source] * len(places), pa.string()),
-                     pa.array(places, pa.int64()), pa.array(counts, pa.int64())],
+                    [pa.repeat(lang, len(places)), pa.repeat(source, len(places)), pa.array(places), pa.array(counts)],
                     names=["lang", "source", "ordinal", "n"])
             held.clear()
 

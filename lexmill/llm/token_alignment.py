@@ -34,6 +34,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,8 @@ TOKENIZER_B = f"{FOLDER}/piece_bpe_32k.model"
 CHUNK_BYTES = 1 << 16
 FAN = 16
 HEAD_PAIRS = 1 << 18
-_CACHE = 200_000            # segments whose alignment a task remembers
+_TEXTS = 2048               # documents that a task aligns at once
+_FEW = 64                   # links of a group that are written out one by one
 _HELD = 1_000_000           # pairs that a task holds before it hands them on
 _SEAM = re.compile(r"(?<=\S) (?=\S)")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -77,25 +79,24 @@ class Pair:
         of = _byte_level()
         self.bytes_a = {i: bytes(of[c] for c in token) if all(c in of for c in token) else token.encode()
                         for token, i in self.a.get_vocab(with_added_tokens=True).items()}
-        self.bytes_b = []
+        self.bytes_b = {}
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
             found = _BYTE_PIECE.fullmatch(piece) if self.b.is_byte(i) else None
-            self.bytes_b.append(bytes([int(found[1], 16)]) if found else piece.replace("▁", " ").encode())
+            self.bytes_b[i] = bytes([int(found[1], 16)]) if found else piece.replace("▁", " ").encode()
+        self.widths = tuple(np.array([len(of.get(i, b"")) for i in range(max(of) + 1)], dtype=np.int64)
+                            for of in (self.bytes_a, self.bytes_b))
 
-    def encode(self, parts: list[str]) -> Iterator[tuple[list[int], list[int], bool]]:
-        """(A ids of blank + part, B ids of part, whether both give it back)."""
+    def encode(self, parts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """A ids of blank + part and B ids of part, which adds the blank."""
         left = self.a.encode_batch([" " + p for p in parts], add_special_tokens=False)
-        right = self.b.encode(parts, num_threads=1)
-        for part, one, ids in zip(parts, left, right):
-            whole = b" " + part.encode()
-            same = (b"".join([self.bytes_a[i] for i in one.ids]) == whole
-                    and b"".join([self.bytes_b[i] for i in ids]) == whole)
-            yield one.ids, ids, same
+        return [one.ids for one in left], self.b.encode(parts, num_threads=1)
 
-    def ends(self, ids_a: list[int], ids_b: list[int]) -> tuple[Ends, Ends]:
-        return tuple((np.array(ids, dtype=np.int64), np.cumsum([len(of[i]) for i in ids], dtype=np.int64))
-                     for ids, of in ((ids_a, self.bytes_a), (ids_b, self.bytes_b)))
+    def given_back(self, part: str, ids_a: list[int], ids_b: list[int]) -> bool:
+        """Whether the bytes of both token lists are those of blank + part."""
+        whole = b" " + part.encode()
+        return (b"".join([self.bytes_a[i] for i in ids_a]) == whole
+                and b"".join([self.bytes_b[i] for i in ids_b]) == whole)
 
 
 # --- the monoid -------------------------------------------------------------
@@ -108,7 +109,7 @@ def _joined(x: tuple[Ends, Ends], y: tuple[Ends, Ends]) -> tuple[Ends, Ends]:
     return tuple((np.concatenate((a, c)), np.concatenate((b, d))) for (a, b), (c, d) in zip(x, y))
 
 
-def _parts(tokens: tuple[Ends, Ends], cuts: np.ndarray) -> list[tuple[Ends, Ends]]:
+def _parts(tokens: tuple[Ends, Ends], cuts: list[int]) -> list[tuple[Ends, Ends]]:
     """The tokens up to each of the cuts, and those behind the last."""
     (a, ea), (b, eb) = tokens
     i, j = np.searchsorted(ea, cuts, side="right"), np.searchsorted(eb, cuts, side="right")
@@ -117,8 +118,8 @@ def _parts(tokens: tuple[Ends, Ends], cuts: np.ndarray) -> list[tuple[Ends, Ends
 
 
 class Fragment:
-    """Open prefix, closed groups, open suffix.  A fragment without a common end
-    is all prefix."""
+    """Open prefix, stretches of closed groups, open suffix.  A fragment without a
+    common end is all prefix."""
 
     def __init__(self, head: tuple[Ends, Ends], closed: list, tail: tuple[Ends, Ends], cut: bool, sound: bool = True):
         self.head, self.closed, self.tail, self.cut, self.sound = head, closed, tail, cut, sound
@@ -128,8 +129,8 @@ class Fragment:
         cuts = np.intersect1d(tokens[0][1], tokens[1][1], assume_unique=True)
         if not len(cuts):
             return cls(tokens, [], EMPTY, False, sound)
-        first, *groups, rest = _parts(tokens, cuts)
-        return cls(first, groups, rest, True, sound)
+        first, groups, rest = _parts(tokens, [cuts[0], cuts[-1]])
+        return cls(first, [groups] if len(cuts) > 1 else [], rest, True, sound)
 
     def then(self, other: Fragment) -> Fragment:
         between = Fragment.of(_joined(self.tail if self.cut else self.head, other.head))
@@ -158,26 +159,40 @@ class Fragment:
 
 # --- closed groups and their links ------------------------------------------
 
-class Closed:
-    """What closed groups in a row add up to."""
-
-    def __init__(self, groups: list[tuple[Ends, Ends]]):
-        self.text = b";".join(
-            b"%b|%b" % (",".join(map(str, a.tolist())).encode(), ",".join(map(str, b.tolist())).encode())
-            for (a, _), (b, _) in groups)
-        self.n = (sum(len(a) for (a, _), _ in groups), sum(len(b) for _, (b, _) in groups), len(groups),
-                  sum(len(a) * len(b) for (a, _), (b, _) in groups))
-        keys, times = [], []
-        for (a, _), (b, _) in groups:
-            if len(a) == len(b) == 1:
-                keys.append(a << 32 | b)
-                times.append(np.ones(1, dtype=np.int64))
-                continue
-            a, many_a = np.unique(a, return_counts=True)
-            b, many_b = np.unique(b, return_counts=True)
-            keys.append((a[:, None] << 32 | b[None, :]).ravel())
-            times.append((many_a[:, None] * many_b[None, :]).ravel())
-        self.keys, self.times = summed(keys, times)
+class Groups:
+    """The groups of tokens that end together: `text` of each, token counts `a`
+    and `b`, the place of their last A token, and their links as (group, key,
+    times), where a key is A id and B id."""
+
+    def __init__(self, tokens: tuple[Ends, Ends]):
+        (a, ea), (b, eb) = tokens
+        at = np.searchsorted(eb, ea)
+        last_a = np.flatnonzero(eb[np.minimum(at, len(eb) - 1)] == ea) if len(eb) else np.empty(0, dtype=np.int64)
+        last_b = at[last_a]
+        self.last = last_a
+        from_a, from_b = (np.concatenate(([0], x[:-1] + 1)).astype(np.int64)[:len(x)] for x in (last_a, last_b))
+        self.a, self.b = last_a + 1 - from_a, last_b + 1 - from_b
+        said_a, said_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        self.text = [f"{','.join(said_a[i:j + 1])}|{','.join(said_b[k:m + 1])}" for i, j, k, m in
+                     zip(from_a.tolist(), last_a.tolist(), from_b.tolist(), last_b.tolist())]
+        links = self.a * self.b
+        few = np.flatnonzero(links <= _FEW)
+        group, rank = _ragged(few, links[few])
+        keys = a[from_a[group] + rank // self.b[group]] << 32 | b[from_b[group] + rank % self.b[group]]
+        groups, all_keys, times = [group], [keys], [np.ones(len(keys), dtype=np.int64)]
+        for g in np.flatnonzero(links > _FEW):       # a long group repeats its ids: count them first
+            x, many_x = np.unique(a[from_a[g]:last_a[g] + 1], return_counts=True)
+            y, many_y = np.unique(b[from_b[g]:last_b[g] + 1], return_counts=True)
+            all_keys.append((x[:, None] << 32 | y[None, :]).ravel())
+            times.append((many_x[:, None] * many_y[None, :]).ravel())
+            groups.append(np.full(len(all_keys[-1]), g))
+        self.group, self.keys, self.times = map(np.concatenate, (groups, all_keys, times))
+
+
+def _ragged(items: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every item as often as its size says, and 0, 1, … within each."""
+    each = np.repeat(items, sizes)
+    return each, np.arange(len(each)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
 def summed(keys: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -211,46 +226,87 @@ def _batch(rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist(rows, schema=_RECORD_SCHEMA)
 
 
-def _closed_row(row: int, groups: list, at: int) -> dict:
-    """Closed groups of a long document as a row; `at` orders them."""
-    one = Closed(groups)
-    return {"row": row, "kind": "closed", "place": at, "blob": one.text, "n_a": one.n[0], "n_b": one.n[1],
-            "n_groups": one.n[2], "n_links": one.n[3], "keys": _planes(one.keys), "times": _planes(one.times)}
-
-
-class _Segments:
-    """Alignments of segments, the stretches between seams, that a task remembers."""
-
-    def __init__(self, pair: Pair):
-        self.pair, self.known = pair, {}
-
-    def learn(self, parts) -> None:
-        if len(self.known) > _CACHE:
-            self.known.clear()
-        new = [p for p in dict.fromkeys(parts) if p not in self.known]
-        for part, (ids_a, ids_b, same) in zip(new, self.pair.encode(new) if new else ()):
-            if not same:
-                self.known[part] = None
-                continue
-            tokens = self.pair.ends(ids_a, ids_b)
-            whole = Fragment.of(tokens)
-            self.known[part] = (tokens, Closed([whole.head, *whole.closed]))
+def _closed_row(row: int, stretch: tuple[Ends, Ends]) -> dict:
+    """A stretch of closed groups of a long document as a row; its place orders it."""
+    one = Groups(stretch)
+    keys, times = summed([one.keys], [one.times])
+    return {"row": row, "kind": "closed", "place": int(stretch[0][1][0]), "blob": ";".join(one.text).encode(),
+            "n_a": int(one.a.sum()), "n_b": int(one.b.sum()), "n_groups": len(one.text),
+            "n_links": int((one.a * one.b).sum()), "keys": _planes(keys), "times": _planes(times)}
+
+
+class Segments:
+    """Alignment of distinct segments, the stretches between seams, laid end to
+    end: `of` numbers the sound ones, `tokens` are their tokens with ends from the
+    start of all, `groups` their groups."""
+
+    def __init__(self, pair: Pair, parts):
+        parts = list(dict.fromkeys(parts))
+        ids_a, ids_b = pair.encode(parts) if parts else ([], [])
+        sizes = [len(p.encode()) + 1 for p in parts]
+        sound = [pair.given_back(*x) for x in zip(parts, ids_a, ids_b)]
+        parts, ids_a, ids_b, sizes = ([x for x, good in zip(c, sound) if good] for c in (parts, ids_a, ids_b, sizes))
+        self.of = {p: i for i, p in enumerate(parts)}
+        self.size = np.array(sizes, dtype=np.int64)
+        tokens, self.edges = [], []
+        for ids, widths in zip((ids_a, ids_b), pair.widths):
+            count = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+            flat = np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=int(count.sum()))
+            tokens.append((flat, np.cumsum(widths[flat])))
+            self.edges.append(np.concatenate(([0], np.cumsum(count))))
+        self.tokens = tuple(tokens)
+        self.groups = Groups(self.tokens)
+        # every segment ends a group
+        group_edges = np.searchsorted(self.groups.last, self.edges[0])
+        self.text = [";".join(self.groups.text[i:j]) for i, j in zip(group_edges.tolist(), group_edges[1:].tolist())]
+        links = np.concatenate(([0], np.cumsum(self.groups.a * self.groups.b)))[group_edges]
+        self.sums = np.stack([*map(np.diff, self.edges), np.diff(group_edges), np.diff(links)]) if parts else np.zeros((4, 0), dtype=np.int64)
+        order = np.argsort(self.groups.group, kind="stable")
+        self.keys, self.times = self.groups.keys[order], self.groups.times[order]
+        self.key_edges = np.searchsorted(self.groups.group[order], group_edges)
+
+    def laid(self, parts: list[str], at: int) -> list[tuple]:
+        """(ids, ends, starts) of both sides of segments in a row from byte `at`."""
+        which = np.array([self.of[p] for p in parts], dtype=np.int64)
+        begin = np.concatenate(([0], np.cumsum(self.size)))[which]
+        shift = at + np.concatenate(([0], np.cumsum(self.size[which])[:-1])) - begin
+        out = []
+        for (ids, ends), edges in zip(self.tokens, self.edges):
+            count = np.diff(edges)[which]
+            each, rank = _ragged(np.arange(len(which)), count)
+            place = edges[which][each] + rank
+            ends = ends[place] + shift[each]
+            out.append((ids[place], ends, np.concatenate(([at], ends[:-1]))))
+        return out
 
 
-def _whole_row(row: int, doc_id, parts: list[str], known: dict) -> dict:
-    """A document of one range: its segments begin and end at common ends, so its
-    fragment is all closed."""
-    out = {"row": row, "doc_id": doc_id, "kind": "whole", "sha": "", "n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0,
-           "keys": b"", "times": b""}
-    found = [known[p] for p in parts]
-    if not found or None in found:
-        return out
-    closed = [c for _, c in found]
-    out["n_a"], out["n_b"], out["n_groups"], out["n_links"] = map(sum, zip(*(c.n for c in closed)))
-    out["sha"] = hashlib.sha256(b";".join([c.text for c in closed])).hexdigest()
-    keys, times = summed([c.keys for c in closed], [c.times for c in closed])
-    out["keys"], out["times"] = _planes(keys), _planes(times)
-    return out
+def _whole_rows(first: int, ids: list, docs: list[list[str]], found: Segments) -> list[dict]:
+    """Documents of one range: their segments begin and end at common ends, so
+    their fragments are all closed."""
+    rows = [{"row": first + i, "doc_id": doc_id, "kind": "whole", "sha": "", "n_a": 0, "n_b": 0, "n_groups": 0,
+             "n_links": 0, "keys": b"", "times": b""} for i, doc_id in enumerate(ids)]
+    which = [[found.of.get(p, -1) for p in parts] for parts in docs]
+    sound = [i for i, x in enumerate(which) if x and min(x) >= 0]
+    if not sound:
+        return rows
+    doc = np.repeat(sound, [len(which[i]) for i in sound])
+    seg = np.fromiter(chain.from_iterable(which[i] for i in sound), dtype=np.int64, count=len(doc))
+    once, many = np.unique(doc * len(found.of) + seg, return_counts=True)
+    doc, seg = np.divmod(once, len(found.of))
+    each, rank = _ragged(np.arange(len(seg)), np.diff(found.key_edges)[seg])
+    place = found.key_edges[seg][each] + rank
+    key, times, of = found.keys[place], found.times[place] * many[each], doc[each]
+    order = np.lexsort((key, of))
+    key, times, of = key[order], times[order], of[order]
+    new = np.flatnonzero(np.concatenate(([True], (np.diff(key) != 0) | (np.diff(of) != 0))))
+    key, times, of = key[new], np.add.reduceat(times, new), of[new]
+    for i in sound:
+        sums = found.sums[:, which[i]].sum(axis=1).tolist()
+        low, high = np.searchsorted(of, [i, i + 1])
+        rows[i].update(zip(("n_a", "n_b", "n_groups", "n_links"), sums),
+                       sha=hashlib.sha256(";".join([found.text[k] for k in which[i]]).encode()).hexdigest(),
+                       keys=_planes(key[low:high]), times=_planes(times[low:high]))
+    return rows
 
 
 def byte_ranges(text: str, size: int) -> list[tuple[int, int, int, str]]:
@@ -278,25 +334,24 @@ def _read(path_a: str, path_b: str, chunk_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        segments = _Segments(Pair(path_a, path_b))
+        pair = Pair(path_a, path_b)
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                some = batch.slice(at, 512)
-                texts = [t or "" for t in some.column(1).to_pylist()]
-                long = [len(t) * 4 >= chunk_bytes and len(t.encode()) >= chunk_bytes for t in texts]
-                parts = [_SEAM.split(t) if t and not big else [] for t, big in zip(texts, long)]
-                segments.learn(p for one in parts for p in one)
-                rows = []
-                for doc_id, text, big, own in zip(some.column(0).to_pylist(), texts, long, parts):
-                    if big:
-                        for idx, (low, high, start, region) in enumerate(byte_ranges(text, chunk_bytes)):
-                            rows.append({"row": row, "doc_id": doc_id if not idx else None, "kind": "range",
-                                         "idx": idx, "place": start, "n_a": low, "n_b": high,
-                                         "blob": region.encode()})
-                    else:
-                        rows.append(_whole_row(row, doc_id, own, segments.known))
+            for at in range(0, batch.num_rows, _TEXTS):
+                some = batch.slice(at, _TEXTS)
+                ids, docs, rows = [], [], []
+                for doc_id, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
+                    text = text or ""
+                    if len(text) * 4 < chunk_bytes or len(text.encode()) < chunk_bytes:
+                        ids.append(doc_id)
+                        docs.append(_SEAM.split(text) if text else [])
+                        continue
+                    for idx, (low, high, start, region) in enumerate(byte_ranges(text, chunk_bytes)):
+                        rows.append({"row": row, "doc_id": doc_id if not idx else None, "kind": "range", "idx": idx,
+                                     "place": start, "n_a": low, "n_b": high, "blob": region.encode()})
                     row += 1
+                rows += _whole_rows(row, ids, docs, Segments(pair, chain.from_iterable(docs)))
+                row += len(ids)
                 yield _batch(rows)
     return run
 
@@ -304,30 +359,20 @@ def _read(path_a: str, path_b: str, chunk_bytes: int):
 def _encode(path_a: str, path_b: str):
     """Records of ranges: an `open` fragment and a `closed` row each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segments = _Segments(Pair(path_a, path_b))
+        pair = Pair(path_a, path_b)
         for batch in batches:
             for r in batch.select(["row", "idx", "place", "n_a", "n_b", "blob"]).to_pylist():
                 parts = _SEAM.split(r["blob"].decode())
-                segments.learn(parts)
-                found = [segments.known[p] for p in parts]
-                if None in found:
+                found = Segments(pair, parts)
+                if len(found.of) < len(set(parts)):
                     yield _batch([_open_row(r["row"], r["idx"], Fragment(EMPTY, [], EMPTY, False, False))])
                     continue
-                at, sides = r["place"], [[], []]
-                for part, (tokens, _) in zip(parts, found):
-                    for side, (ids, ends) in zip(sides, tokens):
-                        side.append((ids, ends + at, np.concatenate(([0], ends[:-1])) + at))
-                    at += len(part.encode()) + 1
                 owned = []
-                for side in sides:
-                    ids, ends, starts = map(np.concatenate, zip(*side))
+                for ids, ends, starts in found.laid(parts, r["place"]):
                     mine = (starts >= r["n_a"]) & (starts < r["n_b"])
                     owned.append((ids[mine], ends[mine]))
                 one = Fragment.of(tuple(owned))
-                rows = [_open_row(r["row"], r["idx"], one)]
-                if one.closed:
-                    rows.append(_closed_row(r["row"], one.closed, int(one.closed[0][0][1][0])))
-                yield _batch(rows)
+                yield _batch([_open_row(r["row"], r["idx"], one)] + [_closed_row(r["row"], x) for x in one.closed])
     return run
 
 
@@ -343,7 +388,7 @@ def _compose(key, table):
     for r in rows[1:]:
         whole = whole.then(Fragment.load(r["blob"]))
     out = [_open_row(rows[0]["row"], rows[0]["idx"] // FAN, whole)]
-    out += [_closed_row(rows[0]["row"], [group], int(group[0][1][0])) for group in whole.closed]
+    out += [_closed_row(rows[0]["row"], stretch) for stretch in whole.closed]
     return pa.Table.from_batches([_batch(out)])
 
 
@@ -355,7 +400,7 @@ def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, blob in zip(batch.column("row").to_pylist(), batch.column("blob").to_pylist()):
             one = Fragment.load(blob)
             if one.sound:
-                rows.append(_closed_row(row, [one.head], int(one.head[0][1][0])))
+                rows.append(_closed_row(row, one.head))
             else:
                 rows.append({"row": row, "kind": "unsound"})
         yield _batch(rows)
