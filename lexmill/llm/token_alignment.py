@@ -32,6 +32,7 @@ result; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Iterator
 from itertools import chain
@@ -48,7 +49,7 @@ TOKENIZER_B = f"{FOLDER}/piece_bpe_32k.model"
 CHUNK_BYTES = 1 << 16
 FAN = 16
 HEAD_PAIRS = 1 << 18
-_TEXTS = 2048               # documents that a task aligns at once
+_AT_ONCE = 1_500_000        # characters that a task aligns at once
 _FEW = 64                   # links of a group that are written out one by one
 _HELD = 1_000_000           # pairs that a task holds before it hands them on
 _SEAM = re.compile(r"(?<=\S) (?=\S)")
@@ -66,19 +67,39 @@ def _byte_level() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(0x100 + i): b for i, b in enumerate(hidden)}
 
 
+# How a byte-level vocabulary splits text before its merges; a fixed value.
+_PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def _encoder(path: str):
+    """(text -> ids, bytes of every id) of a byte-level tokenizer file.  Where
+    its merges make its ids in order, as a rank file does, the ranks are read from
+    it; any other is left to its own library."""
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)
+    vocabulary, of = model["model"]["vocab"], _byte_level()
+    known = {i: bytes(map(of.__getitem__, token)) for token, i in vocabulary.items() if all(c in of for c in token)}
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["model"]["merges"]]
+    if [vocabulary[m] for m in merged] == list(range(256, 256 + len(merged))):
+        from tiktoken import Encoding
+
+        ranks = {known[i]: i for i in range(256 + len(merged))}
+        return Encoding("ranks", pat_str=_PIECES, mergeable_ranks=ranks, special_tokens={}).encode_ordinary, known
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(path)
+    own.encode_special_tokens = True
+    return lambda text: own.encode(text, add_special_tokens=False).ids, known
+
+
 class Pair:
     """Both tokenizers, with the bytes of every token."""
 
     def __init__(self, path_a: str = TOKENIZER_A, path_b: str = TOKENIZER_B):
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
+        self.a, self.bytes_a = _encoder(path_a)
         self.b = SentencePieceProcessor(model_file=path_b)
-        of = _byte_level()
-        self.bytes_a = {i: bytes(of[c] for c in token) if all(c in of for c in token) else token.encode()
-                        for token, i in self.a.get_vocab(with_added_tokens=True).items()}
         self.bytes_b = {}
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
@@ -89,14 +110,13 @@ class Pair:
 
     def encode(self, parts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """A ids of blank + part and B ids of part, which adds the blank."""
-        left = self.a.encode_batch([" " + p for p in parts], add_special_tokens=False)
-        return [one.ids for one in left], self.b.encode(parts, num_threads=1)
+        return [self.a(" " + p) for p in parts], self.b.encode(parts, num_threads=1)
 
     def given_back(self, part: str, ids_a: list[int], ids_b: list[int]) -> bool:
         """Whether the bytes of both token lists are those of blank + part."""
         whole = b" " + part.encode()
-        return (b"".join([self.bytes_a[i] for i in ids_a]) == whole
-                and b"".join([self.bytes_b[i] for i in ids_b]) == whole)
+        return (b"".join(map(self.bytes_a.__getitem__, ids_a)) == whole
+                and b"".join(map(self.bytes_b.__getitem__, ids_b)) == whole)
 
 
 # --- the monoid -------------------------------------------------------------
@@ -242,25 +262,31 @@ class Segments:
 
     def __init__(self, pair: Pair, parts):
         parts = list(dict.fromkeys(parts))
-        ids_a, ids_b = pair.encode(parts) if parts else ([], [])
-        sizes = [len(p.encode()) + 1 for p in parts]
-        sound = [pair.given_back(*x) for x in zip(parts, ids_a, ids_b)]
-        parts, ids_a, ids_b, sizes = ([x for x, good in zip(c, sound) if good] for c in (parts, ids_a, ids_b, sizes))
-        self.of = {p: i for i, p in enumerate(parts)}
-        self.size = np.array(sizes, dtype=np.int64)
+        ids = pair.encode(parts) if parts else ([], [])
+        said = [p.encode() for p in parts]
+        size = np.array([len(p) + 1 for p in said], dtype=np.int64)
+        whole, sound = b"".join([b" " + p for p in said]), True
         tokens, self.edges = [], []
-        for ids, widths in zip((ids_a, ids_b), pair.widths):
-            count = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-            flat = np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=int(count.sum()))
-            tokens.append((flat, np.cumsum(widths[flat])))
-            self.edges.append(np.concatenate(([0], np.cumsum(count))))
+        for own, of, widths in zip(ids, (pair.bytes_a, pair.bytes_b), pair.widths):
+            count = np.fromiter(map(len, own), dtype=np.int64, count=len(own))
+            flat = np.fromiter(chain.from_iterable(own), dtype=np.int64, count=int(count.sum()))
+            ends, edges = np.cumsum(widths[flat]), np.concatenate(([0], np.cumsum(count)))
+            at = np.concatenate(([0], ends))[edges]
+            sound = (sound and np.array_equal(np.diff(at), size)
+                     and b"".join(map(of.__getitem__, chain.from_iterable(own))) == whole)
+            tokens.append((flat, ends))
+            self.edges.append(edges)
+        if not sound:
+            return self.__init__(pair, [p for p, *own in zip(parts, *ids) if pair.given_back(p, *own)])
+        self.of = {p: i for i, p in enumerate(parts)}
+        self.size = size
         self.tokens = tuple(tokens)
         self.groups = Groups(self.tokens)
         # every segment ends a group
         group_edges = np.searchsorted(self.groups.last, self.edges[0])
         self.text = [";".join(self.groups.text[i:j]) for i, j in zip(group_edges.tolist(), group_edges[1:].tolist())]
         links = np.concatenate(([0], np.cumsum(self.groups.a * self.groups.b)))[group_edges]
-        self.sums = np.stack([*map(np.diff, self.edges), np.diff(group_edges), np.diff(links)]) if parts else np.zeros((4, 0), dtype=np.int64)
+        self.sums = np.stack([*map(np.diff, self.edges), np.diff(group_edges), np.diff(links)])
         order = np.argsort(self.groups.group, kind="stable")
         self.keys, self.times = self.groups.keys[order], self.groups.times[order]
         self.key_edges = np.searchsorted(self.groups.group[order], group_edges)
@@ -336,23 +362,32 @@ def _read(path_a: str, path_b: str, chunk_bytes: int):
 
         pair = Pair(path_a, path_b)
         row = TaskContext.get().partitionId() << 40
+        ids, docs, rows, size = [], [], [], 0
+
+        def out() -> pa.RecordBatch:
+            nonlocal row
+            done = rows + _whole_rows(row, ids, docs, Segments(pair, chain.from_iterable(docs)))
+            row += len(ids)
+            for held in (ids, docs, rows):
+                held.clear()
+            return _batch(done)
+
         for batch in batches:
-            for at in range(0, batch.num_rows, _TEXTS):
-                some = batch.slice(at, _TEXTS)
-                ids, docs, rows = [], [], []
-                for doc_id, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
-                    text = text or ""
-                    if len(text) * 4 < chunk_bytes or len(text.encode()) < chunk_bytes:
-                        ids.append(doc_id)
-                        docs.append(_SEAM.split(text) if text else [])
-                        continue
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                text = text.as_py() or ""
+                size += len(text)
+                if len(text) * 4 < chunk_bytes or len(text.encode()) < chunk_bytes:
+                    ids.append(doc_id)
+                    docs.append(_SEAM.split(text) if text else [])
+                else:
                     for idx, (low, high, start, region) in enumerate(byte_ranges(text, chunk_bytes)):
                         rows.append({"row": row, "doc_id": doc_id if not idx else None, "kind": "range", "idx": idx,
                                      "place": start, "n_a": low, "n_b": high, "blob": region.encode()})
                     row += 1
-                rows += _whole_rows(row, ids, docs, Segments(pair, chain.from_iterable(docs)))
-                row += len(ids)
-                yield _batch(rows)
+                if size > _AT_ONCE:
+                    yield out()
+                    size = 0
+        yield out()
     return run
 
 

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from lexmill.llm import chunk_dedup, divergence, token_alignment
 
@@ -85,11 +86,11 @@ def test_copies_are_found_without_python(spark, copies):
 
 # --- alignment of tokenizers ---
 
-def groups_of(pair, text):
+def groups_of(pair, own, text):
     if not text:
         return []
     whole = (" " + text).encode()
-    a = pair.a.encode(" " + text, add_special_tokens=False).ids
+    a = own.encode(" " + text, add_special_tokens=False).ids
     b = pair.b.encode(text)
     if b"".join(pair.bytes_a[i] for i in a) != whole or b"".join(pair.bytes_b[i] for i in b) != whole:
         return []
@@ -104,7 +105,9 @@ def groups_of(pair, text):
 
 def aligned_by_hand(rows):
     pair = token_alignment.Pair()
-    found = [(doc_id, groups_of(pair, text)) for doc_id, text in rows]
+    own = Tokenizer.from_file(token_alignment.TOKENIZER_A)
+    own.encode_special_tokens = True
+    found = [(doc_id, groups_of(pair, own, text)) for doc_id, text in rows]
     counts = Counter()
     for _, groups in found:
         counts.update({(a, b) for x, y in groups for a in x for b in y})
