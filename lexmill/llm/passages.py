@@ -1,14 +1,18 @@
 """Fuzzy repeated passages by collinear chaining.
 
-1. Seeds: hashes of all runs of five words, so five unchanged words in a row are
-   a seed, and of all runs of 50 words.  They go once through a shuffle, packed
-   by task into columns of bytes for buckets of the hash, and are sorted there.
-2. Every five-word seed is linked to its first occurrence in the corpus, the
-   smallest (doc_id, position), and to the document before that has it; a run of
-   50 words to its first occurrence.  A passage that a third of all documents
-   share gives at most three links per word, never all pairs.  A run of 50 words
-   that stands earlier is so found whole, also where its lines stand in other
-   documents still earlier.
+1. Seeds are hashes of runs of words: every run of five words, so five unchanged
+   words in a row are a seed; of the runs of WIDE words the smallest of every
+   19 in a row, so 50 unchanged words in a row hold one; and, from every fourth
+   five-word run, the pair with the run SPREAD words on, which spans a line's end
+   and bears changes between.  Seeds that a task sees more than once are linked
+   there, so a seed leaves a task once for every _FLUSH seeds, however many
+   documents have it.  They go through a shuffle, packed into columns of bytes
+   for buckets of the hash; the number of buckets follows the bytes of the texts,
+   about _BUCKET seeds each, so that a task holds no more at any size.
+2. A seed is linked to its first occurrence, the smallest (doc_id, position), and
+   to the document before that has it: first in its task, and the first of each
+   task then in the corpus.  A passage that a third of all documents share gives
+   at most four links per seed, never all pairs.
 3. Links of one (document, source) pair that follow each other on a diagonal
    join to anchors.  Anchors are chained in order of position: a chain gains the
    words of each anchor and pays GAP for every word skipped on either side; a
@@ -24,7 +28,9 @@ Words are maximal runs without ASCII white space, A-Z lower-cased.  Cases: null
 and empty texts, and texts shorter than a passage, have none; rows are told by
 doc_id, and repeated rows fold; rows of one doc_id with different texts are each
 aligned on their own text; rows without a doc_id take no part and stay as they
-are; extra columns are ignored, or kept where rows are returned.
+are; extra columns are ignored, or kept where rows are returned.  A changed
+passage all of whose seeds stand in other documents between it and its source,
+the pairs of runs included, can be missed.
 """
 
 from __future__ import annotations
@@ -34,6 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -41,13 +48,17 @@ from lexmill.llm.shared import binary_texts, materialize
 
 SEED_WORDS = 5
 MIN_WORDS = 50
-WIDTHS = (SEED_WORDS, MIN_WORDS)   # words of the runs that are seeds
+WIDE = 32                        # words of a wide run
+SPREAD = 25                      # words between the two runs of a pair
+WIDTHS = (SEED_WORDS, WIDE, SPREAD + SEED_WORDS)   # words that a seed spans, by level
 IDENTITY = 0.8
 GAP = 0.1                        # cost of a word skipped on either side
 MARGIN = 64                      # words beside a chain that an alignment may use
 _LEAST_SPAN = 20                 # words between the ends of a chain
 _REACH = 12                      # words between links on one diagonal that are one anchor
-_FLUSH = 4_000_000               # seeds that a task packs at once
+_FLUSH = 700_000                 # seeds that a task packs at once
+_BUCKET = 1_000_000              # seeds of a bucket
+_HASH_BYTES = 6                  # of a hash, beside its bucket: one in 10^8 seeds meets another
 _WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 
 
@@ -78,6 +89,20 @@ def seeds(words: np.ndarray, width: int = SEED_WORDS) -> np.ndarray:
     return h
 
 
+def levels(words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(hash, position) of the seeds of one text of MIN_WORDS words at least, by level."""
+    short = seeds(words)
+    yield short, np.arange(len(short), dtype=np.int32)
+    wide = seeds(words, WIDE)
+    window = MIN_WORDS - WIDE + 1
+    least = np.lib.stride_tricks.sliding_window_view(wide, window).argmin(axis=1) + np.arange(len(wide) - window + 1)
+    at = np.unique(least).astype(np.int32)
+    yield wide[at], at
+    at = np.flatnonzero(short[:-SPREAD] & np.uint64(3) == 0).astype(np.int32)
+    pair = (short[at] * np.uint64(0x9E3779B97F4A7C15)) ^ short[at + SPREAD]
+    yield pair * np.uint64(0xBF58476D1CE4E5B9) ^ pair >> np.uint64(29), at
+
+
 def _planes(values: np.ndarray, n: int) -> bytes:
     """The low n bytes of each value, all first bytes first: what is equal in
     neighbours compresses away."""
@@ -114,76 +139,92 @@ def _unstepped(docs: list[bytes], places: list[bytes]) -> tuple[np.ndarray, np.n
     return tuple(map(np.concatenate, zip(*out)))
 
 
-def _seed_rows(buckets: int):
-    """Packed seeds (bucket, hash, doc, x); the high half of a hash is its bucket,
-    `buckets` of them for each width, and the low 40 bits are kept."""
-    def packed(level: int, held: list[tuple]) -> pa.RecordBatch:
-        h, doc, x = (np.concatenate(c) for c in zip(*held))
-        bucket = ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
-        order = np.argsort(bucket, kind="stable")
-        bucket, h, doc, x = bucket[order], h[order], doc[order], x[order]
-        edges = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(h)]))
-        spans = list(zip(edges[:-1], edges[1:]))
-        return pa.RecordBatch.from_arrays([
-            pa.array(bucket[edges[:-1]] + level * buckets, pa.int32()),
-            pa.array([_planes(h[i:j], 5) for i, j in spans], pa.binary()),
-            *[pa.array(c, pa.binary()) for c in zip(*(_steps(doc[i:j], x[i:j]) for i, j in spans))]],
-            names=["bucket", "hash", "doc", "x"])
+_PACKED = "bucket int, level int, hash binary, doc binary, x binary, src binary, y binary"
+_PACKED_NAMES = ["bucket", "level", "hash", "doc", "x", "src", "y"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[tuple]] = [[] for _ in WIDTHS]
-        size = 0
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for doc, text in zip(ids, binary_texts(batch.column(1))):
-                words = word_hashes(text)
-                if len(words) < MIN_WORDS:
-                    continue
-                for level, width in enumerate(WIDTHS):
-                    h = seeds(words, width)
-                    held[level].append((h, np.full(len(h), doc, dtype=np.int64), np.arange(len(h), dtype=np.int32)))
-                    size += len(h)
-                if size >= _FLUSH:
-                    yield from (packed(level, rows) for level, rows in enumerate(held))
-                    held, size = [[] for _ in WIDTHS], 0
-        if size:
-            yield from (packed(level, rows) for level, rows in enumerate(held))
-    return run
+
+def _packed_seeds(level: int, h: np.ndarray, doc: np.ndarray, x: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Seeds by bucket, the high half of the hash."""
+    bucket = ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    bucket, h, doc, x = bucket[order], h[order], doc[order], x[order]
+    edges = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(h)]))
+    spans = list(zip(edges[:-1], edges[1:])) if len(h) else []
+    columns = [(_planes(h[i:j], _HASH_BYTES), *_steps(doc[i:j], x[i:j])) for i, j in spans]
+    hashes, docs, places = zip(*columns) if columns else ((), (), ())
+    return pa.RecordBatch.from_arrays([
+        pa.array(bucket[edges[:-1]] + level * buckets if spans else [], pa.int32()),
+        pa.array([level] * len(spans), pa.int32()), *[pa.array(c, pa.binary()) for c in (hashes, docs, places)],
+        *[pa.nulls(len(spans), pa.binary())] * 2], names=_PACKED_NAMES)
 
 
-def _bucket_links(h: np.ndarray, doc: np.ndarray, x: np.ndarray, width: int,
-                  buckets: int) -> Iterator[pa.RecordBatch]:
+def _linked(h: np.ndarray, doc: np.ndarray, x: np.ndarray, level: int,
+            buckets: int) -> tuple[np.ndarray, list[pa.RecordBatch]]:
+    """(which occurrences are the first of their seed, packed links of the others)
+    of seeds ordered by (doc, x).  The bucket of a link is that of its document,
+    counted down from -1."""
     order = np.argsort(h, kind="stable")
-    same = np.concatenate(([False], np.diff(h[order]) == 0))
-    order = order[same | np.concatenate((same[1:], [False]))]       # seen twice
-    h, doc, x = h[order], doc[order], x[order]
-    order = np.lexsort((x, doc, h))
+    same = h[order][1:] == h[order][:-1]
+    first = np.ones(len(h), dtype=bool)
+    first[order[1:][same]] = False
+    order = order[np.concatenate(([False], same)) | np.concatenate((same, [False]))]      # seen twice
     h, doc, x = h[order], doc[order], x[order]
     if not len(h):
-        return
+        return first, []
     at = np.arange(len(h))
     new = np.concatenate(([True], np.diff(h) != 0))
-    first = np.maximum.accumulate(np.where(new, at, 0))
+    least = np.maximum.accumulate(np.where(new, at, 0))
     start = new | np.concatenate(([True], np.diff(doc) != 0))       # of one document's occurrences
     own = np.maximum.accumulate(np.where(start, at, 0))
     before = own[np.maximum(own - 1, 0)]                            # first place in the document before
-    links = [(at, first, (doc != doc[first]) | (x > x[first]))]
-    if width < MIN_WORDS:
-        links.append((at, before, (own > first) & (before > first)))
+    links = [(at, least, (doc != doc[least]) | (x > x[least])), (at, before, (own > least) & (before > least))]
     i, j = (np.concatenate([ends[side][kept] for *ends, kept in links]) for side in (0, 1))
     if not len(i):
-        return
+        return first, []
     bucket = (doc[i].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(buckets)
     order = np.lexsort((x[i], doc[i], bucket))
     bucket, i, j = bucket[order].astype(np.int32), i[order], j[order]
     edges = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(i)]))
     spans = [(i[p:q], j[p:q]) for p, q in zip(edges[:-1], edges[1:])]
-    yield pa.RecordBatch.from_arrays([
-        pa.array(bucket[edges[:-1]], pa.int32()), pa.array(np.full(len(spans), width, dtype=np.int32)),
+    return first, [pa.RecordBatch.from_arrays([
+        pa.array(-1 - bucket[edges[:-1]], pa.int32()), pa.array([level] * len(spans), pa.int32()),
+        pa.nulls(len(spans), pa.binary()),
         *[pa.array(c, pa.binary()) for c in zip(*(_steps(doc[p], x[p]) for p, _ in spans))],
         pa.array([_planes(doc[q], 8) for _, q in spans], pa.binary()),
-        pa.array([_planes(x[q], 4) for _, q in spans], pa.binary())],
-        names=["bucket", "width", "doc", "x", "src", "y"])
+        pa.array([_planes(x[q], 4) for _, q in spans], pa.binary())], names=_PACKED_NAMES)]
+
+
+def _seed_rows(buckets: int):
+    """Packed seeds and links of (doc_id, text)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[int, list]] = []
+        size = 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            held.sort(key=lambda one: one[0])
+            for level in range(len(WIDTHS)):
+                h = np.concatenate([own[level][0] for _, own in held])
+                x = np.concatenate([own[level][1] for _, own in held])
+                doc = np.repeat(np.array([d for d, _ in held], dtype=np.int64), [len(own[level][0]) for _, own in held])
+                first, links = _linked(h, doc, x, level, buckets)
+                yield from links
+                yield _packed_seeds(level, h[first], doc[first], x[first], buckets)
+            held.clear()
+
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for doc, text in zip(ids, binary_texts(batch.column(1))):
+                words = word_hashes(text)
+                if len(words) < MIN_WORDS:
+                    continue
+                held.append((int(doc), list(levels(words))))
+                size += len(words)
+                if size >= _FLUSH:
+                    yield from out()
+                    size = 0
+        if held:
+            yield from out()
+    return run
 
 
 def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
@@ -201,13 +242,24 @@ def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tu
 
 
 def _link_rows(buckets: int):
-    """Packed links (bucket of doc, width, doc, x, src, y) of packed seeds
-    ordered by bucket."""
+    """Packed links, by bucket of their document, of packed seeds ordered by
+    bucket; links that are there pass on."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bucket, rows in _by_bucket(batches):
-            h, doc, x = zip(*rows)
-            yield from _bucket_links(_unplaned(h, 5, np.uint64), *_unstepped(doc, x),
-                                     WIDTHS[bucket // buckets], buckets)
+        def seeds_and_links() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                links = pa.compute.less(batch.column("bucket"), 0)
+                ready.append(batch.filter(links))
+                yield batch.filter(pa.compute.invert(links))
+
+        ready: list[pa.RecordBatch] = []
+        for _, rows in _by_bucket(seeds_and_links()):
+            while ready:
+                yield ready.pop()
+            level, h, doc, x, _, _ = zip(*rows)
+            h, (doc, x) = _unplaned(h, _HASH_BYTES, np.uint64), _unstepped(doc, x)
+            order = np.lexsort((x, doc))
+            yield from _linked(h[order], doc[order], x[order], level[0], buckets)[1]
+        yield from ready
     return run
 
 
@@ -279,10 +331,10 @@ def _chain_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Chains of packed links ordered by bucket; a bucket has all links of its
     documents."""
     def settle(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        widths, docs, places, sources, starts = zip(*rows)
+        level, _, docs, places, sources, starts = zip(*rows)
         doc, x = _unstepped(docs, places)
         src, y = _unplaned(sources, 8, np.int64), _unplaned(starts, 4, np.int32)
-        width = np.repeat(np.array(widths, dtype=np.int32), [len(p) // 4 for p in places])
+        width = np.repeat(np.array(WIDTHS, dtype=np.int32)[list(level)], [len(p) // 4 for p in places])
         order = np.lexsort((x, x - y, src, doc))
         doc, src, x, y, width = (c[order] for c in (doc, src, x, y, width))
         other = (np.diff(doc) != 0) | (np.diff(src) != 0) | (np.diff(x - y) != 0)
@@ -418,6 +470,13 @@ def _align_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["doc_id", "row", "start", "end", "source_id", "source_start", "source_end", "matched"])
 
 
+def bucket_count(texts: DataFrame) -> int:
+    """Buckets of about _BUCKET seeds: a word is seldom shorter than five bytes
+    with its blank."""
+    octets = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-octets // (5 * _BUCKET)))
+
+
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """(doc_id, row, start, end, source_id, source_start, source_end, matched):
     every passage of a document that stands earlier in the corpus, in a document
@@ -425,10 +484,9 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     are exclusive; `row` is the hash of doc_id and text."""
     texts = docs.filter(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), "text")
-    buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packed = texts.mapInArrow(_seed_rows(buckets), "bucket int, hash binary, doc binary, x binary")
-    links = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        _link_rows(buckets), "bucket int, width int, doc binary, x binary, src binary, y binary")
+    buckets = bucket_count(texts)
+    packed = texts.mapInArrow(_seed_rows(buckets), _PACKED)
+    links = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_link_rows(buckets), _PACKED)
     ordered = links.repartition("bucket").sortWithinPartitions("bucket")
     chains = materialize(ordered.mapInArrow(_chain_rows, _CHAINS), "chains")
     parts = chains.join(texts, chains.src == texts.doc_id).select(*chains.columns, "text").mapInArrow(
