@@ -4,7 +4,8 @@ Each stage works on all that its predecessor kept, written as Parquet to the
 shared folder, so a lost executor costs at most one stage.
 
     quality    documents whose quality score is under the limit go
-    near       one document of each near-duplicate group stays
+    near       one document of each near-duplicate group stays: three-word shingles,
+               fingerprints at most 3 bits apart
     passages   repeated passages are cut out of all but their first place;
                documents of which nothing is left go
     benchmark  rows that hold a benchmark item go
@@ -24,7 +25,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.llm import decontaminate, packing, passages, quality, similar_dedup
+from lexmill.llm import decontaminate, packing, passages, quality, simhash_dedup
 from lexmill.llm.shared import table
 from lexmill.session import shared_folder
 
@@ -34,7 +35,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return similar_dedup.keep_one(docs)
+    return simhash_dedup.keep_one(docs)
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
