@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from lexmill.llm import ann, components, decontaminate, passages, simhash_dedup, similar_dedup
+from lexmill.llm import ann, components, decontaminate, passages, simhash_dedup
 
 DOCS = "doc_id long, text string, key string, hash string, row string, n_chars long"
 
@@ -79,51 +79,10 @@ def test_one_document_of_each_group_stays(spark, near_rows):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(groups)
 
 
-def five_word_sets(text):
-    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
-    return {tuple(words[i:i + 5]) for i in range(len(words) - 4)} or ({tuple(words)} if words else set())
-
-
-def test_similar_documents_equal_brute_force(spark):
-    rng = random.Random(12)
-    rows = [(900, None), (901, ""), (902, "one two"), (903, "ONE two"), (None, "one two"), (None, "no id")]
-    for i in range(0, 240, 6):
-        base = invented(rng, rng.choice([60, 100, 200]), 10**5)
-        rows.append((i, base))
-        for j in range(1, 6):
-            words = base.split()
-            for at in rng.sample(range(len(words)), rng.randrange(1, 6)):
-                words[at] = f"edit{rng.randrange(9)}"
-            rows.append((i + j, " ".join(words)))
-    rows += [rows[8], (rows[8][0], "same id but words of its own"), (950, rows[9][1])]
-    sets = [five_word_sets(t) for _, t in rows]
-    parent = list(range(len(rows)))
-
-    def root(i):
-        return i if parent[i] == i else root(parent[i])
-
-    for i in range(len(rows)):
-        for j in range(i):
-            if sets[i] == sets[j] or len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
-                parent[root(i)] = root(j)
-    least = {}
-    for i, (doc, _) in enumerate(rows):
-        if doc is not None:
-            least[root(i)] = min(least.get(root(i), doc), doc)
-    docs = frame(spark, rows)
-    kept = similar_dedup.keep_one(docs)
-    assert kept.columns == docs.columns
-    got = Counter(r.doc_id for r in kept.collect())
-    assert got == Counter([*least.values(), None, None])
-    assert got[rows[8][0]] >= 1 and sum(got.values()) < len(rows) - 60
-    assert similar_dedup.keep_one(frame(spark, [])).count() == 0
-
-
 def test_rows_of_one_id_with_other_texts_stay(spark):
     texts = ["alpha beta gamma delta epsilon zeta", "one two three four five six seven"]
     rows = [(1, texts[0]), (1, texts[1]), (1, texts[1])]
-    for keep in (simhash_dedup.keep_one, similar_dedup.keep_one):
-        assert sorted(r.text for r in keep(frame(spark, rows)).collect()) == texts
+    assert sorted(r.text for r in simhash_dedup.keep_one(frame(spark, rows)).collect()) == texts
 
 
 def test_index_finds_every_link_in_a_long_run():
