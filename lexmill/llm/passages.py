@@ -40,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -247,9 +247,9 @@ def _link_rows(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def seeds_and_links() -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                links = pa.compute.less(batch.column("bucket"), 0)
+                links = pc.less(batch.column("bucket"), 0)
                 ready.append(batch.filter(links))
-                yield batch.filter(pa.compute.invert(links))
+                yield batch.filter(pc.invert(links))
 
         ready: list[pa.RecordBatch] = []
         for _, rows in _by_bucket(seeds_and_links()):
