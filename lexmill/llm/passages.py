@@ -23,6 +23,9 @@
    little is cut at its worst gap and the parts are tried again.
 
 A passage is a span of at least MIN_WORDS words of which at least IDENTITY agree.
+A stretch that a longer passage of its document holds is not reported again with
+another source.  Rows of one doc_id with different texts share their places: a
+long passage of one can hide a shorter one at the same place in the other.
 
 Words are maximal runs without ASCII white space, A-Z lower-cased.  Cases: null
 and empty texts, and texts shorter than a passage, have none; rows are told by
@@ -36,6 +39,7 @@ the pairs of runs included, can be missed.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,6 +60,7 @@ GAP = 0.1                        # cost of a word skipped on either side
 MARGIN = 64                      # words beside a chain that an alignment may use
 _LEAST_SPAN = 20                 # words between the ends of a chain
 _REACH = 12                      # words between links on one diagonal that are one anchor
+EQUAL = (SEED_WORDS, WIDE, SEED_WORDS)             # of which surely equal
 _FLUSH = 700_000                 # seeds that a task packs at once
 _BUCKET = 1_000_000              # seeds of a bucket
 _HASH_BYTES = 6                  # of a hash, beside its bucket: one in 10^8 seeds meets another
@@ -324,6 +329,26 @@ def chain(x0, x1, y0, y1) -> list[list[int]]:
     return chains
 
 
+def _uncovered(chains: list[tuple]) -> Iterator[tuple]:
+    """(doc, src, anchors) of chains (doc, unsure, -words, src, anchors), without
+    those inside a longer one of their document that is a passage for certain:
+    a stretch of a text is reported with its longest source, not with each of the
+    copies it stands in."""
+    chains.sort()
+    last, starts, ends = None, [], []
+    for doc, unsure, _, src, anchors in chains:
+        if doc != last:
+            last, starts, ends = doc, [], []
+        x0, x1 = anchors[0], anchors[-3]
+        at = bisect_right(starts, x0)
+        if at and ends[at - 1] >= x1:
+            continue
+        if not unsure:            # none holds another, so both bounds grow
+            starts.insert(at, x0)
+            ends.insert(at, x1)
+        yield doc, src, anchors
+
+
 _CHAINS = "doc long, src long, y_low int, y_high int, anchors array<int>"
 
 
@@ -334,9 +359,10 @@ def _chain_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level, _, docs, places, sources, starts = zip(*rows)
         doc, x = _unstepped(docs, places)
         src, y = _unplaned(sources, 8, np.int64), _unplaned(starts, 4, np.int32)
-        width = np.repeat(np.array(WIDTHS, dtype=np.int32)[list(level)], [len(p) // 4 for p in places])
+        level = np.repeat(np.array(level, dtype=np.int32), [len(p) // 4 for p in places])
         order = np.lexsort((x, x - y, src, doc))
-        doc, src, x, y, width = (c[order] for c in (doc, src, x, y, width))
+        doc, src, x, y, level = (c[order] for c in (doc, src, x, y, level))
+        width, equal = np.array(WIDTHS, dtype=np.int32)[level], np.array(EQUAL, dtype=np.int32)[level]
         other = (np.diff(doc) != 0) | (np.diff(src) != 0) | (np.diff(x - y) != 0)
         line = np.concatenate(([0], np.cumsum(other))) << 32     # one number per diagonal
         end = np.maximum.accumulate(line + x + width) - line
@@ -345,6 +371,8 @@ def _chain_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = np.concatenate((new, [len(doc)])) - 1
         d, s = doc[first], src[first]
         x0, x1, y0, y1 = x[first], end[last], y[first], end[last] - x[last] + y[last]
+        known = np.minimum(equal, np.where(np.append(other, True), equal, np.diff(x, append=0)))
+        known = np.add.reduceat(known, first)       # words that are equal for certain
         pair = np.flatnonzero((np.diff(d) != 0) | (np.diff(s) != 0)) + 1
         out: list[tuple] = []
         starts = np.concatenate(([0], pair))
@@ -355,9 +383,14 @@ def _chain_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             else:
                 parts = [[int(x[a])] for x in (x0, x1, y0, y1)]
             for one in chain(*parts):
-                if parts[1][one[-1]] - parts[0][one[0]] >= _LEAST_SPAN:
+                span = parts[1][one[-1]] - parts[0][one[0]]
+                if span >= _LEAST_SPAN:
                     anchors = [p[i] for i in one for p in parts]
-                    out.append((int(d[a]), int(s[a]), anchors[2] - MARGIN, anchors[-1] + MARGIN, anchors))
+                    longest = max(span, anchors[-1] - anchors[2])
+                    sure = span >= MIN_WORDS and int(known[a:b][one].sum()) >= IDENTITY * longest
+                    out.append((int(d[a]), not sure, -span, int(s[a]), anchors))
+        out = [(doc, src, anchors[2] - MARGIN, anchors[-1] + MARGIN, anchors)
+               for doc, src, anchors in _uncovered(out)]
         if out:
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
