@@ -75,8 +75,9 @@ def word_hashes(text: bytes) -> np.ndarray:
 def seeds(words: np.ndarray, width: int = SEED_WORDS) -> np.ndarray:
     """Hashes of all runs of `width` words of one text, by position.
 
-    A word or phrase said over and over gives equal seeds in a row; they are
-    counted, so the n-th of one text meets the n-th of another.
+    A word, phrase or line said over and over, each time less than MIN_WORDS
+    words on, gives equal seeds; they are counted, so the n-th of one text meets
+    the n-th of another instead of all of them the first.
     """
     n = len(words) - width + 1
     h = np.zeros(n, dtype=np.uint64)
@@ -86,11 +87,12 @@ def seeds(words: np.ndarray, width: int = SEED_WORDS) -> np.ndarray:
     h ^= h >> np.uint64(31)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(29)
-    follows = np.concatenate(([False], h[1:] == h[:-1]))
-    if follows.any():
-        steps = np.cumsum(follows)
-        steps -= np.maximum.accumulate(np.where(follows, 0, steps))
-        h = h + steps.astype(np.uint64) * np.uint64(0x94D049BB133111EB)
+    order = np.argsort(h, kind="stable")
+    again = np.concatenate(([False], (np.diff(h[order]) == 0) & (np.diff(order) < MIN_WORDS)))
+    if again.any():
+        steps = np.cumsum(again)
+        steps -= np.maximum.accumulate(np.where(again, 0, steps))
+        h[order] += steps.astype(np.uint64) * np.uint64(0x94D049BB133111EB)
     return h
 
 
