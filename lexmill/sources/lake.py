@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+import uuid
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
 from pyspark.ml.util import MLReadable, MLWritable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -31,12 +32,60 @@ def raw_manifest(spark: SparkSession, path: str, **metadata: str) -> DataFrame:
     return rows.withColumns({k: F.lit(v) for k, v in metadata.items()}) if metadata else rows
 
 
+def _files(spark: SparkSession, path: str):
+    """A path and its file system, through Spark's own layer."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _record(base: str, layer: str, name: str, version: str) -> str:
+    return f"{base}/{layer}/{version}/_commits/{name}"
+
+
+def _committed(spark: SparkSession, record: str) -> str | None:
+    """The folder that a commit record names, None where there is no record or a
+    writer ended before it was written out."""
+    where, files = _files(spark, record)
+    if not files.exists(where):
+        return None
+    stream = files.open(where)
+    try:
+        return bytes(stream.readAllBytes()).decode() or None
+    finally:
+        stream.close()
+
+
+def _commit(spark: SparkSession, record: str, folder: str) -> None:
+    """Create the record.  Creation fails where one exists, so of several writers
+    one wins."""
+    where, files = _files(spark, record)
+    try:
+        out = files.create(where, False)
+    except Py4JJavaError as e:
+        if files.exists(where):
+            raise FileExistsError(f"already committed: {record}") from e
+        raise
+    out.write(bytearray(folder.encode()))
+    out.close()
+
+
 def write_version(df: DataFrame, base: str, layer: str, name: str, version: str) -> str:
+    """Write a table as a version of a layer and commit it; returns its folder.
+
+    Each attempt writes a folder of its own, and a record that names the folder is
+    written last: a version whose writer died is never listed or read.  What is
+    committed is not written again: a later or concurrent writer of the same table
+    and version gets FileExistsError, and readers keep the folder they pinned.
+    """
     if layer not in LAYERS:
         raise ValueError(f"unknown layer: {layer}")
-    path = f"{base}/{layer}/{version}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return path
+    spark, record = df.sparkSession, _record(base, layer, name, version)
+    if _committed(spark, record):
+        raise FileExistsError(f"already committed: {record}")
+    folder = f"{name}/{uuid.uuid4().hex}"
+    df.write.parquet(f"{base}/{layer}/{version}/{folder}")
+    _commit(spark, record, folder)
+    return f"{base}/{layer}/{version}/{folder}"
 
 
 def write_word_vectors(vectors: DataFrame, base: str, version: str, name: str = "word2vec") -> str:
@@ -45,16 +94,24 @@ def write_word_vectors(vectors: DataFrame, base: str, version: str, name: str =
 
 
 def list_versions(spark: SparkSession, base: str, layer: str = "processed") -> list[str]:
-    """Sorted version names of a layer; names with a leading `_` are hidden.
+    """Sorted names of the versions of a layer that hold a committed table; names
+    with a leading `_` are hidden.
 
-    One folder level is listed, however many files the versions hold.
+    Folders and records are listed, however many files the versions hold.
     """
-    root = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{layer}")
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    root, files = _files(spark, f"{base}/{layer}")
     if not files.exists(root):
         return []
     names = [s.getPath().getName() for s in files.listStatus(root) if s.isDirectory()]
-    return sorted(n for n in names if not n.startswith("_"))
+    return sorted(n for n in names if not n.startswith("_") and _tables(spark, f"{base}/{layer}/{n}"))
+
+
+def _tables(spark: SparkSession, version: str) -> list[str]:
+    """Names of the committed tables of a version: records that were written out."""
+    where, files = _files(spark, f"{version}/_commits")
+    if not files.exists(where):
+        return []
+    return sorted(s.getPath().getName() for s in files.listStatus(where) if s.getLen() > 0)
 
 
 def _natural(version: str) -> list:
@@ -63,17 +120,18 @@ def _natural(version: str) -> list:
 
 def read_version(spark: SparkSession, base: str, layer: str, name: str, version: str = "latest",
                  natural: bool = False) -> DataFrame:
-    """A pinned or the latest version.  Latest is the last name in text order,
-    or, with `natural`, with numbers compared as numbers."""
+    """A given or the latest version, pinned to the folder of its commit record.
+    Latest is the last name in text order that has the table, or, with `natural`,
+    with numbers compared as numbers."""
     if version == "latest":
-        versions = list_versions(spark, base, layer)
+        versions = [v for v in list_versions(spark, base, layer) if name in _tables(spark, f"{base}/{layer}/{v}")]
         if not versions:
-            raise FileNotFoundError(f"no versions in layer {layer}")
+            raise FileNotFoundError(f"no versions of {name} in layer {layer}")
         version = max(versions, key=_natural) if natural else versions[-1]
-    try:
-        return spark.read.parquet(f"{base}/{layer}/{version}/{name}")
-    except AnalysisException as e:
-        raise FileNotFoundError(f"no version {version} of {name} in layer {layer}") from e
+    folder = _committed(spark, _record(base, layer, name, version))
+    if not folder:
+        raise FileNotFoundError(f"no version {version} of {name} in layer {layer}")
+    return spark.read.parquet(f"{base}/{layer}/{version}/{folder}")
 
 
 def save_model_tables(base: str, version: str, tables: dict[str, DataFrame],

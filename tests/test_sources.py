@@ -2,6 +2,7 @@ import hashlib
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from lexmill.operators import corpus as D, experiments as R, scoring as G
 from lexmill.sources import lake, readers, runs
@@ -111,3 +112,44 @@ def test_request_log(spark, tmp_path):
     assert summary["/classify", 200].n == 2 and summary["/classify", 200].mean_ms == 15.5
     assert summary["/classify", 200].p50_ms == 15.5 and summary["/classify", 422].error_share == 1.0
     assert summary["/retrieve/similar", None].error_share == 1.0
+
+
+def test_a_version_whose_writer_died_is_never_listed(spark, tmp_path):
+    base = str(tmp_path)
+    rows = spark.range(100).repartition(4)
+    lake.write_version(rows, base, "processed", "d", "v1")
+    died = F.udf(lambda i: 1 // (i - 57), "long")
+    with pytest.raises(Exception):
+        lake.write_version(rows.select(died("id").alias("id")), base, "processed", "d", "v2")
+    assert (tmp_path / "processed/v2/d").is_dir()
+    assert lake.list_versions(spark, base) == ["v1"]
+    assert lake.read_version(spark, base, "processed", "d").count() == 100
+    with pytest.raises(FileNotFoundError):
+        lake.read_version(spark, base, "processed", "d", "v2")
+    (tmp_path / "processed/v3/_commits").mkdir(parents=True)
+    (tmp_path / "processed/v3/_commits/d").touch()       # died between creating and writing the record
+    assert lake.list_versions(spark, base) == ["v1"]
+    lake.write_version(rows.limit(7), base, "processed", "d", "v2")
+    assert lake.list_versions(spark, base) == ["v1", "v2"]
+    assert lake.read_version(spark, base, "processed", "d").count() == 7
+
+
+def test_of_two_writers_of_a_version_one_wins(spark, tmp_path, monkeypatch):
+    base = str(tmp_path)
+    pinned = []
+    commit = lake._commit
+
+    def late(*given):
+        """Another writer commits while this one's data is being written."""
+        monkeypatch.setattr(lake, "_commit", commit)
+        pinned.append(lake.write_version(spark.range(3), base, "raw", "d", "v1"))
+        commit(*given)
+
+    monkeypatch.setattr(lake, "_commit", late)
+    with pytest.raises(FileExistsError):
+        lake.write_version(spark.range(9), base, "raw", "d", "v1")
+    assert lake.read_version(spark, base, "raw", "d", "v1").count() == 3 == spark.read.parquet(pinned[0]).count()
+    with pytest.raises(FileExistsError):
+        lake.write_version(spark.range(5), base, "raw", "d", "v1")
+    lake.write_version(spark.range(5), base, "raw", "other", "v1")
+    assert lake.read_version(spark, base, "raw", "d").count() == 3
