@@ -492,7 +492,7 @@ FROM benchmark) GROUP BY ALL)"""
 PARTITION BY query_id ORDER BY round(similarity, 12) DESC, doc_id) AS rank FROM (
 SELECT {q} AS query_id, b.doc_id, b.label, sum(a.w * b.w) AS similarity
 FROM {a} a JOIN w b ON a.term = b.term {where} GROUP BY ALL) WHERE similarity > 0) WHERE rank <= {k}"""
-    picks = "picks AS (SELECT doc_id FROM corpus ORDER BY md5('42:' || doc_id) LIMIT 10)"
+    picks = "picks AS (SELECT doc_id FROM corpus WHERE doc_id % 20 = 0)"
     near = with_(*WORDS, vocab(), idf(), weights(), picks,
                  "pw AS (SELECT w.* FROM w JOIN picks USING (doc_id))",
                  "hits AS (" + top.format(q="a.doc_id", d=6, a="pw", k=3, where="AND a.doc_id <> b.doc_id") + ")")
@@ -518,7 +518,7 @@ EXCLUDE CURRENT ROW), '') AS context FROM kept"""
     q["word_similarity"] = f"""SELECT a.vec_id AS a, a.vec_id + 1 AS b,
 CASE WHEN b.vec_id IS NULL THEN NULL ELSE round({cos.format(a='a.embedding', b='b.embedding')}, 6) + 0.0 END AS similarity
 FROM embeddings a LEFT JOIN embeddings b ON b.vec_id = a.vec_id + 1"""
-    q["nearest_words"] = f"""WITH t AS (SELECT vec_id, embedding FROM embeddings ORDER BY md5('42:' || vec_id) LIMIT 8)
+    q["nearest_words"] = f"""WITH t AS (SELECT vec_id, embedding FROM embeddings WHERE vec_id % 20 = 0)
 SELECT term, rank, neighbor, round(similarity, 6) + 0.0 AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY term
 ORDER BY round(similarity, 12) DESC, neighbor) AS rank FROM (SELECT t.vec_id AS term, e.vec_id AS neighbor,
 {cos.format(a='t.embedding', b='e.embedding')} AS similarity

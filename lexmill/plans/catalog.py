@@ -403,10 +403,9 @@ def tfidf_train_scope(spark, base):
 
 @query
 def similar_docs(spark, base):
-    """Ten sampled documents against all others."""
-    rows = weights(spark, base, carry=("label",))
-    picks = D.sample_n(corpus(spark, base).select("doc_id"), 10).select("doc_id")
-    queries = materialize(rows.join(picks, "doc_id", "left_semi")
+    """Every document whose id is divisible by 20 against all others."""
+    rows = materialize(weights(spark, base, carry=("label",)), "weights", "doc_id")
+    queries = materialize(rows.filter(F.col("doc_id") % 20 == 0)
                           .select(F.col("doc_id").alias("query_id"), "term", "w"), "queries")
     return R.similar_docs(queries, rows, 3)
 
@@ -419,7 +418,8 @@ def retrieve_similar(spark, base):
     fitted = materialize(TF.fit_tfidf(tf, B.document_count(docs), max_features=MAX_TERMS), "fitted")
     queries = TF.transform_tfidf(B.term_counts(query_texts(spark, base)), fitted, max_features=MAX_TERMS)
     queries = materialize(queries.select(F.col("doc_id").alias("query_id"), "term", "w"), "queries")
-    rows = TF.transform_tfidf(tf, fitted, carry=("label",), max_features=MAX_TERMS)
+    rows = materialize(TF.transform_tfidf(tf, fitted, carry=("label",), max_features=MAX_TERMS),
+                       "weights", "doc_id")
     top = R.similar_docs(queries, rows, 5, exclude_self=False)
     hits = top.join(docs.select("doc_id", F.left("text_clean", F.lit(500)).alias("text")), "doc_id")
     return hits.select("query_id", "rank", "doc_id", "label", F.round("similarity", 4).alias("similarity"), "text")
@@ -454,8 +454,8 @@ def word_similarity(spark, base):
 
 @query
 def nearest_words(spark, base):
-    """Five neighbours of eight sampled vectors among all."""
-    terms = D.sample_n(table(spark, base, "embeddings").select("vec_id"), 8, key="vec_id")
+    """Five neighbours, among all, of every vector whose id is divisible by 20."""
+    terms = table(spark, base, "embeddings").select("vec_id").filter(F.col("vec_id") % 20 == 0)
     return E.nearest_words(vectors(spark, base), terms)
 
 

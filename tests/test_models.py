@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lexmill.operators import (bayes as NB, bow as B, dimensions as X, embeddings as E,
                                experiments as R, logistic as LR, metrics as M, ngrams as L,
                                retrieval as RT, tfidf as TF)
+from lexmill.session import materialize
 
 TEXTS = [(1, "Real", "a b a c".split()), (2, "Fake", "b b d".split()), (3, "Satire", "c d e a".split()),
          (4, "Real", "a c".split()), (5, "Fake", []), (6, "Real", "e e b a".split())]
@@ -268,3 +269,35 @@ def test_promotion(spark):
     assert live["m"].version == 4 and live["m"].n_versions == 5 and live["n"].version is None
     metrics = spark.createDataFrame([("m", "f1", 0.7)], "model string, metric string, value double")
     assert {r.model: r.metrics for r in R.performance_table(staged, metrics).collect()}["m"] == {"f1": 0.7}
+
+
+def test_similar_docs_scores_few_pairs_and_stays_exact(spark):
+    """600 documents in 30 topics with a word all of them share: equal to scoring
+    all pairs, with under a tenth of them scored in full."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for d in range(600):
+        terms = {f"t{d % 30}_{i}": rng.uniform(0.5, 1.5) for i in rng.choice(40, 12, replace=False)}
+        terms |= {f"common{i}": rng.uniform(0.05, 0.3) for i in range(4)}
+        length = math.sqrt(sum(w * w for w in terms.values()))
+        rows += [(d, "x", t, float(w / length)) for t, w in terms.items()]
+    rows += [(600, "x", t, w) for d, _, t, w in rows if d == 20]     # a copy of a query
+    rows += [(601, "x", "alone", 1.0)]                               # shares nothing
+    corpus = materialize(spark.createDataFrame(rows, "doc_id long, label string, term string, w double"), "w")
+    queries = corpus.filter("doc_id % 20 = 0 or doc_id = 601").select(
+        F.col("doc_id").alias("query_id"), "term", "w")
+    vec = defaultdict(dict)
+    for d, _, t, w in rows:
+        vec[d][t] = w
+    got = defaultdict(list)
+    for r in RT.similar_docs(queries, corpus, 4).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.doc_id)
+    asked = [d for d in vec if d % 20 == 0]
+    for q in asked:
+        sims = sorted((-round(sum(w * vec[d].get(t, 0) for t, w in vec[q].items()), 12), d) for d in vec if d != q)
+        assert got[q] == [d for s, d in sims if s < 0][:4]
+    assert got[20][0] == 600 and 601 not in got
+    scored, first = RT.candidates(queries.withColumnRenamed("w", "wq"), corpus, 4)
+    assert scored.count() + first.count() < 0.1 * len(asked) * len(vec)
+    assert RT.similar_docs(queries.limit(0), corpus).count() == 0
+    assert RT.similar_docs(queries, corpus.limit(0)).count() == 0
