@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from lexmill.functions.tokenizers import (TOKENIZERS, min_token_length, plural_rule,
                                           remove_stopwords, tokenize_vectorizer)
@@ -64,38 +64,125 @@ def config_documents(docs: DataFrame, config: Config) -> DataFrame:
     return bare.select(*keep, tokenize_vectorizer(F.array_join("tokens", " ")).alias("tokens"))
 
 
-def _predict(docs: DataFrame, config: Config, model: str, classes: Sequence[str]) -> DataFrame:
+def _predict(docs: DataFrame, config: Config, classes: Sequence[str]) -> DataFrame:
+    """Test predictions of logistic regression on one configuration."""
     carry, size = ("label", "is_test"), config.max_features
     tf = B.term_counts(docs, carry=carry, keep_empty=True)
     known = tf.filter(F.col("term").isNotNull())
     fitted = materialize(TF.fit_tfidf(known, B.document_count(docs), max_features=size), "fitted")
     w = TF.transform_tfidf(tf, fitted, carry=carry, max_features=size, keep_unknown=True)
-    if model == "logistic":
-        vectors = LR.sparse_vectors(w, size, carry)
-        scored = LR.lr_score(LR.lr_fit(vectors.filter(~F.col("is_test")), classes=classes),
-                             vectors.filter("is_test"), classes)
-    else:
-        sums = NB.class_sums(w.filter(F.col("idx").isNotNull()), "w", classes, size, ~F.col("is_test"))
-        priors = NB.nb_priors(docs.filter(~F.col("is_test")), classes)
-        scored = NB.nb_predict(NB.nb_proba(NB.nb_log_proba(
-            w.filter("is_test"), NB.nb_fit(sums, 1.0, classes), priors, "w", carry=("label",),
-            classes=classes, max_features=size), classes), classes)
+    vectors = LR.sparse_vectors(w, size, carry)
+    scored = LR.lr_score(LR.lr_fit(vectors.filter(~F.col("is_test")), classes=classes),
+                         vectors.filter("is_test"), classes)
     return scored.select(F.lit(config.name).alias("config_name"), "label", "prediction",
                          *[f"p_{c}" for c in classes])
 
 
+def _variant(config: Config) -> str:
+    return f"{config.stopwords} {config.normalization} {config.min_token_len}"
+
+
+def _variant_counts(docs: DataFrame, configs: Sequence[Config]) -> DataFrame:
+    """(variant, doc_id, label, is_test, term, tf); a null term, tf 0, for every document.
+
+    A configuration treats each token on its own, so its terms are worked out once
+    for each distinct word, and words are counted per document before they meet them.
+    """
+    carry = ("doc_id", "label", "is_test")
+    word = F.explode(F.concat("tokens", F.array(F.lit(None).cast("string")))).alias("word")
+    words = materialize(docs.select(*carry, word).groupBy(*carry, "word")
+                        .agg(F.count("word").alias("n")), "words", "doc_id")
+    alone = materialize(words.filter(F.col("word").isNotNull()).select("word").distinct().select(
+        F.col("word").alias("doc_id"), F.lit("").alias("label"), F.lit(False).alias("is_test"),
+        F.array("word").alias("tokens")), "alone")
+    variants = {_variant(c): c for c in configs}
+    forms = [config_documents(alone, c).select(F.col("doc_id").alias("word"), F.lit(v).alias("variant"),
+                                               F.explode("tokens").alias("term"))
+             for v, c in variants.items()]
+    forms = materialize(reduce(DataFrame.unionByName, forms).groupBy("word").agg(
+        F.collect_list(F.struct("variant", "term")).alias("forms")), "forms")
+    absent = F.array(*[F.struct(F.lit(v).alias("variant"), F.lit(None).cast("string").alias("term"))
+                       for v in variants])
+    found = F.when(F.col("word").isNull(), absent).otherwise(F.col("forms"))
+    return (words.join(forms, "word", "left").select(*carry, "n", F.explode(found).alias("x"))
+            .groupBy(*carry, "x.variant", "x.term").agg(F.sum("n").alias("tf")))
+
+
+def _variant_weights(docs: DataFrame, configs: Sequence[Config]) -> DataFrame:
+    """(variant, doc_id, label, is_test, term, rank, w_<size>…), as a written table.
+
+    Configurations that differ in vocabulary size only are one variant: its terms
+    are counted and ranked once, and each size has a weight column of its own,
+    null beyond its rank.  A document without a known term keeps a row.
+    """
+    carry, sizes = ("label", "is_test"), sorted({c.max_features for c in configs})
+    tf = materialize(_variant_counts(docs, configs), "variants", "doc_id")
+    order = W.partitionBy("variant").orderBy(F.desc("cf"), "term")
+    n = B.document_count(docs).cast("double")
+    ranked = (tf.filter(F.col("term").isNotNull()).groupBy("variant", "term")
+              .agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df"))
+              .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= sizes[-1]))
+    vocab = materialize(ranked.select("variant", "term", "rank", (
+        F.ln((1 + n) / (1 + F.col("df").cast("double"))) + 1).alias("idf")), "vocab")
+    raw = tf.join(vocab, ["variant", "term"], "left").withColumn(
+        "raw", (1 + F.ln(F.greatest("tf", F.lit(1)))) * F.col("idf"))
+    inside = W.partitionBy("doc_id", "variant")
+
+    def weight(size: int) -> Column:
+        x = F.when(F.col("rank") <= size, F.col("raw"))
+        return (x / F.sqrt(F.sum(x * x).over(inside))).alias(f"w_{size}")
+
+    return materialize(raw.select("variant", "doc_id", *carry, "term", "rank",
+                                  *[weight(s) for s in sizes]), "weights", "doc_id")
+
+
+def _bayes_runs(docs: DataFrame, configs: Sequence[Config], classes: Sequence[str]) -> DataFrame:
+    """Test predictions of Naive Bayes (strength 1) for all configurations together:
+    one aggregate of class sums, one join and one pass of scores."""
+    rows = _variant_weights(docs, configs)
+    cells = [(s, c) for s in sorted({c.max_features for c in configs}) for c in classes]
+    train = ~F.col("is_test")
+    sums = rows.filter(F.col("rank").isNotNull()).groupBy("variant", "term", "rank").agg(*[
+        F.coalesce(F.sum(F.when(train & (F.col("label") == c), F.col(f"w_{s}"))), F.lit(0.0)).alias(f"s_{s}_{c}")
+        for s, c in cells])
+    whole = W.partitionBy("variant")
+
+    def log_share(size: int, c: str) -> Column:
+        known, mass = F.col("rank") <= size, F.col(f"s_{size}_{c}")
+        total = F.sum(mass).over(whole) + F.sum(known.cast("long")).over(whole)
+        return F.when(known, F.ln((mass + 1) / total)).alias(f"ll_{size}_{c}")
+
+    params = materialize(sums.select("variant", "term", *[log_share(s, c) for s, c in cells]), "shares")
+    scored = (rows.filter("is_test").join(params, ["variant", "term"], "left")
+              .groupBy("doc_id", "variant", "label").agg(*[
+                  F.coalesce(F.sum(F.col(f"w_{s}") * F.col(f"ll_{s}_{c}")), F.lit(0.0)).alias(f"lp_{s}_{c}")
+                  for s, c in cells])
+              .withColumn("prior", NB.nb_priors(docs.filter(train), classes)))
+    runs = F.filter(F.array(*[F.struct(
+        F.lit(x.name).alias("config_name"), F.lit(_variant(x)).alias("of"),
+        *[(F.col(f"lp_{x.max_features}_{c}") + F.col(f"prior.{c}")).alias(f"lp_{c}") for c in classes])
+        for x in configs]), lambda r: r["of"] == F.col("variant"))
+    long = scored.select("label", F.explode(runs).alias("r")).select("label", "r.*")
+    return NB.nb_predict(NB.nb_proba(long, classes), classes).select(
+        "config_name", "label", "prediction", *[f"p_{c}" for c in classes])
+
+
 def ablation(docs: DataFrame, configs: Sequence[Config] = CONFIGS, model: str = "logistic",
              classes: Sequence[str] = CLASSES) -> DataFrame:
     """Parameters and metrics of every configuration, one row each.
 
     `docs` is (doc_id, label, is_test, text_clean).  Texts are tokenized once
     into a written table; predictions are written once and read per metric.
+    Naive Bayes fits and scores all configurations together.
     """
     shared = materialize(by_document(docs).select(
         "doc_id", "label", "is_test",
         TOKENIZERS["contractions"](F.col("text_clean")).alias("tokens")), "ablation", "doc_id")
-    runs = [_predict(config_documents(shared, c), c, model, classes) for c in configs]
-    scores = materialize(reduce(DataFrame.unionByName, runs), "predictions")
+    if model == "logistic":
+        runs = reduce(DataFrame.unionByName, [_predict(config_documents(shared, c), c, classes) for c in configs])
+    else:
+        runs = _bayes_runs(shared, configs, classes)
+    scores = materialize(runs, "predictions")
     params = docs.sparkSession.createDataFrame(
         [(c.name, c.stopwords, c.normalization, c.min_token_len, c.max_features) for c in configs],
         "config_name string, stopwords string, normalization string, min_token_len int, max_features int")
