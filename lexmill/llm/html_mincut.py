@@ -30,6 +30,7 @@ from __future__ import annotations
 import html as markup
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -42,6 +43,7 @@ from lexmill.llm.shared import materialize
 SAMPLE_PAGES = 2_000
 ARTICLE_LEAN = 4.0          # added log odds inside an article element
 TIE = 1e6                   # capacity that no cut crosses
+PATH = 256                  # outermost and innermost ancestors kept of a block, for edge weights only
 NEXT = 0.5                  # edge between adjacent blocks, times the share of ancestors
 SIBLING = 0.5               # edge between blocks that follow each other under one parent
 # Log odds of the statistics where no page of the sample tells its parts apart:
@@ -98,8 +100,9 @@ def _is_part(tag: str, attributes: str, in_article: bool) -> bool:
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page, in order."""
     found: list[Block] = []
-    # open elements: (tag, number, banned, muted, article, link)
-    stack: list[tuple] = [("", 0, False, False, False, False)]
+    # open elements: (tag, number, banned, muted, article, link, nearest block tag)
+    stack: list[tuple] = [("", 0, False, False, False, False, "")]
+    opened: Counter = Counter()
     pieces: list[str] = []
     linked = number = at = 0
     here = None
@@ -109,8 +112,7 @@ def blocks(page: str) -> list[Block]:
         if pieces:
             text = " ".join(markup.unescape("".join(pieces)).split())
             if text:
-                tag = next((e[0] for e in reversed(here) if e[0] in BLOCK_TAGS), "")
-                found.append(Block(text, linked, tag, [e[1] for e in here], here[-1][2], here[-1][4]))
+                found.append(Block(text, linked, *here))
             pieces.clear()
         linked, here = 0, None
 
@@ -121,7 +123,8 @@ def blocks(page: str) -> list[Block]:
             return
         pieces.append(text)
         if here is None and not text.isspace():
-            here = list(stack)
+            kept = stack if len(stack) <= 2 * PATH else stack[:PATH] + stack[-PATH:]
+            here = top[6], [e[1] for e in kept], top[2], top[4]
         if top[5]:
             linked += len(text)
 
@@ -143,7 +146,7 @@ def blocks(page: str) -> list[Block]:
                 pieces.append(" ")
             continue
         if closing:
-            depth = len(stack) - 1
+            depth = len(stack) - 1 if opened[tag] else 0
             while depth and stack[depth][0] != tag:
                 depth -= 1
             if tag in BLOCK_TAGS:
@@ -151,6 +154,7 @@ def blocks(page: str) -> list[Block]:
             elif any(e[0] in BLOCK_TAGS for e in stack[depth + 1:]):
                 depth = 0               # an inline end tag closes no block
             if depth:
+                opened.subtract(e[0] for e in stack[depth:])
                 del stack[depth:]
             continue
         if tag in BLOCK_TAGS:
@@ -160,6 +164,7 @@ def blocks(page: str) -> list[Block]:
             depth = len(stack) - 1
             while depth and (stack[depth][0] not in BLOCK_TAGS or stack[depth][0] in closes):
                 if stack[depth][0] in closes:
+                    opened.subtract(e[0] for e in stack[depth:])
                     del stack[depth:]
                 depth -= 1
         if tag in VOID_TAGS:
@@ -175,9 +180,8 @@ def blocks(page: str) -> list[Block]:
         top = stack[-1]
         article = top[4] or tag in ARTICLE_TAGS
         stack.append((tag, number, top[2] or _is_part(tag, attributes, top[4]), top[3] or tag in MUTE_TAGS,
-                      article, top[5] or tag == "a"))
-        if len(stack) > 512:            # runaway nesting: forget the oldest inner element
-            del stack[1]
+                      article, top[5] or tag == "a", tag if tag in BLOCK_TAGS else top[6]))
+        opened[tag] += 1
     flush()
     return found
 

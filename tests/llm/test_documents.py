@@ -293,6 +293,9 @@ def test_main_text_without_an_article_element():
     (None, ""), ("", ""), ("  plain   text ", "plain text"), ("<p", ""), ("a < b &am", "a < b &am"),
     ("<article><p>Cut off <b", "Cut off"), ("<article><p a=\"x>y</p>", "y"), ("<script>x", ""),
     ("<article>" + "<div>" * 3000 + "deep" + "</article>", "deep"),
+    ("<article><p>First.</p><p>" + "<b>" * 520 + "deep" + "</b>" * 520 + "</p><p>Last one.</p></article><p>Out.</p>",
+     "First.\n\ndeep\n\nLast one."),
+    ("<article>" + "<div>" * 3000 + "deep" + "</div>" * 3000 + "<p>Last one.</p></article>", "deep\n\nLast one."),
     ("<article><p>" + "long words here. " * 20000 + "</p></article>", ("long words here. " * 20000).strip())])
 def test_odd_pages(page, want):
     assert html_mincut.main_text(page) == want
