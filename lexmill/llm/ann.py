@@ -1,15 +1,17 @@
 """Approximate nearest neighbours: one navigable small-world hierarchy a shard.
 
-Equal vectors fold to one node first, named by their smallest id, so a third of
-all rows being one vector is one node.  Nodes are dealt to shards by a hash of
-their name.  Each shard's hierarchy is built in one task and stored as flat
-arrays: every layer is one matrix of neighbour positions, row i for node i, and
-nodes are numbered so that each layer holds a prefix of them.  A query visits
-all shards, in blocks of bounded size, and the shard results are merged.
+Equal vectors fold to one node first, so a third of all rows being one vector is
+one node.  A node is named by its smallest id and a hash of its vector, as one id
+may stand with several vectors.  Nodes are dealt to shards by a hash of their
+name.  Each shard's hierarchy is built in one task and stored as flat arrays:
+every layer is one matrix of neighbour positions, row i for node i, and nodes are
+numbered so that each layer holds a prefix of them.  Every query visits all
+shards: a task reads the index of a shard once and the queries stream past it, a
+batch in memory at a time.  The shard results are merged.
 
 The number of shards is SHARDS at least, and grows where a shard would exceed
-SHARD_ROWS nodes, which bounds the memory of a task (about 500 bytes a node of
-64 floats).
+SHARD_VALUES numbers (components and links), which bounds the memory of a task
+whatever the length of the vectors.
 
 Largest inner product is turned into a nearest-neighbour search by one more
 component that brings all nodes of a shard to equal length; queries have zero
@@ -19,7 +21,10 @@ precision, summed in order of the components.
 Cases: vectors that are null, empty, zero, or hold a null or non-finite component
 take no part; only vectors of equal length meet; fewer than k candidates give all
 of them; equal scores go to the smaller id; repeated rows of one id and vector
-count once; a row without an id takes no part; extra columns are ignored.
+count once; an id with several vectors is one row for each of them: each is a
+query with a list of its own (told apart by `query_key`, a hash of the vector),
+each is a candidate, and a query leaves out only the row it is; a row without an
+id takes no part; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,13 +39,13 @@ from lexmill.llm.shared import materialize
 
 K = 20
 SHARDS = 12
-SHARD_ROWS = 250_000
-QUERY_BLOCK = 20_000
+SHARD_VALUES = 32_000_000
 LINKS = 16                  # neighbours of a node; twice as many on the bottom layer
 BUILD_WIDTH = 80            # candidates held while a node is placed
 SEARCH_WIDTH = 160          # candidates held while a query is answered
 STEP = 4                    # candidates opened at a time
 _BATCH = 256
+_PER_NODE = 3 * LINKS + 16  # numbers a node holds beside its components
 
 
 def _expand(x: np.ndarray, links: np.ndarray, q: np.ndarray, start: np.ndarray, width: int):
@@ -185,23 +190,25 @@ def _level(vectors: np.ndarray) -> np.ndarray:
     return np.concatenate((vectors, more[:, None]), axis=1).astype(np.float32)
 
 
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    column = column.combine_chunks()
+def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-_INDEX = ("dim int, shard int, kind string, ids binary, vectors binary, "
+_INDEX = ("dim int, shard int, kind string, ids binary, parts binary, vectors binary, "
           "widths array<int>, links array<binary>")
+_FOUND = "query long, query_key long, node long, part long, score double"
 
 
 def _build_shard(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-    ids = rows.column("node").to_numpy()
-    order = np.lexsort((ids, (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))))
-    ids, vectors = ids[order], _matrix(rows.column("vector"))[order]
+    ids, parts = (rows.column(c).to_numpy().astype(np.int64) for c in ("node", "part"))
+    mixed = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ parts.astype(np.uint64)
+    order = np.lexsort((parts, ids, mixed))
+    ids, parts, vectors = ids[order], parts[order], _matrix(rows.column("vector").combine_chunks())[order]
     layers = build(_level(vectors))
     return pa.table({
         "dim": pa.array([key[0].as_py()], pa.int32()), "shard": pa.array([key[1].as_py()], pa.int32()),
-        "kind": [vectors.dtype.str], "ids": pa.array([ids.astype(np.int64).tobytes()], pa.binary()),
+        "kind": [vectors.dtype.str], "ids": pa.array([ids.tobytes()], pa.binary()),
+        "parts": pa.array([parts.tobytes()], pa.binary()),
         "vectors": pa.array([vectors.tobytes()], pa.binary()),
         "widths": pa.array([[t.shape[1] for t in layers]], pa.list_(pa.int32())),
         "links": pa.array([[t.tobytes() for t in layers]], pa.list_(pa.binary()))})
@@ -215,32 +222,47 @@ def exact_scores(vectors: np.ndarray, near: np.ndarray, q: np.ndarray) -> np.nda
     return total
 
 
-def _search_shard(k: int, width: int):
-    def run(key: tuple[pa.Scalar, ...], index: pa.Table, queries: pa.Table) -> pa.Table:
-        out_q, out_n, out_s = [], [], []
-        if index.num_rows and queries.num_rows:
-            row = index.to_pylist()[0]
-            ids = np.frombuffer(row["ids"], dtype=np.int64)
-            vectors = np.frombuffer(row["vectors"], dtype=row["kind"]).reshape(len(ids), -1)
-            layers = [np.frombuffer(b, dtype=np.int32).reshape(-1, w)
-                      for b, w in zip(row["links"], row["widths"])]
-            x = _level(vectors)
-            names, all_q = queries.column("node").to_numpy(), _matrix(queries.column("vector"))
-            for at in range(0, len(names), _BATCH):
-                q, name = all_q[at:at + _BATCH], names[at:at + _BATCH]
-                flat = np.concatenate((q, np.zeros((len(q), 1))), axis=1).astype(np.float32)
-                near = search(x, layers, flat, width)
-                score = np.where(near >= 0, exact_scores(vectors, near, q), -np.inf)
-                found = np.where(near >= 0, ids[near], np.iinfo(np.int64).max)
-                order = np.lexsort((found, -score), axis=1)[:, :k]
-                score, found = np.take_along_axis(score, order, 1), np.take_along_axis(found, order, 1)
-                kept = np.isfinite(score)
-                out_q.append(np.repeat(name, kept.sum(axis=1)))
-                out_n.append(found[kept])
-                out_s.append(score[kept])
-        join = lambda parts, kind: pa.array(np.concatenate(parts) if parts else np.zeros(0), kind)
-        return pa.table({"query": join(out_q, pa.int64()), "node": join(out_n, pa.int64()),
-                         "score": join(out_s, pa.float64())})
+class _Shard:
+    """The index of one shard, opened from its stored row."""
+
+    def __init__(self, row: dict):
+        self.ids, self.parts = (np.frombuffer(row[c], dtype=np.int64) for c in ("ids", "parts"))
+        self.vectors = np.frombuffer(row["vectors"], dtype=row["kind"]).reshape(len(self.ids), -1)
+        self.layers = [np.frombuffer(b, dtype=np.int32).reshape(-1, w) for b, w in zip(row["links"], row["widths"])]
+        self.levelled = _level(self.vectors)
+
+    def answer(self, queries: pa.RecordBatch, k: int, width: int) -> pa.RecordBatch:
+        """The k best nodes found for each query; equal scores by id."""
+        q = _matrix(queries.column("vector"))
+        flat = np.concatenate((q, np.zeros((len(q), 1))), axis=1).astype(np.float32)
+        near = search(self.levelled, self.layers, flat, width)
+        score = np.where(near >= 0, exact_scores(self.vectors, near, q), -np.inf)
+        order = np.lexsort((self.parts[near], self.ids[near], -score), axis=1)[:, :k]
+        score, near = np.take_along_axis(score, order, 1), np.take_along_axis(near, order, 1)
+        kept = np.isfinite(score)
+        name = lambda c: np.repeat(queries.column(c).to_numpy(), kept.sum(axis=1))
+        return pa.RecordBatch.from_pydict({
+            "query": name("node"), "query_key": name("part"), "node": self.ids[near[kept]],
+            "part": self.parts[near[kept]], "score": score[kept]})
+
+
+def _search_shards(k: int, width: int):
+    """Rows come sorted by shard, the index of a shard before its queries."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, shard = None, None
+        for batch in batches:
+            dims, shards = batch.column("dim").to_numpy(), batch.column("shard").to_numpy()
+            stored = batch.column("ids").is_valid().to_numpy(zero_copy_only=False)
+            new = (dims[1:] != dims[:-1]) | (shards[1:] != shards[:-1]) | (stored[1:] != stored[:-1])
+            edges = [0, *(np.flatnonzero(new) + 1), len(dims)]
+            for low, high in zip(edges, edges[1:]):
+                if low == high:
+                    continue
+                if stored[low]:
+                    at, shard = (dims[low], shards[low]), _Shard(batch.slice(low, 1).to_pylist()[0])
+                elif at == (dims[low], shards[low]):
+                    for start in range(low, high, _BATCH):
+                        yield shard.answer(batch.slice(start, min(_BATCH, high - start)), k, width)
     return run
 
 
@@ -254,55 +276,57 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def fold(rows: DataFrame, members: int) -> DataFrame:
-    """(node, vector, members): distinct vectors, named by their smallest id,
-    with their `members` smallest ids, all that a list of that length can show."""
+    """(node, part, vector, members): distinct vectors, named by their smallest id
+    and a hash, with their `members` smallest ids, all that a list of that length
+    can show."""
     ranked = rows.withColumn("r", F.row_number().over(W.partitionBy("vector").orderBy("vec_id")))
     return (ranked.filter(F.col("r") <= members).groupBy("vector")
-            .agg(F.min("vec_id").alias("node"), F.array_sort(F.collect_list("vec_id")).alias("members")))
+            .agg(F.min("vec_id").alias("node"), F.array_sort(F.collect_list("vec_id")).alias("members"))
+            .withColumn("part", F.xxhash64("vector")))
 
 
 def build_index(nodes: DataFrame, shards: int) -> DataFrame:
     """(dim, shard, …): one row of flat arrays for each shard."""
-    dealt = nodes.select("node", "vector", F.size("vector").alias("dim"),
-                         F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int").alias("shard"))
+    dealt = nodes.select("node", "part", "vector", F.size("vector").alias("dim"),
+                         F.pmod(F.xxhash64("node", "part"), F.lit(shards)).cast("int").alias("shard"))
     dealt = dealt.repartition(2 * shards, "dim", "shard")
     return dealt.groupBy("dim", "shard").applyInArrow(_build_shard, _INDEX)
 
 
 def nearest(vectors: DataFrame, k: int = K, every: int = 20, width: int = SEARCH_WIDTH,
-            shards: int = SHARDS, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest found for each row whose
-    vec_id is divisible by `every`, the row itself left out."""
+            shards: int = SHARDS, shard_values: int = SHARD_VALUES) -> DataFrame:
+    """(query_id, rank, vec_id, score, query_key): the k nearest found for each row
+    whose vec_id is divisible by `every`, the row itself left out."""
     rows = usable(vectors)
     nodes = materialize(fold(rows, k + 1), "nodes")
-    count = nodes.count()
-    shards = max(shards, -(-count // shard_rows))
+    values = nodes.agg(F.sum(F.size("vector").cast("long") + _PER_NODE)).first()[0] or 0
+    shards = max(shards, -(-values // shard_values))
     index = materialize(build_index(nodes, shards), "index")
 
     asked = rows.filter(F.col("vec_id") % every == 0)
-    asked = asked.join(nodes.select("vector", "node"), "vector").select(
-        F.col("vec_id").alias("query_id"), "node", "vector", F.size("vector").alias("dim"))
+    asked = asked.join(nodes.select("vector", "node", "part"), "vector").select(
+        F.col("vec_id").alias("query_id"), "node", "part", "vector", F.size("vector").alias("dim"))
     asked = materialize(asked, "queries")
-    distinct = asked.groupBy("node", "dim").agg(F.first("vector").alias("vector"))
-    blocks = -(-max(1, distinct.count()) // QUERY_BLOCK)
-    block = F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int").alias("block")
-    sent = distinct.select("node", "vector", "dim", block, F.explode(
+    distinct = asked.groupBy("node", "part", "dim").agg(F.first("vector").alias("vector"))
+    sent = distinct.select("node", "part", "vector", "dim", F.explode(
         F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-    stored = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    keys, tasks = ["dim", "shard", "block"], 2 * shards * blocks
-    found = (stored.repartition(tasks, *keys).groupBy(*keys)
-             .cogroup(sent.repartition(tasks, *keys).groupBy(*keys))
-             .applyInArrow(_search_shard(k + 1, width), "query long, node long, score double"))
+    keys = ["dim", "shard"]
+    met = (index.unionByName(sent, allowMissingColumns=True).repartition(2 * shards, *keys)
+           .sortWithinPartitions(*keys, F.col("ids").isNull()))
+    found = met.mapInArrow(_search_shards(k + 1, width), _FOUND)
 
-    best = W.partitionBy("query").orderBy(F.desc("score"), "node")
+    query = ["query", "query_key"]
+    best = W.partitionBy(*query).orderBy(F.desc("score"), "node", "part")
     top = materialize(found.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k + 1)
-                      .select("query", "node", "score"), "found")
-    shown = top.join(nodes.select("node", "members"), "node").select(
-        "query", "score", F.explode("members").alias("vec_id"))
-    best = W.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+                      .drop("r"), "found")
+    shown = top.join(nodes.select("node", "part", "members"), ["node", "part"]).select(
+        *query, "node", "part", "score", F.explode("members").alias("vec_id"))
+    best = W.partitionBy(*query).orderBy(F.desc("score"), "vec_id")
     shown = shown.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k + 1)
-    paired = asked.select("query_id", F.col("node").alias("query")).join(shown, "query")
-    final = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (paired.filter(F.col("vec_id") != F.col("query_id"))
+    paired = asked.select("query_id", F.col("node").alias("query"), F.col("part").alias("query_key")).join(shown, query)
+    own = ((F.col("vec_id") == F.col("query_id")) & (F.col("node") == F.col("query"))
+           & (F.col("part") == F.col("query_key")))
+    final = W.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id")
+    return (paired.filter(~own)
             .withColumn("rank", F.row_number().over(final)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+            .select("query_id", "rank", "vec_id", "score", "query_key"))

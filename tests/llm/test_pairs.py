@@ -317,23 +317,29 @@ def test_decontamination_is_native(spark):
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
 
 
-def nearest_by_hand(rows, k):
-    good = {}
-    for i, v in rows:
-        if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v):
-            good[i] = [float(np.float32(x)) for x in v]
+def nearest_by_hand(rows, k, number=np.float32):
+    """One list for each row of an id divisible by 20; lists of one id in any order."""
+    good = {(i, tuple(float(number(x)) for x in v)) for i, v in rows
+            if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)}
     out = []
-    for q in sorted(good):
+    for q, w in good:
         if q % 20 == 0:
             scores = []
-            for i, v in good.items():
-                if i != q and len(v) == len(good[q]):
+            for i, v in good - {(q, w)}:
+                if len(v) == len(w):
                     total = 0.0
-                    for a, b in zip(v, good[q]):
+                    for a, b in zip(v, w):
                         total += a * b
                     scores.append((-total, i))
-            out += [(q, r, i, -s) for r, (s, i) in enumerate(sorted(scores)[:k], 1)]
-    return out
+            out.append([(q, r, i, -s) for r, (s, i) in enumerate(sorted(scores)[:k], 1)])
+    return sorted(x for x in out if x)
+
+
+def nearest_lists(df):
+    lists = {}
+    for r in df.collect():
+        lists.setdefault((r.query_id, r.query_key), []).append(tuple(r)[:4])
+    return sorted(sorted(x) for x in lists.values())
 
 
 def test_nearest_vectors_with_ties_and_bad_rows(spark):
@@ -345,8 +351,17 @@ def test_nearest_vectors_with_ties_and_bad_rows(spark):
              (440, [3.0, 1.0]), rows[20]]
     table = spark.createDataFrame([(i, v, "x", 1) for i, v in rows],
                                   "vec_id long, embedding array<float>, node string, shard int")
-    got = sorted(tuple(r) for r in ann.nearest(table, shards=3).collect())
-    assert got == nearest_by_hand(rows, 20)
+    assert nearest_lists(ann.nearest(table, shards=3)) == nearest_by_hand(rows, 20)
+
+
+def test_nearest_vectors_of_ids_with_several_vectors(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(i), rng.normal(size=5).round(1).tolist()) for i in rng.integers(0, 45, 240)]
+    rows += [(20, rng.normal(size=5).round(1).tolist()) for _ in range(40)]       # a hot id
+    rows += [(5, rows[0][1]), (40, rows[0][1]), (5, rows[0][1])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for size in (32_000_000, 1_000):                                             # 1,000: many small shards
+        assert nearest_lists(ann.nearest(table, shards=2, shard_values=size)) == nearest_by_hand(rows, 20, float)
 
 
 @pytest.mark.parametrize("unit, least", [(True, 0.95), (False, 0.9)])
