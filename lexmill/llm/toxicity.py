@@ -3,11 +3,11 @@
 The categories are predicted one after another, and every model sees the
 probabilities of the earlier ones beside the words:
 
-    toxic      the label
     sustained  a toxic text with three or more words that mark toxic texts
     dense      a toxic text in which one word of fifty, or more, is such a mark
+    toxic      the label; its model sees the words and both probabilities before
 
-The two stronger ones are not labelled; they follow from the label and the words
+The first two are not labelled; they follow from the label and the words
 that stand almost only in texts labelled toxic.  A later model is trained on
 out-of-fold probabilities of the earlier categories: each row's probability comes
 from a model that has not seen it, so the chain meets the same kind of input in
@@ -16,8 +16,9 @@ training as in use.
 Features are the words of a text and their first PREFIX letters, each at most
 once a text.  Their document counts are grouped in Spark, and the VOCABULARY
 features that tell the classes apart best are kept.  All models are fitted by
-Spark on a bounded sample of labelled rows (TRAIN_ROWS, chosen by a hash, texts
-that occur twice once; rows with crc32(doc_id as text) mod 5 = 0 are never used).
+Spark on a bounded sample of labelled rows (TRAIN_ROWS, chosen by a hash; equal
+texts count once, toxic where one copy is; rows with crc32(doc_id as text) mod 5 = 0
+are never used).
 The out-of-fold probabilities also choose the limit from which a text is called
 toxic: the middle of the range of best F1.  Scoring is one pass over whole texts,
 without a shuffle.
@@ -44,7 +45,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from lexmill.llm.shared import materialize
 
-CATEGORIES = ("toxic", "sustained", "dense")
+CATEGORIES = ("sustained", "dense", "toxic")      # the decision is on the last
 TRAIN_ROWS = 10_000
 VOCABULARY = 4_096
 FOLDS = 3
@@ -94,8 +95,8 @@ def _vector_rows(index: dict[str, int], marks: set[str]):
                 sustained.append(float(toxic == 1 and n >= 3))
                 dense.append(float(toxic == 1 and 50 * n >= len(words) > 0))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(vectors, kind), batch.column(1), pa.array(sustained), pa.array(dense), batch.column(2)],
-                names=["words", "toxic", "sustained", "dense", "fold"])
+                [pa.array(vectors, kind), pa.array(sustained), pa.array(dense), batch.column(1), batch.column(2)],
+                names=["words", *CATEGORIES, "fold"])
     return run
 
 
@@ -160,12 +161,12 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> ToxicityC
     share = int((1 << 30) * min(1.0, rows / max(1, known.count())))
     known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share)
     texts = docs.select("doc_id", "text").join(known, "doc_id").withColumn("same", F.xxhash64("text"))
-    texts = materialize(texts.dropDuplicates(["same"]).select(
-        "text", "toxic", F.pmod("same", F.lit(FOLDS)).cast("int").alias("fold")), "labelled")
+    texts = texts.groupBy("same", "text").agg(F.max("toxic").alias("toxic"))
+    texts = materialize(texts.select("text", "toxic", F.pmod("same", F.lit(FOLDS)).cast("int").alias("fold")), "labelled")
     n, positive = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0.0))).first()
     p = positive / n if n else 0.0
     if not 0 < p < 1:
-        return ToxicityChain({}, [60.0 if p else -60.0] + [-60.0] * 2, np.zeros((0, 3)), [[], [0.0], [0.0, 0.0]])
+        return ToxicityChain({}, [-60.0] * 2 + [60.0 if p else -60.0], np.zeros((0, 3)), [[], [0.0], [0.0, 0.0]])
 
     counted = (texts.select("text", "toxic").mapInArrow(_feature_rows, "feature string, toxic double")
                .groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("k"))
@@ -175,25 +176,22 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> ToxicityC
     index = {r["feature"]: i for i, r in enumerate(chosen)}
     marks = {r["feature"] for r in chosen if r["k"] >= MARK_SHARE * r["n"] and not r["feature"].endswith("*")}
 
-    ddl = f"words {_VECTOR}, toxic double, sustained double, dense double, fold int"
+    ddl = f"words {_VECTOR}, {', '.join(f'{c} double' for c in CATEGORIES)}, fold int"
     stored = T.StructType([T.StructField("words", VectorUDT()), *[T.StructField(c, T.DoubleType()) for c in CATEGORIES],
                            T.StructField("fold", T.IntegerType())])
     train = materialize(texts.mapInArrow(_vector_rows(index, marks), ddl), "vectors", schema=stored)
     train = train.coalesce(TASKS)
-    inputs, models, limit = ["words"], [], 0.5
-    for at, category in enumerate(CATEGORIES):
+    inputs, models = ["words"], []
+    for category in CATEGORIES:
         models.append(_fit_one(train, inputs, category))
-        if at + 1 == len(CATEGORIES):
-            break
         name, parts = f"p_{category}", None
         for fold in range(FOLDS):
             model = _fit_one(train.filter(F.col("fold") != fold), inputs, category)
             part = _with_probability(train.filter(F.col("fold") == fold), model, inputs, name)
             parts = part if parts is None else parts.union(part)
         train = materialize(parts, "folds").coalesce(TASKS)
-        if at == 0:
-            limit = best_limit(train, category, name)
         inputs = [*inputs, name]
+    limit = best_limit(train, CATEGORIES[-1], inputs[-1])
 
     weights, intercepts, links = np.zeros((len(index), len(CATEGORIES))), [], []
     for i, model in enumerate(models):
@@ -209,12 +207,12 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> ToxicityC
 
 
 def scored(docs: DataFrame, chain: ToxicityChain) -> DataFrame:
-    """(doc_id, p_toxic, p_sustained, p_dense, toxic) of every row of `docs`."""
+    """(doc_id, p_sustained, p_dense, p_toxic, toxic) of every row of `docs`."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             p = [chain.probabilities(v.as_py() or "") for v in batch.column(1)]
             columns = [pa.array([r[i] for r in p], pa.float64()) for i in range(len(CATEGORIES))]
-            flag = pa.array([int(r[0] >= chain.limit) for r in p], pa.int32())
+            flag = pa.array([int(r[-1] >= chain.limit) for r in p], pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns, flag],
                                              names=["doc_id", *[f"p_{c}" for c in CATEGORIES], "toxic"])
 

@@ -94,12 +94,28 @@ def test_toxicity_chain(spark):
     wrong = [r for r in got if r.doc_id is not None and r.doc_id < 400 and r.toxic != int(r.doc_id % 4 == 0)]
     assert len(wrong) <= 4
     assert [len(x) for x in chain.links] == [0, 1, 2]
+    assert toxicity.CATEGORIES[-1] == "toxic" and all(abs(w) > 0.01 for w in chain.links[2])
+    alone = toxicity.ToxicityChain(chain.index, chain.intercepts, chain.weights, [[], [0.0], [0.0, 0.0]])
+    moved = [abs(alone.probabilities(t or "")[2] - chain.probabilities(t or "")[2]) for _, t in rows]
+    assert max(moved) > 0.01
     clean = toxicity.ToxicityChain({}, [-1.0, 0.0, 0.0], chain.weights[:0], [[], [2.0], [0.0, 3.0]])
     p = clean.probabilities("")
     sigmoid = lambda z: 1 / (1 + 2.718281828459045 ** -z)
     assert p == pytest.approx([sigmoid(-1), sigmoid(2 * sigmoid(-1)), sigmoid(3 * sigmoid(2 * sigmoid(-1)))])
 
 
+def test_equal_texts_of_different_labels_are_toxic_in_any_order(spark):
+    rows = [(i, f"plain words {i % 7} here") for i in range(60)] + [(i, "you fool") for i in range(60, 120)]
+    labels = [(i, 1, int(i == 101 or 100 <= i < 120 and i % 2)) for i in range(120)]
+    found = []
+    for order in (labels, labels[::-1]):
+        marks = spark.createDataFrame(order, "doc_id long, quality int, toxic int")
+        docs = frame(spark, rows if order is labels else rows[::-1])
+        got = toxicity.scored(docs, toxicity.fit(docs, marks)).collect()
+        found.append({r.doc_id: r.toxic for r in got})
+    assert found[0] == found[1] and all(v == int(i >= 60) for i, v in found[0].items())
+
+
 def test_toxicity_with_one_class_and_empty(spark):
     marks = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (3, 1, 0)], "doc_id long, quality int, toxic int")
     docs = frame(spark, [(i, f"text {i}") for i in range(4)])
