@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from checks.oracle_sql import CORPUS, MAX_TERMS, RATED, WORDS, idf, vocab, weights, with_
+from checks.oracle_sql import (BASE, CORPUS, MAX_TERMS, RATED, WORDS, clean, docs, idf, stopwords, unlisted,
+                               vec_tokens, vocab, weights, with_)
 
 
 def sources(q: dict[str, str]) -> dict[str, str]:
@@ -19,11 +20,12 @@ md5(text) AS text_md5 FROM corpus"""
   SELECT doc_id * 3 AS doc_id, text, mapped_label AS label, 'statements' AS source, rating AS original_label FROM mapped
   UNION ALL SELECT d.doc_id * 3 + 1, d.text, 'Satire', 'headlines', 'Satire' FROM documents d
     JOIN labels l ON l.doc_id = d.doc_id WHERE l.toxic = 1
-  UNION ALL SELECT d.doc_id * 3 + 2, d.text, 'Real', 'titles', 'Real' FROM documents d
-    JOIN labels l ON l.doc_id = d.doc_id WHERE l.quality = 1 AND l.toxic = 0)""",
-        """capped AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY md5('42:' || doc_id)) AS rn
+  UNION ALL SELECT d.doc_id * 3 + 2, d.text, CASE WHEN l.quality = 1 THEN 'Real' ELSE 'Fake' END, 'titles',
+    CASE WHEN l.quality = 1 THEN 'Real' ELSE 'Fake' END FROM documents d
+    JOIN labels l ON l.doc_id = d.doc_id WHERE l.toxic = 0)""",
+        """capped AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, label ORDER BY md5('42:' || doc_id)) AS rn
   FROM parts WHERE label IS NOT NULL AND text IS NOT NULL)
-  WHERE rn <= CASE source WHEN 'statements' THEN 150 WHEN 'titles' THEN 120 ELSE 1000000000 END)""",
+  WHERE rn <= CASE source WHEN 'statements' THEN 2000 WHEN 'titles' THEN 1500 ELSE 3000 END)""",
         "kept AS (SELECT * FROM capped WHERE doc_id IN (SELECT min(doc_id) FROM capped GROUP BY text))",
         "sizes AS (SELECT label, count(*) AS n FROM kept GROUP BY label)",
         "whole AS (SELECT sum(n) AS total, count(*) AS k, max(n) / sum(n) > 0.4 AS act FROM sizes)") + """
@@ -39,6 +41,24 @@ UNION ALL SELECT 'v10', count(*) FROM corpus WHERE label = 'Real'"""
     s["write_word_vectors"] = """SELECT vec_id AS word,
 array_to_string(list_transform(embedding, lambda x: printf('%.6f', x)), ' ') AS vector FROM embeddings"""
     s["model_tables"] = q["nb_fit"]
+    state = (*BASE, docs(), f"""final AS (SELECT doc_id, label, tokens FROM docs
+  WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0 AND doc_id IS NOT NULL)
+  UNION ALL SELECT -1 - item_id, 'Real', {unlisted(vec_tokens(clean('text')), stopwords('custom'))} FROM benchmark
+  WHERE length({clean('text')}) > 0)""",
+             "words AS (SELECT doc_id, label, unnest(tokens) AS word FROM final)",
+             "edged AS (SELECT doc_id, label, list_concat(['<s>'], tokens, ['</s>']) AS p FROM final)",
+             """pairs AS (SELECT doc_id, label, p[i] AS context, p[i + 1] AS word
+  FROM (SELECT doc_id, label, p, unnest(range(1, len(p))) AS i FROM edged))""")
+    s["refreshed_counts"] = with_(*state) + """
+SELECT 'class' AS kind, label, '' AS context, '' AS word, count(*) AS n_docs, count(*) AS n FROM final GROUP BY label
+UNION ALL SELECT 'term', label, '', word, count(DISTINCT doc_id), count(*) FROM words GROUP BY label, word
+UNION ALL SELECT 'gram', label, context, word, count(DISTINCT doc_id), count(*) FROM pairs GROUP BY label, context, word"""
+    s["refreshed_vocabulary"] = with_(*state,
+        """top AS (SELECT word AS term, count(*) AS cf, count(DISTINCT doc_id) AS df FROM words GROUP BY word
+  ORDER BY cf DESC, term LIMIT 10000)""") + """SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx, cf, df,
+round(ln((1 + CAST((SELECT count(*) FROM final) AS DOUBLE)) / (1 + df)) + 1, 6) AS idf FROM top"""
+    s["sketch_errors"] = """SELECT event_type, count(*) AS n, 1 AS distinct_within, 1 AS p50_within, 1 AS p95_within,
+1 AS halves_equal FROM events GROUP BY event_type"""
     log = """log AS (SELECT date_trunc('second', ts) AS ts, 'INFO' AS level, 'RESPONSE' AS kind, 'POST' AS method,
   '/' || event_type AS path, CASE WHEN t % 10 = 0 THEN 422 ELSE 200 END AS status, t / 10 AS ms
   FROM (SELECT *, CAST(floor(abs(value) * 10) AS BIGINT) AS t FROM events))"""

@@ -37,7 +37,11 @@ def vocabulary(tf: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
     Counts combine before the shuffle; the limit is a distributed top-n, and
     the index window sees at most `max_features` rows.
     """
-    stats = tf.groupBy("term").agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df"))
+    return most_frequent(tf.groupBy("term").agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df")), max_features)
+
+
+def most_frequent(stats: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
+    """The vocabulary of counted terms (term, cf, df)."""
     top = stats.orderBy(F.desc("cf"), "term").limit(max_features)
     idx = (F.row_number().over(W.partitionBy().orderBy("term")) - 1).cast("int")
     return top.select("term", idx.alias("idx"), "cf", "df")

@@ -15,6 +15,13 @@ from lexmill.session import materialize
 # A column with more distinct values than this is no class label.
 MAX_CLASSES = 10_000
 
+# Rows of each label that a source gives to the corpus.
+CORPUS_CAPS = {
+    ("statements", "Real"): 2_000, ("statements", "Fake"): 2_000,
+    ("titles", "Real"): 1_500, ("titles", "Fake"): 1_500,
+    ("headlines", "Satire"): 3_000,
+}
+
 
 # --- projections and predicates -------------------------------------------
 
@@ -157,20 +164,20 @@ def dedup_exact(df: DataFrame, priority: str | None = None, text: str = "text",
     return df.join(winners, key, "left_semi")
 
 
-def assemble_corpus(parts: Mapping[str, DataFrame], caps: Mapping[str, int], method: str = "class_weighted",
+def assemble_corpus(parts: Mapping[str, DataFrame], caps: Mapping[tuple[str, str], int] = CORPUS_CAPS, method: str = "class_weighted",
                     threshold: float = 0.40, seed: int = SEED, key: str = "key") -> DataFrame:
     """One corpus of several conformed sources: rows without label or text go,
-    each source is cut to its cap, sources are put together, equal texts are kept
+    each label of a source is cut to its cap, sources are put together, equal texts are kept
     once, and the classes are balanced.
 
-    `parts` names the sources; each has the columns of `conform` and a unique
+    `caps` maps (source, label) to a number of rows; what it does not name stays
+    whole.  `parts` names the sources; each has the columns of `conform` and a unique
     `key`, from which a doc_id unique in the corpus is made.  Of equal texts the
     smallest doc_id stays.
     """
     rows = [df.withColumn("doc_id", F.col(key) * len(parts) + i).drop(key) for i, df in enumerate(parts.values())]
     whole = drop_missing(union_sources(*rows), ["label", "text"])
-    capped = cap_per_group(whole, ["source"], {(name,): cap for name, cap in caps.items()}, seed)
-    return balance(dedup_exact(capped), method, threshold, seed)
+    return balance(dedup_exact(cap_per_group(whole, ["source", "label"], caps, seed)), method, threshold, seed)
 
 
 def duplicate_rate(df: DataFrame, text: str = "text", approximate: bool = False) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from lexmill.functions.wordlists import CLASSES
 from lexmill.operators.logistic import lr_fit, lr_score, vector_cells
 from lexmill.operators.metrics import weighted_prf
+from lexmill.plans.layout import broadcast_if_bounded
 from lexmill.session import materialize
 
 # A block of the iteration has this many rows at most.
@@ -30,7 +31,7 @@ def _gram_product(cells: DataFrame, block: np.ndarray) -> np.ndarray:
     """
     spark, columns = cells.sparkSession, [f"b{j}" for j in range(block.shape[1])]
     side = spark.createDataFrame(pd.DataFrame(block, columns=columns).rename_axis("i").reset_index())
-    met = cells.join(F.broadcast(side), "i")
+    met = cells.join(broadcast_if_bounded(side, len(block)), "i")
     row = W.partitionBy("doc_id")
     met = met.select("i", "value", *[F.sum(F.col("value") * F.col(b)).over(row).alias(b) for b in columns])
     sums = met.groupBy("i").agg(*[F.sum(F.col("value") * F.col(b)).alias(b) for b in columns]).toPandas()
@@ -86,7 +87,7 @@ def pca2(df: DataFrame, k: int = 2, features: str = "features", passes: int = 12
     spark, names = df.sparkSession, [f"pc{i + 1}" for i in range(k)]
     side = spark.createDataFrame(pd.DataFrame(axes, columns=names).rename_axis("i").reset_index())
     shift = mean @ axes
-    scores = cells.join(F.broadcast(side), "i").groupBy("doc_id").agg(
+    scores = cells.join(broadcast_if_bounded(side, len(axes)), "i").groupBy("doc_id").agg(
         *[F.sum(F.col("value") * F.col(c)).alias(c) for c in names])
     out = df.drop(features).join(scores, "doc_id", "left").withColumns(
         {c: F.coalesce(c, F.lit(0.0)) - float(shift[i]) for i, c in enumerate(names)})

@@ -21,11 +21,16 @@ def fit_tfidf(tf: DataFrame, n_docs: Column, variant: str = "sublinear",
               max_features: int = MAX_FEATURES) -> DataFrame:
     """Fitted table (term, idx, cf, df, idf).  Pass training rows and their
     count to fit on a training set only."""
+    return with_idf(vocabulary(tf, max_features), n_docs, variant)
+
+
+def with_idf(vocab: DataFrame, n_docs: Column, variant: str = "sublinear") -> DataFrame:
+    """A vocabulary with the inverse document frequencies of a variant."""
     if variant not in VARIANTS:
         raise ValueError(f"unknown TF-IDF variant: {variant}")
     n, df = n_docs.cast("double"), F.col("df").cast("double")
     ratio = n / df if variant == "standard" else (1 + n) / (1 + df)
-    return vocabulary(tf, max_features).withColumn("idf", F.ln(ratio) + 1)
+    return vocab.withColumn("idf", F.ln(ratio) + 1)
 
 
 def transform_tfidf(tf: DataFrame, fitted: DataFrame, variant: str = "sublinear",

@@ -11,11 +11,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexmill.functions.wordlists import CLASSES
-from lexmill.operators import bayes as NB, corpus as D, experiments as R, scoring as G
+from lexmill.operators import (bayes as NB, corpus as D, experiments as R, running as C,
+                               scoring as G, sketches as S)
 from lexmill.plans.catalog import nb_alpha_sweep, nb_params, nb_rows, query, rated
 from lexmill.plans.catalog_models import conversations, scoring_model
-from lexmill.plans.tables import corpus, table
-from lexmill.session import shared_folder
+from lexmill.plans.tables import corpus, prepared_documents, query_texts, table
+from lexmill.session import materialize, shared_folder
 from lexmill.sources import lake, readers, runs
 from lexmill.streaming import jobs
 
@@ -80,12 +81,13 @@ def assemble_corpus(spark, base):
     """Rated, flagged and labelled documents as three sources of one corpus."""
     rows = table(spark, base, "documents").select("doc_id", "text")
     flags = rows.join(table(spark, base, "labels").select("doc_id", F.col("toxic").alias("is_sarcastic")), "doc_id")
-    good = rows.join(table(spark, base, "labels").filter("quality = 1 and toxic = 0").select("doc_id"), "doc_id")
+    titles = rows.join(table(spark, base, "labels").filter("toxic = 0").select(
+        "doc_id", F.when(F.col("quality") == 1, "Real").otherwise("Fake").alias("label")), "doc_id")
     parts = {"statements": (D.map_labels(rated(spark, base), "rating"), "mapped_label", "rating"),
              "headlines": (D.keep_flagged(flags), "label", "label"),
-             "titles": (good.withColumn("label", F.lit("Real")), "label", "label")}
+             "titles": (titles, "label", "label")}
     out = D.assemble_corpus({n: D.conform(df.withColumn("key", F.col("doc_id")), n, "text", label, original, keep=("key",))
-                             for n, (df, label, original) in parts.items()}, {"statements": 150, "titles": 120})
+                             for n, (df, label, original) in parts.items()})
     return out.select("doc_id", "label", "source", "original_label", "sample_weight")
 
 
@@ -279,3 +281,45 @@ def score_stream(spark, base):
     back = spark.read.parquet(f"{path}/out")
     return back.select("doc_id", "prediction", "confidence",
                        *[F.element_at("class_probabilities", c).alias(f"p_{c}") for c in CLASSES])
+
+
+# --- counts and sketches that grow with the data -------------------------------
+
+def refreshed_state(spark: SparkSession, base: str) -> DataFrame:
+    """All labelled documents are counted first; then those of bad quality are
+    withdrawn and the benchmark items come in as Real, by their changes alone."""
+    path = new_folder(spark, "counts")
+    docs = prepared_documents(spark, base).select("doc_id", "label", "tokens")
+    C.refresh(spark, path, "counts", "v1", docs.withColumn("sign", F.lit(1)))
+    bad = table(spark, base, "labels").filter("quality = 0").select("doc_id")
+    gone = docs.join(bad, "doc_id", "left_semi").withColumn("sign", F.lit(-1))
+    new = query_texts(spark, base).select("doc_id", F.lit("Real").alias("label"), "tokens", F.lit(1).alias("sign"))
+    return C.refresh(spark, path, "counts", "v2", gone.unionByName(new), since="v1")
+
+
+@query
+def refreshed_counts(spark, base):
+    return refreshed_state(spark, base)
+
+
+@query
+def refreshed_vocabulary(spark, base):
+    return C.vocabulary_of(refreshed_state(spark, base))
+
+
+@query
+def sketch_errors(spark, base):
+    """Daily sketches merged over all days, against the events themselves."""
+    events = table(spark, base, "events").select("event_type", "user_id", "value", F.to_date("ts").alias("day"))
+    kind = ["event_type"]
+    daily = materialize(S.sketched(events, [*kind, "day"], "user_id", "value"), "daily")
+    whole = S.estimates(S.merged(daily, kind), kind)
+    halves = S.merged(daily.withColumn("half", F.dayofmonth("day") % 2), [*kind, "half"])
+    twice = S.estimates(S.merged(halves, kind), kind).select(*kind, F.col("n_distinct").alias("again"))
+    at = lambda p, q: ((F.sum((F.col("value") < F.col(p)).cast("long")) <= (q + S.RANK_ERROR) * F.count("value"))
+                       & (F.sum((F.col("value") <= F.col(p)).cast("long")) >= (q - S.RANK_ERROR) * F.count("value")))
+    far = F.abs(F.first("n_distinct") - F.count_distinct("user_id"))
+    return events.join(whole.join(twice, kind), kind).groupBy(*kind).agg(
+        F.first("n").alias("n"), (far <= S.DISTINCT_ERROR * F.count_distinct("user_id")).cast("int").alias("distinct_within"),
+        at("p50", 0.5).cast("int").alias("p50_within"), at("p95", 0.95).cast("int").alias("p95_within"),
+        (F.first("n_distinct") == F.first("again")).cast("int").alias("halves_equal"))

@@ -12,6 +12,10 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 # Tables written by `materialize`, by application: (catalog name or None, path).
 _WRITTEN: dict[str, list[tuple[str | None, str]]] = {}
 
+# Folders of local sessions that name none, by application: the setting cannot
+# be changed in a running session.
+_LOCAL: dict[str, str] = {}
+
 
 def get_session(app: str = "lexmill", master: str | None = None,
                 shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
@@ -43,13 +47,13 @@ def shared_folder(spark: SparkSession) -> str:
     Where it is unset, a local session gets a folder of its own; a cluster
     session is refused, because no executor could read a driver-local path.
     """
-    folder = spark.conf.get(CHECKPOINT_KEY, None)
+    folder = spark.conf.get(CHECKPOINT_KEY, None) or _LOCAL.get(spark.sparkContext.applicationId)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors can reach")
     folder = tempfile.mkdtemp(prefix="lexmill-")
-    spark.conf.set(CHECKPOINT_KEY, folder)
+    _LOCAL[spark.sparkContext.applicationId] = folder
     return folder
 
 

@@ -1,5 +1,7 @@
 """Exact decisions, bounds that are gone, and mended sources."""
 
+from collections import Counter
+
 import random
 
 import numpy as np
@@ -134,12 +136,19 @@ def test_assembly(spark):
                                      "key long, text string, label string, source string, original_label string")
     a = part("a", [(i, f"text {i}", "Real") for i in range(10)] + [(10, "text 0", "Real"), (11, None, "Real")])
     b = part("b", [(0, "text 3", "Fake"), (1, "other", None), (2, "new", "Fake")])
-    out = D.assemble_corpus({"a": a, "b": b}, {"a": 11}).collect()
+    out = D.assemble_corpus({"a": a, "b": b}, {("a", "Real"): 11}).collect()
     assert sorted(r.text for r in out) == sorted([f"text {i}" for i in range(10)] + ["new"])
     assert {r.doc_id for r in out if r.text in ("text 0", "text 3")} == {0, 1}
     assert len({r.doc_id for r in out}) == 11 and all(r.sample_weight > 0 for r in out)
 
 
+def test_assembly_caps_each_label_of_a_source(spark):
+    rows = [(k, f"text {k}", ("Real", "Fake")[k % 4 == 0], "a", "x") for k in range(40)]
+    part = spark.createDataFrame(rows, "key long, text string, label string, source string, original_label string")
+    out = D.assemble_corpus({"a": part}, {("a", "Real"): 7, ("a", "Fake"): 20}).collect()
+    assert Counter(r.label for r in out) == {"Real": 7, "Fake": 10}
+
+
 def test_principal_components_equal_the_dense_ones(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(80, 30)) * (rng.random((80, 30)) < 0.3)
