@@ -15,8 +15,10 @@ start to the end that is best, and of overlapping windows the one with the most
 common bigrams stays, then the most similar.  A window starts and ends with a
 common bigram, as any other only adds words of its own.
 
-Documents are independent: one pass, no shuffle.  The templates are a fixed,
-small list that travels with the function; callers may pass their own.
+Documents are independent: one pass, no shuffle.  The templates are a fixed, small
+list that travels with the function: usual notices and short licence texts, and
+SPDX lines, notices and headings of the licences in LICENCES.  Callers may pass
+their own, such as whole texts of long licences, which are not in the list.
 
 Cases: null and empty texts and parts of fewer than two words match nothing; of
 several templates that match a part the most similar is given, ties to the first
@@ -88,6 +90,48 @@ TEMPLATES = (
     ("LicenseRef-all-rights-reserved", "All rights reserved."),
 )
 
+# SPDX names and the licences' own names.
+LICENCES = (
+    ("0BSD", "BSD Zero Clause License"), ("AFL-3.0", "Academic Free License version 3.0"),
+    ("AGPL-3.0", "GNU Affero General Public License, version 3"), ("Apache-1.1", "Apache License, Version 1.1"),
+    ("Apache-2.0", "Apache License, Version 2.0"), ("Apache-2.0", "Apache License 2.0"),
+    ("Artistic-1.0", "Artistic License 1.0"), ("Artistic-2.0", "Artistic License 2.0"),
+    ("BSD-2-Clause", "BSD 2-Clause License"), ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("BSD-4-Clause", "BSD 4-Clause License"), ("BSL-1.0", "Boost Software License, Version 1.0"),
+    ("BUSL-1.1", "Business Source License 1.1"),
+    ("CC-BY-3.0", "Creative Commons Attribution 3.0 License"),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International License"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International License"),
+    ("CC-BY-NC-ND-4.0", "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License"),
+    ("CC-BY-NC-SA-4.0", "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"),
+    ("CC-BY-ND-4.0", "Creative Commons Attribution-NoDerivatives 4.0 International License"),
+    ("CC-BY-SA-3.0", "Creative Commons Attribution-ShareAlike 3.0 License"),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("CC0-1.0", "CC0 1.0 Universal Public Domain Dedication"),
+    ("CDDL-1.0", "Common Development and Distribution License 1.0"),
+    ("CECILL-2.1", "CeCILL Free Software License Agreement version 2.1"),
+    ("ECL-2.0", "Educational Community License, Version 2.0"),
+    ("EPL-1.0", "Eclipse Public License 1.0"), ("EPL-2.0", "Eclipse Public License 2.0"),
+    ("EUPL-1.1", "European Union Public Licence, version 1.1"),
+    ("EUPL-1.2", "European Union Public Licence, version 1.2"), ("EUPL-1.2", "EUPL, Version 1.2"),
+    ("GFDL-1.3", "GNU Free Documentation License, Version 1.3"),
+    ("GPL-1.0", "GNU General Public License, version 1"),
+    ("GPL-2.0", "GNU General Public License, version 2"), ("GPL-3.0", "GNU General Public License, version 3"),
+    ("ISC", "ISC License"), ("LGPL-2.1", "GNU Lesser General Public License, version 2.1"),
+    ("LGPL-3.0", "GNU Lesser General Public License, version 3"), ("MIT", "MIT License"),
+    ("MIT-0", "MIT No Attribution License"), ("MPL-1.1", "Mozilla Public License 1.1"),
+    ("MPL-2.0", "Mozilla Public License 2.0"), ("MS-PL", "Microsoft Public License"),
+    ("MS-RL", "Microsoft Reciprocal License"), ("NCSA", "University of Illinois/NCSA Open Source License"),
+    ("ODbL-1.0", "Open Database License v1.0"), ("OFL-1.1", "SIL Open Font License, Version 1.1"),
+    ("OSL-3.0", "Open Software License version 3.0"), ("PostgreSQL", "PostgreSQL License"),
+    ("PSF-2.0", "Python Software Foundation License Version 2"), ("Unlicense", "Unlicense"),
+    ("WTFPL", "Do What The F*ck You Want To Public License"), ("Zlib", "zlib License"),
+    ("ZPL-2.1", "Zope Public License 2.1"),
+)
+SUFFIXES = ("", "-only", "-or-later")       # of the SPDX names of the GNU licences
+STARTS = ("distributed under", "licensed under", "released under", "terms of")
+HEADING_WORDS = 6                           # a shorter name is a mention, no notice
+
 _WORD = re.compile(r"[^\W_]+(?:\.[^\W_]+)*")
 
 
@@ -95,10 +139,29 @@ def normal_words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def short_forms(licences=LICENCES) -> list[tuple[str, str]]:
+    """SPDX lines, notices and headings of named licences.
+
+    Words that all forms share are few beside the name, so that they alone do not
+    reach the limit: two shared bigrams in four or more, one in an SPDX line."""
+    forms = []
+    for spdx, name in licences:
+        size = len(normal_words(name))
+        forms += [(spdx, f"License-Identifier: {spdx}{x}") for x in (SUFFIXES if "GNU" in name else SUFFIXES[:1])]
+        if size > 1:
+            forms += [(spdx, f"{start} the {name}") for start in STARTS]
+        if size >= HEADING_WORDS:
+            forms.append((spdx, name))
+    return sorted(set(forms))
+
+
+KNOWN = (*TEMPLATES, *short_forms())
+
+
 class Templates:
     """Templates by size, and an inverted index of their bigrams."""
 
-    def __init__(self, templates=TEMPLATES, limit: float = LIMIT):
+    def __init__(self, templates=KNOWN, limit: float = LIMIT):
         self.limit = limit
         self.names = [name for name, _ in templates]
         sets = [set(zip(w, w[1:])) for w in (normal_words(text) for _, text in templates)]
@@ -107,7 +170,8 @@ class Templates:
         for i, s in enumerate(sets):
             for pair in s:
                 self.by_bigram.setdefault(pair, []).append(i)
-        self.bounds = [(size * limit / (2 - limit), size * (2 - limit) / limit) for size in self.sizes]
+        # a hair wider, as a bound that is a whole number may be rounded past it
+        self.bounds = [(size * limit / (2 - limit) - 1e-9, size * (2 - limit) / limit + 1e-9) for size in self.sizes]
         self.low = min((b[0] for b in self.bounds), default=0)
         self.high = max((b[1] for b in self.bounds), default=0)
 
@@ -140,16 +204,17 @@ class Templates:
         they share no bigram."""
         get = self.by_bigram.get
         pairs = list(zip(words, words[1:]))
+        distinct = Counter(i for pair in set(pairs) for i in get(pair, ()))
+        # common bigrams are at least the lower bound
+        needs = {i: n for i, c in distinct.items() if c >= (n := max(1, math.ceil(self.bounds[i][0])))}
         hits: dict[int, list[int]] = {}
-        for at, pair in enumerate(pairs):
+        for at, pair in enumerate(pairs if needs else ()):
             for i in get(pair, ()):
-                hits.setdefault(i, []).append(at)
+                if i in needs:
+                    hits.setdefault(i, []).append(at)
         found = []
         for i, places in hits.items():
-            size, (low, high) = self.sizes[i], self.bounds[i]
-            need = max(1, math.ceil(low - 1e-9))        # common bigrams are at least the lower bound
-            if len(places) < need or len({pairs[at] for at in places}) < need:
-                continue
+            size, high, need = self.sizes[i], self.bounds[i][1], needs[i]
             known = set(places)
             for start in places[:len(places) - need + 1]:
                 inside, common, best = {pairs[start]}, 1, (0.0, 0, 0)
@@ -212,7 +277,7 @@ class Templates:
         return out
 
 
-def scan(docs: DataFrame, templates=TEMPLATES, limit: float = LIMIT) -> DataFrame:
+def scan(docs: DataFrame, templates=KNOWN, limit: float = LIMIT) -> DataFrame:
     """(doc_id, licence, dice, part, line): every licence part of every document."""
     known = Templates(templates, limit)
 

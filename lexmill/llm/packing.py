@@ -18,9 +18,10 @@
 Cases: null and empty texts have no tokens and sit in the shortest bucket; a
 document longer than the budget makes a batch of its own; with fewer distinct
 lengths than buckets there is one bucket a length and no padding; equal hashes
-are ordered by doc_id, repeated rows each get a place; rows without a doc_id
-are placed like others; an empty table gives an empty result; extra columns are
-ignored.
+are ordered by doc_id, repeated rows each get a place; rows without a doc_id are
+spread over the slots by their position in the written table of lengths, so that
+many of them make no large slot, and which of them gets which place depends on the
+partitioning; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -102,7 +103,8 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, tokens:
     """(doc_id, n_tokens, bucket, bucket_length, batch, place): the batch of
     every row of `docs` and its place in it."""
     count = F.coalesce(F.col(tokens).cast("long"), F.lit(0)) if tokens else token_count("text")
-    rows = materialize(docs.select("doc_id", count.alias("n_tokens")), "lengths")
+    at = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    rows = materialize(docs.select("doc_id", count.alias("n_tokens"), at.alias("at")), "lengths")
     histogram = rows.groupBy(length_bin(F.col("n_tokens")).alias("bin")).agg(
         F.max("n_tokens").alias("length"), F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("total"))
     bins = [(r["length"], r["n"], r["total"]) for r in histogram.orderBy("bin").collect()]   # bounded, see above
@@ -112,7 +114,7 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, tokens:
     for i in reversed(range(len(cuts) - 1)):
         bucket = F.when(F.col("n_tokens") <= cuts[i], F.lit(i)).otherwise(bucket)
     length = F.element_at(F.array(*[F.lit(c).cast("long") for c in cuts]), F.col("bucket") + 1)
-    order = F.xxhash64("doc_id", F.lit("packing"))
+    order = F.xxhash64("doc_id", "at", F.lit("packing"))
     placed = rows.withColumn("bucket", bucket).withColumn("hash", order).withColumn(
         "slot", F.pmod("hash", F.lit(SLOTS)))
     sizes = placed.groupBy("bucket", "slot").agg(F.count(F.lit(1)).alias("n"))

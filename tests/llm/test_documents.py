@@ -136,7 +136,7 @@ def test_licences_equal_brute_force(spark):
     rng = random.Random(4)
     rows = [(1, None), (2, ""), (None, "Released under the MIT License."), (3, "x"), (4, "the " * 3000)]
     for i in range(60):
-        words = rng.choice(licenses.TEMPLATES)[1].split()
+        words = rng.choice(licenses.KNOWN)[1].split()
         for _ in range(rng.randrange(4)):
             words[rng.randrange(len(words))] = rng.choice(["other", "words", "the"])
         rows.append((10 + i, "plain first line here\n" + " ".join(words) + "\nlast line"))
@@ -146,9 +146,9 @@ def test_licences_equal_brute_force(spark):
     for i, t in rows:
         want = []
         for n, line in enumerate((t or "").split("\n")):
-            best = max((brute_dice(line, x) for _, x in licenses.TEMPLATES))
+            best = max((brute_dice(line, x) for _, x in licenses.KNOWN))
             if best >= 0.8:
-                names = [name for name, x in licenses.TEMPLATES if brute_dice(line, x) == best]
+                names = [name for name, x in licenses.KNOWN if brute_dice(line, x) == best]
                 want.append((n, min(names), round(best, 12)))
         lines = [x[1:] for x in got[i] if x[0] == "line"]
         assert sorted(lines) == sorted(want * (2 if i == rows[-1][0] else 1))
@@ -179,6 +179,19 @@ def test_notices_inside_longer_parts(spark):
     assert {x[1:3] for x in got if x[0] == 4} >= {("Apache-2.0", "line")}
 
 
+def test_spdx_lines_headings_and_named_licences(spark):
+    rows = [(1, "SPDX-License-Identifier: MIT"), (2, "  GNU GENERAL PUBLIC LICENSE\n  Version 2"),
+            (3, "GNU AFFERO GENERAL PUBLIC LICENSE\nVersion 3, 19 November 2007"),
+            (4, "It may be used under the terms of the Apache License 2.0 by anyone."),
+            (5, "Licensed under the EUPL, Version 1.2 or later"), (6, "# SPDX-License-Identifier: GPL-3.0-or-later\nimport os"),
+            (7, "Distributed under the Boost Software License, Version 1.0. (See accompanying file)"),
+            (8, "SPDX-License-Identifier: Unheard-of-1.0"), (9, "Used under the terms of the Unheard Of License 7.1"),
+            (10, "The general public was licensed to fish under the bridge; version 2 of the story differs.")]
+    got = {r.doc_id: r.licence for r in licenses.scan(frame(spark, rows)).collect()}
+    assert got == {1: "MIT", 2: "GPL-2.0", 3: "AGPL-3.0", 4: "Apache-2.0", 5: "EUPL-1.2", 6: "GPL-3.0", 7: "BSL-1.0"}
+    assert len({name for name, _ in licenses.KNOWN}) >= 40
+
+
 def test_windows_are_the_best(spark):
     rng = random.Random(7)
     known = licenses.Templates([("A", "a b c d e f"), ("B", "a b x y")])
@@ -194,6 +207,15 @@ def test_windows_are_the_best(spark):
 
 # --- packing ---------------------------------------------------------------------------
 
+def test_rows_without_an_id_make_no_large_slot(spark):
+    docs = spark.range(0, 6000, numPartitions=4).select(F.lit(None).cast("long").alias("doc_id"), F.lit("a b c").alias("text"))
+    got = packing.pack(docs, budget=30).select("bucket", "batch", "place")
+    assert got.count() == 6000 == got.distinct().count()
+    written = docs.withColumn("at", F.monotonically_increasing_id())
+    slots = written.groupBy(F.pmod(F.xxhash64("doc_id", "at", F.lit("packing")), F.lit(packing.SLOTS)).alias("slot")).count()
+    assert slots.agg(F.max("count")).first()[0] < 30
+
+
 def padding(bins, cuts):
     return sum(min(c for c in cuts if c >= length) * n - total for length, n, total in bins)
 
