@@ -126,7 +126,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> RuleEnsem
     share = int((1 << 30) * min(1.0, rows / max(1, total)))
     known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share)
     labelled = docs.select("doc_id", "text").join(known, "doc_id")
-    train = materialize(labelled.select("label", statistics(F.col("text")).alias("at")), "quality")
+    # one order of the bounded sample, so that equal input gives the same rules
+    train = labelled.select("label", statistics(F.col("text")).alias("at")).repartition(1)
+    train = materialize(train.sortWithinPartitions("label", F.xxhash64("at")), "quality").coalesce(1)
     classes = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
     if len(classes) < 2:
         return RuleEnsemble(-50.0 if 0.0 in classes else 50.0, [])
@@ -142,7 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> RuleEnsem
         return RuleEnsemble(0.0, [])
     fires = F.array(*[condition(r, F.col("at")).cast("double") for r in rules])
     lasso = LogisticRegression(elasticNetParam=1.0, regParam=PENALTY, maxIter=60, weightCol="weight").fit(
-        materialize(train.select(array_to_vector(fires).alias("features"), "label", "weight"), "rules"))
+        materialize(train.select(array_to_vector(fires).alias("features"), "label", "weight"), "rules").coalesce(1))
     kept = [(r, float(w)) for r, w in zip(rules, lasso.coefficients) if abs(w) > 1e-6]
     return RuleEnsemble(float(lasso.intercept), kept)
 
