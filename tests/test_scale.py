@@ -29,3 +29,19 @@ def test_plural_rule_unchanged(spark):
     df = spark.createDataFrame([(w,) for w in words], "w string")
     got = [r.x for r in df.select(K.plural_rule(F.col("w")).alias("x")).collect()]
     assert got == ["cat", "dog", "glass", "pony", "bus", "as", "box", "is", None, "miss", "s", "house"]
+
+
+DOCS = [(1, "a", ["x", "y", "x"]), (1, "a", ["x", "z"]), (None, "a", ["x"]), (2, "b", []), (3, "b", None),
+        (4, "b", ["y", None, "y", None])]
+
+
+def test_term_counts_hold_no_terms_of_a_task(spark):
+    """term_counts, top_terms_per_class: rows of one key count together."""
+    docs = spark.createDataFrame(DOCS, "doc_id long, label string, tokens array<string>")
+    tf = B.term_counts(docs, carry=("label",), keep_empty=True)
+    assert "term" not in "".join(x for x in plan(tf).split("== Physical Plan ==")[-1].split("\n") if "Aggregate" in x)
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(map(tuple, tf.collect()), key=key) == sorted(
+        [(1, "a", "x", 3), (1, "a", "y", 1), (1, "a", "z", 1), (None, "a", "x", 1), (2, "b", None, 0),
+         (3, "b", None, 0), (4, "b", "y", 2), (4, "b", None, 0)], key=key)
+    assert B.term_counts(docs).filter("doc_id in (2, 3)").count() == 0
