@@ -45,3 +45,16 @@ def test_term_counts_hold_no_terms_of_a_task(spark):
         [(1, "a", "x", 3), (1, "a", "y", 1), (1, "a", "z", 1), (None, "a", "x", 1), (2, "b", None, 0),
          (3, "b", None, 0), (4, "b", "y", 2), (4, "b", None, 0)], key=key)
     assert B.term_counts(docs).filter("doc_id in (2, 3)").count() == 0
+
+
+def test_token_stats_hold_no_words_of_a_task(spark):
+    docs = spark.createDataFrame([(1, "the cat the dog"), (2, "12 34"), (3, "cat"), (3, "dog")],
+                                 "doc_id long, text_clean string")
+    stats = T.token_stats(docs, spark.createDataFrame([("cat",)], "word string"), ["whitespace"])
+    grouped = [x for x in plan(stats).split("== Physical Plan ==")[-1].split("\n") if "Aggregate(keys" in x]
+    assert not any(" w#" in x for x in grouped if "tokenizer#" in x)
+    row = stats.collect()[0]
+    assert math.isclose(row.avg_oov, (0.75 + 0.0 + 0.5) / 3) and math.isclose(row.avg_tokens, 7 / 3)
+    rates = {r.doc_id: r.oov_rate for r in T.oov_rate(
+        T.tokenize_corpus(docs, "whitespace"), spark.createDataFrame([("cat",)], "word string")).collect()}
+    assert rates == {1: 0.75, 2: 0.0, 3: 0.5}
