@@ -58,3 +58,14 @@ def test_token_stats_hold_no_words_of_a_task(spark):
     rates = {r.doc_id: r.oov_rate for r in T.oov_rate(
         T.tokenize_corpus(docs, "whitespace"), spark.createDataFrame([("cat",)], "word string")).collect()}
     assert rates == {1: 0.75, 2: 0.0, 3: 0.5}
+
+
+def test_doc_vectors_broadcast_a_small_table_of_vectors(spark):
+    """The estimate of a derived table is large, its written size small."""
+    wide = spark.range(3000).withColumn("pad", F.array_repeat(F.lit(0.5), 100))
+    vectors = (wide.join(wide.withColumnRenamed("pad", "other"), "id").repartition(2)
+               .select(F.concat(F.lit("w"), "id").alias("word"), F.slice("pad", 1, 2).alias("vector")))
+    docs = spark.createDataFrame([(1, ["w1", "w2", "no"]), (2, [])], "doc_id long, tokens array<string>")
+    out = E.doc_vectors(docs, vectors, 2)
+    assert "known_" in plan(out)
+    assert {r.doc_id: r.doc_vector for r in out.collect()} == {1: [0.5, 0.5], 2: [0.0, 0.0]}
