@@ -69,3 +69,22 @@ def test_doc_vectors_broadcast_a_small_table_of_vectors(spark):
     out = E.doc_vectors(docs, vectors, 2)
     assert "known_" in plan(out)
     assert {r.doc_id: r.doc_vector for r in out.collect()} == {1: [0.5, 0.5], 2: [0.0, 0.0]}
+
+
+def test_nearest_words_meet_in_a_grid(spark):
+    """Zero, missing, short and endless vectors, ties and words with two vectors."""
+    nan, inf = float("nan"), float("inf")
+    rows = [(i, [float((i * 7 + j * 3) % 5 - 2) for j in range(3)]) for i in range(40)]
+    rows += [(100, None), (101, [0.0] * 3), (102, [1.0, None, 2.0]), (103, [nan, 1.0, 1.0]), (104, [inf, 1.0, 0.0]),
+             (105, [1.0, 2.0]), (106, []), (107, [1e-200] * 3), (None, [1.0] * 3), (3, [1.0, 0.0, 0.0])]
+    vectors = spark.createDataFrame(rows, "word long, vector array<double>")
+    near = E.nearest_words(vectors, vectors.select("word"), 4)
+    assert "FlatMapCoGroupsInArrow" in plan(near)
+    a = vectors.filter("word is not null").selectExpr("word term", "vector tv")
+    pairs = a.crossJoin(vectors.selectExpr("word neighbor", "vector nv")).filter("term <> neighbor").select(
+        "term", "neighbor", E.cosine(F.col("tv"), F.col("nv")).alias("s"))
+    pairs.createOrReplaceTempView("pairs")
+    want = spark.sql("""SELECT term, r, neighbor, round(s, 9) s FROM (SELECT *, row_number() OVER (
+        PARTITION BY term ORDER BY round(s, 12) DESC, neighbor) r FROM pairs) WHERE r <= 4""").collect()
+    got = near.selectExpr("term", "rank r", "neighbor", "round(similarity, 9) s").collect()
+    assert sorted(map(str, got)) == sorted(map(str, want))
