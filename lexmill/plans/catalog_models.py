@@ -19,7 +19,6 @@ from lexmill.plans.tables import prepared_documents, table
 from lexmill.session import materialize, shared_folder
 from lexmill.sources import lake
 
-EVERY_TERM = 1 << 20          # a vocabulary that fills this limit is refused
 # Word vectors are averaged over this many parts, on any cluster.
 WORD_VECTOR_PARTITIONS = 8
 
@@ -103,15 +102,12 @@ def preprocess_clean_tokenize(spark, base):
 
 @query
 def count_vectors(spark, base):
-    """Vectors spread out to (doc_id, term, tf); the vocabulary holds every term, or
-    the query fails: no term is dropped unseen."""
+    """Vectors of every term, spread out to (doc_id, term, tf)."""
     docs = prepared_documents(spark, base).select("doc_id", "tokens")
-    model, rows = B.count_vectors(docs, max_features=EVERY_TERM)
-    if len(model.vocabulary) >= EVERY_TERM:
-        raise ValueError(f"more than {EVERY_TERM - 1} terms: use term_counts, which has no limit")
-    names = spark.createDataFrame(list(enumerate(model.vocabulary)), "i int, term string")
+    vocab, rows = B.count_vectors(docs, max_features=None)
     cells = LR.vector_cells(rows.select("doc_id", "features"))
-    return cells.join(names, "i").select("doc_id", "term", F.col("value").cast("long").alias("tf"))
+    return cells.join(vocab.select(F.col("idx").alias("i"), "term"), "i").select(
+        "doc_id", "term", F.col("value").cast("long").alias("tf"))
 
 
 def split_weights(spark: SparkSession, base: str, size: int = MAX_TERMS):

@@ -67,7 +67,7 @@ def test_doc_vectors_broadcast_a_small_table_of_vectors(spark):
                .select(F.concat(F.lit("w"), "id").alias("word"), F.slice("pad", 1, 2).alias("vector")))
     docs = spark.createDataFrame([(1, ["w1", "w2", "no"]), (2, [])], "doc_id long, tokens array<string>")
     out = E.doc_vectors(docs, vectors, 2)
-    assert "known_" in plan(out)
+    assert "known_" in plan(out) and "ObjectHashAggregate" not in plan(out)
     assert {r.doc_id: r.doc_vector for r in out.collect()} == {1: [0.5, 0.5], 2: [0.0, 0.0]}
 
 
@@ -88,3 +88,18 @@ def test_nearest_words_meet_in_a_grid(spark):
         PARTITION BY term ORDER BY round(s, 12) DESC, neighbor) r FROM pairs) WHERE r <= 4""").collect()
     got = near.selectExpr("term", "rank r", "neighbor", "round(similarity, 9) s").collect()
     assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_count_vectors_without_a_limit(spark):
+    docs = spark.createDataFrame([(1, ["a", "b", "a"]), (1, ["c"]), (2, []), (3, ["b", "a"])],
+                                 "doc_id long, tokens array<string>")
+    vocab, rows = B.count_vectors(docs, max_features=None)
+    assert {(r.term, r.idx, r.cf, r.df) for r in vocab.collect()} == {("a", 0, 3, 2), ("b", 1, 2, 2), ("c", 2, 1, 1)}
+    assert sorted((r.doc_id, r.features.toArray().tolist()) for r in rows.collect()) == [
+        (1, [0, 0, 1]), (1, [2, 1, 0]), (2, [0, 0, 0]), (3, [1, 1, 0])]
+    many = spark.range(5000).selectExpr("id doc_id", "array(concat('t', id), concat('u', id % 700)) tokens")
+    vocab, rows = B.count_vectors(many, max_features=None)
+    assert sorted(r.idx for r in vocab.collect()) == list(range(5700))
+    assert rows.first().features.size == 5700
+    assert B.count_vectors(many, max_features=10)[0].count() == 10
+    assert B.count_vectors(many, max_features=None, min_df=2)[0].count() == 700
