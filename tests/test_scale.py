@@ -5,7 +5,7 @@ import math
 from pyspark.sql import functions as F
 
 from lexmill.functions import cleaning as C, tokenizers as K
-from lexmill.operators import bow as B, embeddings as E, tokenizing as T
+from lexmill.operators import bow as B, embeddings as E, retrieval as RT, tokenizing as T
 
 
 def plan(df):
@@ -103,3 +103,27 @@ def test_count_vectors_without_a_limit(spark):
     assert rows.first().features.size == 5700
     assert B.count_vectors(many, max_features=10)[0].count() == 10
     assert B.count_vectors(many, max_features=None, min_df=2)[0].count() == 700
+
+
+def test_similar_docs_write_no_touched_pairs(spark):
+    """similar_docs, neighbor_label_agreement: one common term touches every pair."""
+    rows = [(i, "x", "all", 0.1) for i in range(300)] + [
+        (i, "x", f"t{i // 3}", 0.5 + (i % 7) / 100) for i in range(300)] + [(7, "x", "all", 0.05)]
+    corpus = spark.createDataFrame(rows, "doc_id long, label string, term string, w double")
+    queries = corpus.filter("doc_id % 20 = 0").selectExpr("doc_id query_id", "term", "w")
+    hits = RT.similar_docs(queries, corpus, 3)
+    sums = {}
+    for q, t, wq in queries.collect():
+        for d, _, u, w in rows:
+            if t == u and d != q:
+                sums[q, d] = sums.get((q, d), 0.0) + wq * w
+    want = set()
+    for q in {q for q, _ in sums}:
+        best = sorted((-round(s, 12), d) for (p, d), s in sums.items() if p == q)[:3]
+        want |= {(q, r + 1, d) for r, (_, d) in enumerate(best)}
+    assert {(r.query_id, r["rank"], r.doc_id) for r in hits.collect()} == want
+    cuts = spark.createDataFrame([(0, "all", 0.1, 0.0, 0.0, 0.0), (0, "t0", 0.5, 0.0, 0.0, 0.0)],
+                                 "query_id long, term string, wq double, cut double, hidden double, floor double")
+    assert RT._open(cuts, corpus, 3, True).filter("score > 0.2").count() == 2
+    assert RT._open(cuts, corpus.filter("doc_id < 3"), 3, True).count() == 2
+    assert "FlatMapCoGroupsInArrow" in plan(RT._open(cuts, corpus, 3, True))
