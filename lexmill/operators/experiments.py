@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from lexmill.functions.tokenizers import (TOKENIZERS, min_token_length, plural_rule,
                                           remove_stopwords, tokenize_vectorizer)
 from lexmill.functions.wordlists import CLASSES, stopwords
-from lexmill.operators import bayes as NB, bow as B, logistic as LR, metrics as M, tfidf as TF
+from lexmill.operators import bayes as NB, bow as B, logistic as LR, metrics as M
 from lexmill.operators.dimensions import minmax_scale
 from lexmill.operators.normalizing import distinct_words, normalize_via_vocab, stem_vocab
-from lexmill.plans.layout import by_document
+from lexmill.plans.layout import broadcast_if_bounded
 from lexmill.session import materialize
 
 PROMOTION_GAIN = 0.01
@@ -64,86 +64,130 @@ def config_documents(docs: DataFrame, config: Config) -> DataFrame:
     return bare.select(*keep, tokenize_vectorizer(F.array_join("tokens", " ")).alias("tokens"))
 
 
-def _predict(docs: DataFrame, config: Config, classes: Sequence[str]) -> DataFrame:
-    """Test predictions of logistic regression on one configuration."""
-    carry, size = ("label", "is_test"), config.max_features
-    tf = B.term_counts(docs, carry=carry, keep_empty=True)
-    known = tf.filter(F.col("term").isNotNull())
-    fitted = materialize(TF.fit_tfidf(known, B.document_count(docs), max_features=size), "fitted")
-    w = TF.transform_tfidf(tf, fitted, carry=carry, max_features=size, keep_unknown=True)
-    vectors = LR.sparse_vectors(w, size, carry)
-    scored = LR.lr_score(LR.lr_fit(vectors.filter(~F.col("is_test")), classes=classes),
-                         vectors.filter("is_test"), classes)
-    return scored.select(F.lit(config.name).alias("config_name"), "label", "prediction",
-                         *[f"p_{c}" for c in classes])
-
-
 def _variant(config: Config) -> str:
     return f"{config.stopwords} {config.normalization} {config.min_token_len}"
 
 
-def _variant_counts(docs: DataFrame, configs: Sequence[Config]) -> DataFrame:
-    """(variant, doc_id, label, is_test, term, tf); a null term, tf 0, for every document.
+def _variants(configs: Sequence[Config]) -> dict[str, tuple[int, list[int]]]:
+    """Number and vocabulary sizes of every variant: configurations that differ in
+    vocabulary size only are one."""
+    names = list(dict.fromkeys(map(_variant, configs)))
+    return {v: (i, sorted({c.max_features for c in configs if _variant(c) == v})) for i, v in enumerate(names)}
+
+
+def _forms(words: DataFrame, configs: Sequence[Config]) -> DataFrame:
+    """(word, variant, term, times) of distinct words (word, …), as a written table.
 
     A configuration treats each token on its own, so its terms are worked out once
-    for each distinct word, and words are counted per document before they meet them.
+    for each distinct word.
     """
-    carry = ("doc_id", "label", "is_test")
-    word = F.explode(F.concat("tokens", F.array(F.lit(None).cast("string")))).alias("word")
-    words = materialize(docs.select(*carry, word).groupBy(*carry, "word")
-                        .agg(F.count("word").alias("n")), "words", "doc_id")
-    alone = materialize(words.filter(F.col("word").isNotNull()).select("word").distinct().select(
-        F.col("word").alias("doc_id"), F.lit("").alias("label"), F.lit(False).alias("is_test"),
-        F.array("word").alias("tokens")), "alone")
-    variants = {_variant(c): c for c in configs}
-    forms = [config_documents(alone, c).select(F.col("doc_id").alias("word"), F.lit(v).alias("variant"),
-                                               F.explode("tokens").alias("term"))
-             for v, c in variants.items()]
-    forms = materialize(reduce(DataFrame.unionByName, forms).groupBy("word").agg(
-        F.collect_list(F.struct("variant", "term")).alias("forms")), "forms")
-    absent = F.array(*[F.struct(F.lit(v).alias("variant"), F.lit(None).cast("string").alias("term"))
-                       for v in variants])
-    found = F.when(F.col("word").isNull(), absent).otherwise(F.col("forms"))
-    return (words.join(forms, "word", "left").select(*carry, "n", F.explode(found).alias("x"))
-            .groupBy(*carry, "x.variant", "x.term").agg(F.sum("n").alias("tf")))
-
-
-def _variant_weights(docs: DataFrame, configs: Sequence[Config]) -> DataFrame:
-    """(variant, doc_id, label, is_test, term, rank, w_<size>…), as a written table.
-
-    Configurations that differ in vocabulary size only are one variant: its terms
-    are counted and ranked once, and each size has a weight column of its own,
-    null beyond its rank.  A document without a known term keeps a row.
+    alone = words.select(F.col("word").alias("doc_id"), F.lit("").alias("label"), F.lit(False).alias("is_test"),
+                         F.array("word").alias("tokens"))
+    known = {_variant(c): c for c in configs}
+    forms = [config_documents(alone, known[v]).select(
+        F.col("doc_id").alias("word"), F.lit(i).alias("variant"), F.explode("tokens").alias("term"))
+        for v, (i, _) in _variants(configs).items()]
+    return materialize(reduce(DataFrame.unionByName, forms).groupBy("word", "variant", "term").agg(
+        F.count(F.lit(1)).alias("times")), "forms")
+
+
+def _variant_terms(words: DataFrame, forms: DataFrame, configs: Sequence[Config]) -> DataFrame:
+    """(variant, term, rank): the most frequent terms of every variant, ties by term,
+    up to its largest vocabulary.  `words` has the counts of the distinct words."""
+    totals = materialize(forms.join(words, "word").groupBy("variant", "term").agg(
+        F.sum(F.col("times") * F.col("n")).alias("cf")), "totals")
+    order = [F.desc("cf"), F.asc("term")]
+    tops = [totals.filter(F.col("variant") == i).orderBy(*order).limit(sizes[-1])
+            .select("variant", "term", F.row_number().over(W.partitionBy().orderBy(*order)).alias("rank"))
+            for i, sizes in _variants(configs).values()]
+    return materialize(reduce(DataFrame.unionByName, tops), "terms")
+
+
+def _variant_weights(counts: DataFrame, configs: Sequence[Config],
+                     n_docs: Sequence[Column]) -> tuple[DataFrame, DataFrame]:
+    """Weights (variant, doc_id, label, is_test, rank, raw, norm_<size>…) and terms
+    (variant, rank, idx_<size>…), as written tables, of counted documents.
+
+    Terms are numbered by rank, and only those some vocabulary can hold meet the
+    documents.  The weight at one size is raw / norm_<size> up to that rank.  A
+    document has a row without a rank in each variant.  `n_docs` are the numbers of
+    documents by variant.
     """
-    carry, sizes = ("label", "is_test"), sorted({c.max_features for c in configs})
-    tf = materialize(_variant_counts(docs, configs), "variants", "doc_id")
-    order = W.partitionBy("variant").orderBy(F.desc("cf"), "term")
-    n = B.document_count(docs).cast("double")
-    ranked = (tf.filter(F.col("term").isNotNull()).groupBy("variant", "term")
-              .agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df"))
-              .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= sizes[-1]))
-    vocab = materialize(ranked.select("variant", "term", "rank", (
-        F.ln((1 + n) / (1 + F.col("df").cast("double"))) + 1).alias("idf")), "vocab")
-    raw = tf.join(vocab, ["variant", "term"], "left").withColumn(
+    carry, variants = ("label", "is_test"), _variants(configs)
+    sizes, rows = sorted({c.max_features for c in configs}), sum(v[1][-1] for v in variants.values())
+    inside = B.unfolded(counts).withColumnRenamed("term", "word")
+    words = materialize(inside.filter(F.col("word").isNotNull()).groupBy("word").agg(F.sum("tf").alias("n")), "alone")
+    forms = _forms(words, configs)
+    terms = _variant_terms(words, forms, configs)
+    known = materialize(forms.join(terms, ["variant", "term"]).groupBy("word").agg(
+        F.collect_list(F.struct("variant", "rank", "times")).alias("forms")), "known")
+    cells = materialize(
+        inside.join(known, "word").select("doc_id", *carry, "tf", F.inline("forms"))
+        .groupBy("doc_id", *carry, "variant", "rank").agg(F.sum(F.col("tf") * F.col("times")).alias("tf")),
+        "cells", "doc_id")
+    n = F.get(F.array(*n_docs), F.col("variant")).cast("double")
+    dfs = cells.groupBy("variant", "rank").agg(F.count(F.lit(1)).alias("df"))
+    by_term = W.partitionBy("variant").orderBy("term")
+
+    def index(size: int) -> Column:
+        held = F.col("rank") <= size
+        return F.when(held, F.sum(held.cast("int")).over(by_term) - 1).cast("int").alias(f"idx_{size}")
+
+    vocab = materialize(terms.join(dfs, ["variant", "rank"]).select(
+        "variant", "rank", (F.ln((1 + n) / (1 + F.col("df").cast("double"))) + 1).alias("idf"),
+        *[index(s) for s in sizes]), "vocab")
+    whole = counts.select("doc_id", *carry, F.explode(F.array(*[F.lit(i) for i, _ in variants.values()])).alias("variant"),
+                          F.lit(None).cast("int").alias("rank"), F.lit(0).cast("long").alias("tf"))
+    idf = broadcast_if_bounded(vocab.select("variant", "rank", "idf"), rows)
+    raw = cells.unionByName(whole).join(idf, ["variant", "rank"], "left").withColumn(
         "raw", (1 + F.ln(F.greatest("tf", F.lit(1)))) * F.col("idf"))
-    inside = W.partitionBy("doc_id", "variant")
+    same = W.partitionBy("doc_id", "variant")
 
-    def weight(size: int) -> Column:
+    def norm(size: int) -> Column:
         x = F.when(F.col("rank") <= size, F.col("raw"))
-        return (x / F.sqrt(F.sum(x * x).over(inside))).alias(f"w_{size}")
-
-    return materialize(raw.select("variant", "doc_id", *carry, "term", "rank",
-                                  *[weight(s) for s in sizes]), "weights", "doc_id")
-
-
-def _bayes_runs(docs: DataFrame, configs: Sequence[Config], classes: Sequence[str]) -> DataFrame:
+        return F.sqrt(F.sum(x * x).over(same)).alias(f"norm_{size}")
+
+    weights = raw.select("variant", "doc_id", *carry, "rank", "raw", *[norm(s) for s in sizes])
+    return materialize(weights, "weights", "doc_id"), vocab
+
+
+def _weight(size: int) -> Column:
+    """Weight of a term at one vocabulary size, null beyond it."""
+    return F.when(F.col("rank") <= size, F.col("raw") / F.col(f"norm_{size}"))
+
+
+def _logistic_runs(docs: DataFrame, counts: DataFrame, configs: Sequence[Config],
+                   classes: Sequence[str]) -> DataFrame:
+    """Test predictions of logistic regression, one fit a configuration, on weights
+    worked out for all configurations together."""
+    carry, variants = ("label", "is_test"), _variants(configs)
+    each, merged = B.document_count(docs), B.document_count(counts)
+    stems = {_variant(c): c.normalization == "stem" for c in configs}
+    weights, vocab = _variant_weights(counts, configs, [merged if stems[v] else each for v in variants])
+    runs = []
+    for c in configs:
+        i, size = variants[_variant(c)][0], c.max_features
+        at = vocab.filter((F.col("variant") == i) & (F.col("rank") <= size)).select(
+            "rank", F.col(f"idx_{size}").alias("idx"))
+        rows = weights.filter(F.col("variant") == i).select("doc_id", *carry, "rank", _weight(size).alias("w"))
+        vectors = LR.sparse_vectors(rows.join(broadcast_if_bounded(at, size), "rank", "left"), size, carry)
+        scored = LR.lr_score(LR.lr_fit(vectors.filter(~F.col("is_test")), classes=classes),
+                             vectors.filter("is_test"), classes)
+        runs.append(scored.select(F.lit(c.name).alias("config_name"), "label", "prediction",
+                                  *[f"p_{x}" for x in classes]))
+    return reduce(DataFrame.unionByName, runs)
+
+
+def _bayes_runs(docs: DataFrame, counts: DataFrame, configs: Sequence[Config],
+                classes: Sequence[str]) -> DataFrame:
     """Test predictions of Naive Bayes (strength 1) for all configurations together:
     one aggregate of class sums, one join and one pass of scores."""
-    rows = _variant_weights(docs, configs)
+    variants = _variants(configs)
+    rows, _ = _variant_weights(counts, configs, [B.document_count(docs)] * len(variants))
     cells = [(s, c) for s in sorted({c.max_features for c in configs}) for c in classes]
     train = ~F.col("is_test")
-    sums = rows.filter(F.col("rank").isNotNull()).groupBy("variant", "term", "rank").agg(*[
-        F.coalesce(F.sum(F.when(train & (F.col("label") == c), F.col(f"w_{s}"))), F.lit(0.0)).alias(f"s_{s}_{c}")
+    sums = rows.filter(F.col("rank").isNotNull()).groupBy("variant", "rank").agg(*[
+        F.coalesce(F.sum(F.when(train & (F.col("label") == c), _weight(s))), F.lit(0.0)).alias(f"s_{s}_{c}")
         for s, c in cells])
     whole = W.partitionBy("variant")
 
@@ -152,14 +196,15 @@ def _bayes_runs(docs: DataFrame, configs: Sequence[Config], classes: Sequence[st
         total = F.sum(mass).over(whole) + F.sum(known.cast("long")).over(whole)
         return F.when(known, F.ln((mass + 1) / total)).alias(f"ll_{size}_{c}")
 
-    params = materialize(sums.select("variant", "term", *[log_share(s, c) for s, c in cells]), "shares")
-    scored = (rows.filter("is_test").join(params, ["variant", "term"], "left")
+    params = materialize(sums.select("variant", "rank", *[log_share(s, c) for s, c in cells]), "shares")
+    bound = sum(v[1][-1] for v in variants.values())
+    scored = (rows.filter("is_test").join(broadcast_if_bounded(params, bound), ["variant", "rank"], "left")
               .groupBy("doc_id", "variant", "label").agg(*[
-                  F.coalesce(F.sum(F.col(f"w_{s}") * F.col(f"ll_{s}_{c}")), F.lit(0.0)).alias(f"lp_{s}_{c}")
+                  F.coalesce(F.sum(_weight(s) * F.col(f"ll_{s}_{c}")), F.lit(0.0)).alias(f"lp_{s}_{c}")
                   for s, c in cells])
               .withColumn("prior", NB.nb_priors(docs.filter(train), classes)))
     runs = F.filter(F.array(*[F.struct(
-        F.lit(x.name).alias("config_name"), F.lit(_variant(x)).alias("of"),
+        F.lit(x.name).alias("config_name"), F.lit(variants[_variant(x)][0]).alias("of"),
         *[(F.col(f"lp_{x.max_features}_{c}") + F.col(f"prior.{c}")).alias(f"lp_{c}") for c in classes])
         for x in configs]), lambda r: r["of"] == F.col("variant"))
     long = scored.select("label", F.explode(runs).alias("r")).select("label", "r.*")
@@ -171,17 +216,15 @@ def ablation(docs: DataFrame, configs: Sequence[Config] = CONFIGS, model: str =
              classes: Sequence[str] = CLASSES) -> DataFrame:
     """Parameters and metrics of every configuration, one row each.
 
-    `docs` is (doc_id, label, is_test, text_clean).  Texts are tokenized once
-    into a written table; predictions are written once and read per metric.
-    Naive Bayes fits and scores all configurations together.
+    `docs` is (doc_id, label, is_test, text_clean).  Texts are tokenized and their
+    words counted once, into a written table; terms and weights of all configurations
+    are worked out together.  Predictions are written once and read per metric.
     """
-    shared = materialize(by_document(docs).select(
-        "doc_id", "label", "is_test",
-        TOKENIZERS["contractions"](F.col("text_clean")).alias("tokens")), "ablation", "doc_id")
-    if model == "logistic":
-        runs = reduce(DataFrame.unionByName, [_predict(config_documents(shared, c), c, classes) for c in configs])
-    else:
-        runs = _bayes_runs(shared, configs, classes)
+    counts = B.counted_documents(docs.select(
+        "doc_id", "label", "is_test", TOKENIZERS["contractions"](F.col("text_clean")).alias("tokens")),
+        carry=("label", "is_test"), name="ablation")
+    run = _logistic_runs if model == "logistic" else _bayes_runs
+    runs = run(B.document_rows(counts), counts, configs, classes)
     scores = materialize(runs, "predictions")
     params = docs.sparkSession.createDataFrame(
         [(c.name, c.stopwords, c.normalization, c.min_token_len, c.max_features) for c in configs],
