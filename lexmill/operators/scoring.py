@@ -47,14 +47,14 @@ def fit_scoring_model(docs: DataFrame, max_features: int = B.MAX_FEATURES,
     text_clean), written as tables.
 
     The explaining coefficients of Naive Bayes are its log likelihoods, centred
-    over the classes.
+    over the classes.  Texts are read once: their counted terms are written.
     """
-    tokens = materialize(docs.select("doc_id", "label", text_tokens(F.col("text_clean")).alias("tokens")),
-                         "model_tokens", "doc_id")
-    keep_empty = kind == "logistic"
-    tf = B.term_counts(tokens, carry=("label",), keep_empty=keep_empty)
+    counts = B.counted_documents(docs.select("doc_id", "label", text_tokens(F.col("text_clean")).alias("tokens")),
+                                 carry=("label",), name="model_counts")
+    rows, keep_empty = B.document_rows(counts), kind == "logistic"
+    tf = B.unfolded(counts, keep_empty)
     known = tf.filter(F.col("term").isNotNull())
-    fitted = materialize(TF.fit_tfidf(known, B.document_count(tokens), max_features=max_features), "fitted")
+    fitted = materialize(TF.fit_tfidf(known, B.document_count(rows), max_features=max_features), "fitted")
     w = TF.transform_tfidf(tf, fitted, carry=("label",), max_features=max_features, keep_unknown=keep_empty)
     if kind == "logistic":
         model = LR.lr_fit(LR.sparse_vectors(w, max_features, ("label",)), classes=classes)
@@ -66,7 +66,7 @@ def fit_scoring_model(docs: DataFrame, max_features: int = B.MAX_FEATURES,
     coefs = [(F.col(f"ll_{c}") - mean).alias(f"coef_{c}") for c in classes]
     params = fitted.select("term", "idx", "idf").join(loglik, "term").select(
         "term", "idx", "idf", *[f"ll_{c}" for c in classes], *coefs)
-    one = tokens.agg(F.lit(1).alias("one")).select(NB.nb_priors(tokens, classes).alias("p"))
+    one = rows.agg(F.lit(1).alias("one")).select(NB.nb_priors(rows, classes).alias("p"))
     return ScoringModel(materialize(params, "params"), materialize(one, "priors"), max_features, tuple(classes))
 
 
