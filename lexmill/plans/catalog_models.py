@@ -15,7 +15,7 @@ from lexmill.operators import (bow as B, corpus as D, dimensions as X, embedding
 from lexmill.plans.catalog import (MAX_TERMS, nb_alpha_sweep, query, split_documents,
                                    vectors as embedding_vectors)
 from lexmill.plans.layout import spread
-from lexmill.plans.tables import prepared_documents, table
+from lexmill.plans.tables import clean_documents, prepared_documents, table
 from lexmill.session import materialize, shared_folder
 from lexmill.sources import lake
 
@@ -111,11 +111,11 @@ def count_vectors(spark, base):
 
 
 def split_weights(spark: SparkSession, base: str, size: int = MAX_TERMS):
-    docs = split_documents(spark, base)
     carry = ("label", "is_test")
-    tf = B.term_counts(docs, carry=carry, keep_empty=True)
-    fitted = materialize(TF.fit_tfidf(tf.filter(F.col("term").isNotNull()), B.document_count(docs),
-                                      max_features=size), "fitted")
+    counts = B.counted_documents(split_documents(spark, base), carry=carry, name="split_counts")
+    tf = B.unfolded(counts, keep_empty=True)
+    n = B.document_count(B.document_rows(counts))
+    fitted = materialize(TF.fit_tfidf(tf.filter(F.col("term").isNotNull()), n, max_features=size), "fitted")
     return fitted, TF.transform_tfidf(tf, fitted, carry=carry, max_features=size, keep_unknown=True)
 
 
@@ -165,8 +165,12 @@ def concat_features(spark, base):
 
 def scored_by_lr(spark: SparkSession, base: str):
     fitted, vectors = split_vectors(spark, base)
+    return fitted, *fit_and_score(vectors)
+
+
+def fit_and_score(vectors: DataFrame):
     model = LR.lr_fit(vectors.filter(~F.col("is_test")))
-    return fitted, model, LR.lr_score(model, vectors.filter("is_test"))
+    return model, LR.lr_score(model, vectors.filter("is_test"))
 
 
 @query
@@ -220,8 +224,8 @@ def lr_score(spark, base):
 
 @query
 def lr_explain_scores(spark, base):
-    fitted, model, scored = scored_by_lr(spark, base)
-    _, w = split_weights(spark, base)
+    fitted, w = split_weights(spark, base)
+    model, scored = fit_and_score(LR.sparse_vectors(w, MAX_TERMS))
     return LR.explain_scores(w.filter("is_test"), LR.coefficients(model, fitted), scored)
 
 
@@ -347,7 +351,7 @@ def conversations(spark: SparkSession, base: str) -> DataFrame:
 
 
 def scoring_model(spark: SparkSession, base: str) -> G.ScoringModel:
-    return G.fit_scoring_model(prepared_documents(spark, base), MAX_TERMS)
+    return G.fit_scoring_model(clean_documents(spark, base), MAX_TERMS)
 
 
 @query
@@ -364,10 +368,9 @@ def score_texts(spark, base):
 def score_texts_logistic(spark, base):
     """Scores by a logistic model that was saved and loaded."""
     path = f"{shared_folder(spark)}/logistic_{uuid.uuid4().hex}"
-    _, model, _ = scored_by_lr(spark, base)
+    fitted, model, _ = scored_by_lr(spark, base)
     lake.save_model_tables(path, "v1", {}, {"lr": model})
     loaded = lake.load_model(path, "v1", "lr", LogisticRegressionModel)
-    fitted = split_weights(spark, base)[0]
     scored = G.score_texts(conversations(spark, base), G.logistic_scoring_model(loaded, fitted, MAX_TERMS))
     return scored.select("doc_id", "prediction", "confidence",
                          *[F.element_at("class_probabilities", c).alias(f"p_{c}") for c in CLASSES])
