@@ -10,7 +10,9 @@
    its lexicographic ordinal, and an ordinal leads back to its term.
 3. The texts are streamed through the transducers, which count the kept terms of
    every (language, source) by ordinal.  Transducers reach the tasks in rounds of
-   ROUND_BYTES at most; more vocabulary takes more rounds over the texts.
+   ROUND_BYTES at most; more vocabulary takes more rounds over the texts.  A task
+   hands on its counts as one row a block of ordinals, not one a term, and the rows
+   of a block are summed where they meet.
 4. Blocks of ordinals hold the counts of all sources of a language.  Each block
    gives partial sums of the divergence of every two sources, and per source its
    best terms; equal values are ordered by ordinal.
@@ -156,20 +158,20 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     """(lang, term, docs) of (lang, text), partial sums."""
     held: dict[str, Counter] = {}
 
-    def out() -> pa.RecordBatch:
-        rows = [(lang, term, n) for lang, found in held.items() for term, n in found.items()]
+    def out() -> Iterator[pa.RecordBatch]:
+        for lang, found in held.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.repeat(lang, len(found)), pa.array(list(found), pa.binary()).cast(pa.string()),
+                 pa.array(np.fromiter(found.values(), dtype=np.int64, count=len(found)))],
+                names=["lang", "term", "docs"])
         held.clear()
-        lang, term, n = zip(*rows) if rows else ((), (), ())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(lang, pa.string()), pa.array(term, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())],
-            names=["lang", "term", "docs"])
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), binary_texts(batch.column(1))):
             held.setdefault(lang, Counter()).update(set(terms(text)))
             if sum(map(len, held.values())) > _HELD:
-                yield out()
-    yield out()
+                yield from out()
+    yield from out()
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,8 +262,54 @@ def _rounds(shards: DataFrame, round_bytes: int) -> Iterator[tuple]:
                [(lang, at, at + n) for lang, _, at, n in mine])
 
 
-def _recount(held_round):
-    """(lang, source, ordinal, n) of (lang, source, text), partial sums."""
+#: How often a source has the terms of a block of `width` ordinals: their places in it
+#: (32-bit), ascending, their counts (64-bit), and the sum of these.
+_COUNTS = "lang string, block long, width long, source string, places binary, counts binary, total long"
+
+
+def _packed(lang: str, source: str, ordinals: np.ndarray, counts: np.ndarray, width: int) -> pa.RecordBatch:
+    """_COUNTS of ascending ordinals."""
+    blocks, places = np.divmod(ordinals, width)
+    starts = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]])
+    ends = np.r_[starts, len(blocks)]
+
+    def binary(values: np.ndarray) -> pa.Array:
+        return pa.Array.from_buffers(pa.binary(), len(starts), [
+            None, pa.py_buffer((ends * values.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+    return pa.RecordBatch.from_arrays(
+        [pa.repeat(lang, len(starts)), pa.array(blocks[starts]), pa.repeat(pa.scalar(width, pa.int64()), len(starts)),
+         pa.repeat(source, len(starts)), binary(places.astype(np.int32)), binary(counts),
+         pa.array(np.add.reduceat(counts, starts))],
+        names=["lang", "block", "width", "source", "places", "counts", "total"])
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """_COUNTS sorted by language and block, one row for each source of a block."""
+    held: dict[str, np.ndarray] = {}
+    of = None
+
+    def out() -> Iterator[pa.RecordBatch]:
+        lang, block, width = of
+        for source, n in held.items():
+            places = np.flatnonzero(n)
+            yield _packed(lang, source, places + block * width, n[places], width)
+
+    for batch in batches:
+        for lang, block, width, source, places, counts in zip(*(c.to_pylist() for c in batch.columns[:6])):
+            if (lang, block, width) != of:
+                if held:
+                    yield from out()
+                of, held = (lang, block, width), {}
+            if source not in held:
+                held[source] = np.zeros(width, dtype=np.int64)
+            held[source][np.frombuffer(places, dtype=np.int32)] += np.frombuffer(counts, dtype=np.int64)
+    if held:
+        yield from out()
+
+
+def _recount(held_round, widths: dict[str, int]):
+    """_COUNTS of (lang, source, text), partial sums."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Round(held_round.value)
         held: dict[tuple, Counter] = {}
@@ -269,9 +317,9 @@ def _recount(held_round):
         def out() -> Iterator[pa.RecordBatch]:
             for (lang, source), counted in held.items():
                 places, counts = known.ordinals(lang, counted)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.repeat(lang, len(places)), pa.repeat(source, len(places)), pa.array(places), pa.array(counts)],
-                    names=["lang", "source", "ordinal", "n"])
+                order = np.argsort(places)
+                if len(order):
+                    yield _packed(lang, source, places[order], counts[order], widths[lang])
             held.clear()
 
         size = 0
@@ -289,17 +337,21 @@ def _recount(held_round):
     return run
 
 
-def counts_by_source(docs: DataFrame, shards: DataFrame, round_bytes: int = ROUND_BYTES) -> DataFrame:
-    """(lang, source, ordinal, n): how often a source has each kept term."""
+def counts_by_source(docs: DataFrame, shards: DataFrame, widths: DataFrame,
+                     round_bytes: int = ROUND_BYTES) -> DataFrame:
+    """_COUNTS: how often a source has each kept term.  `widths` are the widths of the
+    blocks by language; a task holds one block of counts at a time when it sums."""
     texts, parts = _texts(docs), []
-    for rows, _ in _rounds(shards, round_bytes):
-        parts.append(texts.mapInArrow(_recount(rows), "lang string, source string, ordinal long, n long"))
+    wide = {r.lang: r.width for r in widths.join(shards.select("lang").distinct(), "lang").collect()}
+    for rows, covered in _rounds(shards, round_bytes):
+        parts.append(texts.mapInArrow(_recount(rows, {lang: wide[lang] for lang, *_ in covered}), _COUNTS))
     if not parts:
-        return docs.sparkSession.createDataFrame([], "lang string, source string, ordinal long, n long")
+        return docs.sparkSession.createDataFrame([], _COUNTS)
     found = parts[0]
     for part in parts[1:]:
         found = found.union(part)
-    return materialize(found.groupBy("lang", "source", "ordinal").agg(F.sum("n").alias("n")), "term_counts")
+    met = found.repartition("lang", "block").sortWithinPartitions("lang", "block")
+    return materialize(met.mapInArrow(_summed, _COUNTS), "term_counts")
 
 
 def _share(n: np.ndarray, total: int | np.ndarray) -> np.ndarray:
@@ -320,9 +372,9 @@ _FOUND = pa.schema([("lang", pa.string()), ("source", pa.string()), ("other", pa
 def _block(key, table):
     """Divergences of one block of ordinals of one language: a row of every two
     sources and the TOP rows (source, ordinal) of each source.  Rows whose
-    `place` is null list the sources with their totals."""
+    `places` is null list the sources with their totals."""
     rows = table.to_pydict()
-    listed = [i for i, at in enumerate(rows["place"]) if at is None]
+    listed = [i for i, at in enumerate(rows["places"]) if at is None]
     listed.sort(key=lambda i: rows["source"][i].encode())
     names = [rows["source"][i] for i in listed]
     at = {name: i for i, name in enumerate(names)}
@@ -331,9 +383,9 @@ def _block(key, table):
     totals = np.array([rows["total"][i] for i in listed], dtype=np.int64)
     size = max(0, min(width, vocabulary_size - start))
     n = np.zeros((len(names), size), dtype=np.int64)
-    for source, place, count in zip(rows["source"], rows["place"], rows["n"]):
-        if place is not None:
-            n[at[source], place] = count
+    for source, places, counts in zip(rows["source"], rows["places"], rows["counts"]):
+        if places is not None:
+            n[at[source], np.frombuffer(places, dtype=np.int32)] = np.frombuffer(counts, dtype=np.int64)
     out = []
 
     def add(source, other, ordinal, value):
@@ -378,27 +430,24 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, round_bytes: int = ROUND_BY
     terms that a source has more of than its language, with their part of the
     divergence from it."""
     shards = vocabulary(docs, min_docs)
-    counts = counts_by_source(docs, shards, round_bytes)
     sources = _texts(docs).select("lang", "source").distinct()
-    totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    sizes = shards.groupBy("lang").agg(F.sum("terms").alias("v"))
     by_lang = Window.partitionBy("lang")
+    sources = materialize(sources.withColumn("width", F.greatest(F.lit(1), F.least(
+        F.lit(block_terms), F.floor(F.lit(BLOCK_CELLS) / F.count(F.lit(1)).over(by_lang))))), "sources")
+    widths = sources.select("lang", "width").distinct()
+    counts = counts_by_source(docs, shards, widths, round_bytes)
+    totals = counts.groupBy("lang", "source").agg(F.sum("total").alias("total"))
+    sizes = shards.groupBy("lang").agg(F.sum("terms").alias("v"))
     groups = (sources.join(totals, ["lang", "source"], "left").join(sizes, "lang", "left")
-              .fillna(0, ["total", "v"])
-              .withColumn("all", F.sum("total").over(by_lang))
-              .withColumn("width", F.greatest(F.lit(1), F.least(
-                  F.lit(block_terms), F.floor(F.lit(BLOCK_CELLS) / F.count(F.lit(1)).over(by_lang))))))
+              .fillna(0, ["total", "v"]).withColumn("all", F.sum("total").over(by_lang)))
     groups = materialize(groups, "source_totals")
     last = F.greatest(F.lit(0), F.ceil(F.col("v") / F.col("width")) - 1).cast("long")
-    none = F.lit(None).cast("long")
+    none, no_cells = F.lit(None).cast("long"), F.lit(None).cast("binary")
     heads = groups.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), last))).select(
-        "lang", "block", "source", none.alias("place"), none.alias("n"), "total", "all", "v",
+        "lang", "block", "source", no_cells.alias("places"), no_cells.alias("counts"), "total", "all", "v",
         (F.col("block") * F.col("width")).alias("start"), "width")
-    widths = groups.select("lang", "width").distinct()
-    cells = counts.join(widths, "lang").select(
-        "lang", F.floor(F.col("ordinal") / F.col("width")).alias("block"), "source",
-        (F.col("ordinal") % F.col("width")).alias("place"), "n", none.alias("total"), none.alias("all"),
-        none.alias("v"), none.alias("start"), none.alias("width"))
+    cells = counts.select("lang", "block", "source", "places", "counts", none.alias("total"), none.alias("all"),
+                          none.alias("v"), none.alias("start"), none.alias("width"))
     found = materialize(heads.union(cells).groupBy("lang", "block").applyInArrow(
         _block, "lang string, source string, other string, ordinal long, value long"), "divergence")
     order = Window.partitionBy("lang", "source")

@@ -251,3 +251,17 @@ def test_transducers_are_minimal_and_lead_both_ways():
 def test_shares_beyond_64_bits():
     n, total = np.array([0, 10**12]), 10**13
     assert divergence._share(n, total).tolist() == [1 + 10**9 * (x + 2) // total for x in n.tolist()]
+
+
+def test_counts_travel_as_one_row_a_block(spark):
+    """op13_source_divergence: tasks hand on rows of a source and a block, and a block's rows are summed."""
+    words = [f"{a}{b}" for a in "bcdfg" for b in "aeiou"]
+    rows = [(i, " ".join(words), "en", f"s{i % 2}") for i in range(40)]
+    docs = frame(spark, rows).repartition(4)
+    widths = spark.createDataFrame([("en", 10), ("fr", 10)], "lang string, width long")
+    got = divergence.counts_by_source(docs, divergence.vocabulary(docs, 1), widths).collect()
+    assert len(got) == 3 * 2                          # 25 terms, 2 sources; 50 rows of one term before
+    assert {(r.block, r.source, r.total) for r in got} == {(b, s, n * 20) for b, n in enumerate((10, 10, 5)) for s in ("s0", "s1")}
+    cells = [(r.block * r.width + at, r.source, n) for r in got
+             for at, n in zip(np.frombuffer(r.places, np.int32), np.frombuffer(r.counts, np.int64))]
+    assert sorted(cells) == [(i, s, 20) for i in range(25) for s in ("s0", "s1")]
