@@ -49,8 +49,7 @@ def fit_scoring_model(docs: DataFrame, max_features: int = B.MAX_FEATURES,
     The explaining coefficients of Naive Bayes are its log likelihoods, centred
     over the classes.  Texts are read once: their counted terms are written.
     """
-    counts = B.counted_documents(docs.select("doc_id", "label", text_tokens(F.col("text_clean")).alias("tokens")),
-                                 carry=("label",), name="model_counts")
+    counts = B.counted_documents(docs, "text_clean", carry=("label",), name="model_counts", split=text_tokens)
     rows, keep_empty = B.document_rows(counts), kind == "logistic"
     tf = B.unfolded(counts, keep_empty)
     known = tf.filter(F.col("term").isNotNull())
@@ -92,27 +91,27 @@ def score_texts(df: DataFrame, model: ScoringModel, key: str = "doc_id", k: int
 
     Texts move once, to be laid out by key.  One join brings idf, weights and
     coefficients of the bounded vocabulary to the terms; one aggregate a text
-    sums the scores and holds its terms, from which the contributions to the
-    predicted class are ranked.
+    sums its length and scores, not yet scaled to unit length, and holds its terms,
+    from which the contributions to the predicted class are ranked.
     """
-    rows = accepted_texts(df).select(key, text_tokens(clean_text(F.col("text"))).alias("tokens"))
-    tf = B.term_counts(rows, key=key, keep_empty=True)
+    rows = accepted_texts(df).select(key, clean_text(F.col("text")).alias("text_clean"))
+    tf = B.term_counts(rows, "text_clean", key, keep_empty=True, split=text_tokens)
     known = B.restrict(tf, model.params, model.max_features, "left")
     raw = known.withColumn("raw", (1 + F.ln(F.greatest("tf", F.lit(1)))) * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy(key)))
-    weighted = raw.withColumn("w", F.col("raw") / norm).withColumn("p", model.priors.select("p").scalar())
-    term = F.struct("term", *[(F.col("w") * F.col(f"coef_{c}")).alias(c) for c in model.classes])
-    scored = weighted.groupBy(key).agg(
-        *[(F.coalesce(F.sum(F.col("w") * F.col(f"ll_{c}")), F.lit(0.0)) + F.first(F.col(f"p.{c}"))).alias(f"lp_{c}")
-          for c in model.classes],
+    term = F.struct("term", *[(F.col("raw") * F.col(f"coef_{c}")).alias(c) for c in model.classes])
+    sums = raw.groupBy(key).agg(
+        F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"),
+        *[F.sum(F.col("raw") * F.col(f"ll_{c}")).alias(f"s_{c}") for c in model.classes],
         F.collect_list(F.when(F.col("idx").isNotNull(), term)).alias("terms"))
+    scored = sums.withColumn("p", model.priors.select("p").scalar()).select(key, "norm", "terms", *[
+        (F.coalesce(F.col(f"s_{c}") / F.col("norm"), F.lit(0.0)) + F.col(f"p.{c}")).alias(f"lp_{c}") for c in model.classes])
     scored = NB.nb_predict(NB.nb_proba(scored, model.classes), model.classes)
 
     def share(t: Column) -> Column:
         value = F.lit(None).cast("double")
         for c in model.classes:
             value = F.when(F.col("prediction") == c, t.getField(c)).otherwise(value)
-        return value
+        return value / F.col("norm")
 
     shares = F.transform("terms", lambda t: F.struct(
         (-settled(F.abs(share(t)))).alias("order"), t["term"].alias("term"), share(t).alias("share")))

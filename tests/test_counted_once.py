@@ -96,3 +96,18 @@ def test_logistic_ablation_counts_texts_once(spark, monkeypatch):
     got = R.ablation(docs, CONFIGS)
     assert {r.config_name for r in got.select("config_name").collect()} == {c.name for c in CONFIGS}
     assert len(calls) == 1
+
+
+def test_scores_need_no_window_and_texts_are_split_where_they_lie(spark):
+    """explain_scores: one aggregate a text gives length and scores; no tokens are sorted or moved."""
+    docs = spark.createDataFrame(TEXTS, "doc_id long, label string, text_clean string")
+    model = G.fit_scoring_model(docs, 100)
+    scored = G.score_texts(docs.select("doc_id", F.col("text_clean").alias("text")), model)
+    assert "Window" not in plan(scored)
+    tokens = docs.select("doc_id", "label", G.text_tokens(F.col("text_clean")).alias("tokens"))
+    split = B.term_counts(docs, "text_clean", carry=("label",), keep_empty=True, split=G.text_tokens)
+    assert rows(split) == rows(B.term_counts(tokens, carry=("label",), keep_empty=True))
+    for r in scored.collect():
+        shares = [next(iter(m.values())) for m in r.top_features]
+        assert shares == sorted(shares, key=lambda x: -abs(round(x, 12)))
+        assert abs(sum(r.class_probabilities.values()) - 1) < 1e-9
